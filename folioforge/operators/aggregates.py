@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from folioforge.functions.rounding import exact_mean, stable_round
 from folioforge.operators.clean import PLACEHOLDER
 from folioforge.operators.quantiles import exact_quantiles
+from folioforge.session import broadcast_if_small
 
 
 def category_stats(df: DataFrame) -> DataFrame:
@@ -43,23 +44,23 @@ def top_entities(df: DataFrame, entity: str = "author", n: int = 10) -> DataFram
 
 
 def category_insights(df: DataFrame, n: int = 8) -> DataFrame:
-    """(insight, category, value): top categories by mean discount and by bestsellers."""
+    """(insight, category, value): top categories by mean discount and by bestsellers.
+
+    Both rankings come from one aggregate; the rank runs over categories, with a group limit.
+    """
     per_category = (
         df.where(F.col("category").isNotNull())
         .groupBy("category")
         .agg(
-            exact_mean(F.col("discount_pct")).alias("avg_disc"),
-            F.count_if("is_bestseller").cast("double").alias("bestseller_cnt"),
+            exact_mean(F.col("discount_pct")).alias("top_discounted"),
+            F.count_if("is_bestseller").cast("double").alias("top_bestsellers"),
         )
     )
 
-    def top(label: str, measure: str, shown: Column) -> DataFrame:
-        best = per_category.orderBy(F.desc(measure), "category").limit(n)
-        return best.select(F.lit(label).alias("insight"), "category", shown.alias("value"))
-
-    return top("top_discounted", "avg_disc", stable_round(F.col("avg_disc"), 1)).unionByName(
-        top("top_bestsellers", "bestseller_cnt", F.col("bestseller_cnt"))
-    )
+    both = per_category.unpivot(["category"], ["top_discounted", "top_bestsellers"], "insight", "value")
+    order = Window.partitionBy("insight").orderBy(F.desc("value"), "category")
+    best = both.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= n)
+    return best.select("insight", "category", stable_round(F.col("value"), 1).alias("value"))
 
 
 def tier_counts(df: DataFrame, tiers: Sequence[str]) -> DataFrame:
@@ -111,7 +112,7 @@ def entity_relative(
     """Attach to every row its entity's row count and mean, and the distance from a group's median.
 
     Aggregates are joined back instead of windowed: a window would bring a hot entity's rows to one
-    task, while these joins broadcast when the aggregate is small and split skewed keys when not.
+    task. An aggregate that measures small is broadcast, so the rows themselves are not shuffled.
     """
     group, group_measure = group or entity, group_measure or measure
     per_entity = (
@@ -123,8 +124,8 @@ def entity_relative(
         group, F.get("q", F.lit(0)).alias("_median")
     )
     return (
-        df.join(per_entity, entity, "left")
-        .join(medians, group, "left")
+        df.join(broadcast_if_small(per_entity), entity, "left")
+        .join(broadcast_if_small(medians), group, "left")
         .withColumn("diff_from_group_median", F.col(group_measure) - F.col("_median"))
         .drop("_median")
     )

@@ -112,13 +112,17 @@ def cdc_samples(old: DataFrame, new: DataFrame, key: Sequence[str], n: int = 5,
 
 def cdc_key_sets(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     """(key_set, keys): sizes of new minus old, old minus new, and the intersection."""
-    a, b = old.select(*key), new.select(*key)
-    sets = {"inserted": b.subtract(a), "deleted": a.subtract(b), "common": a.intersect(b)}
-    out = None
-    for name, df in sets.items():
-        part = df.agg(F.count(F.lit(1)).alias("keys")).select(F.lit(name).alias("key_set"), "keys")
-        out = part if out is None else out.unionByName(part)
-    return out
+    tagged = old.select(*key, F.lit(1).alias("o"), F.lit(0).alias("n")).unionByName(
+        new.select(*key, F.lit(0).alias("o"), F.lit(1).alias("n"))
+    )
+    # One shuffle of distinct keys answers all three sets.
+    per_key = tagged.groupBy(*key).agg(F.max("o").alias("o"), F.max("n").alias("n"))
+    row = per_key.agg(
+        F.count_if(F.col("o") == 0).alias("inserted"),
+        F.count_if(F.col("n") == 0).alias("deleted"),
+        F.count_if((F.col("o") == 1) & (F.col("n") == 1)).alias("common"),
+    )
+    return row.unpivot([], ["inserted", "deleted", "common"], "key_set", "keys")
 
 
 def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from folioforge.functions.rounding import exact_mean, exact_sum, stable_round
+from folioforge.session import cut_lineage
 
 
 def star(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -124,14 +125,21 @@ def cube_topn(
 ) -> DataFrame:
     """Non-empty cells of the most frequent members of two axes; ties go by name."""
 
-    def top(axis: Sequence[str], n: int) -> DataFrame:
-        # n is a fixed small number, so each member list can be broadcast.
-        return F.broadcast(
-            df.groupBy(*axis).agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), *axis).limit(n).select(*axis)
-        )
+    # The fact is read once; both member lists and the result come from its finest cells.
+    cells = cut_lineage(_cells(df, [*first, *second], price, rating))
 
-    cells = df.join(top(first, n_first), list(first), "left_semi").join(top(second, n_second), list(second), "left_semi")
-    return cells.groupBy(*first, *second).agg(*measures(price, rating))
+    def top(axis: Sequence[str], n: int) -> DataFrame:
+        members = cells.groupBy(*axis).agg(F.sum("_n").alias("_total")).orderBy(F.desc("_total"), *axis)
+        return F.broadcast(members.limit(n).select(*axis))  # n is a fixed small number
+
+    kept = cells.join(top(first, n_first), list(first), "left_semi").join(top(second, n_second), list(second), "left_semi")
+    return kept.select(
+        *first,
+        *second,
+        F.col("_n").alias("row_count"),
+        stable_round(F.try_divide(F.col("_sp").cast("double"), F.col("_np")), 2).alias(f"avg_{price}"),
+        stable_round(F.try_divide(F.col("_sr").cast("double"), F.col("_nr")), 2).alias(f"avg_{rating}"),
+    )
 
 
 def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:

@@ -238,7 +238,8 @@ def value_counts(df: DataFrame, columns: Sequence[str], top: int = 15) -> DataFr
     )
     order = Window.partitionBy("column_name").orderBy(F.desc("rows"), "value")
     best = counts.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= top).drop("_rank")
-    distinct = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values"))
+    # Counts the same column as the ranking reads, so Spark reuses the shuffled counts.
+    distinct = counts.groupBy("column_name").agg(F.count("rows").alias("distinct_values"))
     return best.join(F.broadcast(distinct), "column_name")  # one row per profiled column
 
 

@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from folioforge.session import cut_lineage
+from folioforge.session import broadcast_if_small
 
 # Ranks around each wanted quantile, in units of the sketch's error, at which cuts are placed.
 CUT_OFFSETS = (-3, -1, 1, 3)
@@ -28,6 +28,23 @@ def to_long(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) ->
     return kept.where(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])) if keys else kept
 
 
+def _locate(value: Column, cuts: str, low: int, high: int) -> Column:
+    """Interval number by binary search: odd on a cut point itself, even between cut points.
+
+    A hot value next to a wanted rank thus stands alone. Nested branches keep the generated code
+    short enough to be compiled.
+    """
+    if low == high:
+        return F.lit(2 * low)
+    middle = (low + high) // 2
+    cut = F.get(cuts, F.lit(middle))
+    return (
+        F.when(value < cut, _locate(value, cuts, low, middle))
+        .when(value == cut, F.lit(2 * middle + 1))
+        .otherwise(_locate(value, cuts, middle + 1, high))
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -51,20 +68,15 @@ def exact_quantiles(
 
     ranks = sorted({min(1.0, max(0.0, p + k / accuracy)) for p in probs for k in CUT_OFFSETS})
     # Checkpointed: the sketch depends on merge order, so every later pass must see the same cuts.
-    cuts = cut_lineage(
+    # It is broadcast when it measures small, which without keys (one row per column) is always so.
+    cuts = broadcast_if_small(
         long.groupBy(*group).agg(
             F.count("value").alias("n"), F.percentile_approx("value", ranks, accuracy).alias("cuts")
         )
     )
 
-    # Interval number: odd on a cut point itself (a hot value stands alone), even between cut points.
-    cut_at = [F.get("cuts", F.lit(i)) for i in range(len(ranks))]
-    interval = reduce(
-        Column.__add__,
-        [(F.col("value") > c).cast("int") + (F.col("value") >= c).cast("int") for c in cut_at],
-    )
-    small = cuts if keys else F.broadcast(cuts)  # without keys: one row per column
-    tagged = long.join(small, group).withColumn("interval", interval)
+    interval = F.coalesce(_locate(F.col("value"), "cuts", 0, len(ranks)), F.lit(0))
+    tagged = long.join(cuts, group).withColumn("interval", interval)
 
     by_interval = Window.partitionBy(*group).orderBy("interval")
     intervals = (
@@ -82,7 +94,8 @@ def exact_quantiles(
         ],
     )
     holding = intervals.where(wanted).select(*group, "interval", "before")
-    holding = holding if keys else F.broadcast(holding)  # at most two rows per column and quantile
+    # At most two rows per group and quantile.
+    holding = broadcast_if_small(holding) if keys else F.broadcast(holding)
 
     by_value = Window.partitionBy(*group, "interval").orderBy("value")
     ranked = (

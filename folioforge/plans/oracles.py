@@ -540,4 +540,21 @@ ORACLES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "stream_dead_letters": """SELECT 'loaded' AS route, count(*) AS rows FROM events WHERE event_id % 13 <> 0
         UNION ALL SELECT 'dead_letter', count(*) FROM events WHERE event_id % 13 = 0""",
+    "catalog_pipeline": f"""WITH {FEAT} """
+    + union(
+        [
+            f"SELECT '{name}' AS table_name, {expr} AS rows FROM feat"
+            for name, expr in {
+                "etl_fact": "count(*)",
+                "authors": "count(DISTINCT author) FILTER (author <> 'Unknown')",
+                "publishers": "count(DISTINCT category)",
+                "categories": "count(DISTINCT category)",
+                "books": "count(title)",
+                "dim_category": "count(DISTINCT category)",
+                "dim_format": "count(DISTINCT format)",
+                "dim_publisher": "count(DISTINCT category)",
+                "fact_book_sales": "count(*)",
+            }.items()
+        ]
+    ),
 }

@@ -12,7 +12,7 @@ from folioforge.operators import aggregates, cdc, clean, dedup, features, olap,
 from folioforge.plans import catalog as catalog_plan, pipeline, records as record_plan, recovery
 from folioforge.plans.runlog import read_runs
 from folioforge.schemas import EVENT_MESSAGE
-from folioforge.session import configure, scratch_path
+from folioforge.session import broadcast_if_small, configure, cut_lineage, literal_frame, scratch_path
 from folioforge.sources import catalog_csv, images, lookups, record_pages, sinks
 from folioforge.sources.tables import (
     RECORD_SOURCES,
@@ -330,12 +330,13 @@ def before_after(spark, sf):
 @query
 def stage_funnel(spark, sf):
     raw = catalog_raw(spark, sf)
+    deduplicated = cut_lineage(catalog_plan.deduplicated(raw))
     return profile.stage_funnel(
         {
             "raw": raw,
             "standardised": clean.standardise_catalog(raw),
-            "deduplicated": catalog_plan.deduplicated(raw),
-            "featured": catalog_plan.prepare_catalog(raw),
+            "deduplicated": deduplicated,
+            "featured": features.catalog_features(deduplicated),
         }
     )
 
@@ -747,10 +748,13 @@ def star_catalog(spark, sf):
 
 @query
 def snowflake_rollup(spark, sf):
-    fact = sales(spark, sf)
-    regions, region_dim = warehouse.snowflake(
-        fact.select("l_suppkey", "r_name").distinct(), "r_name", "region_key", "region_name"
+    suppliers = (
+        table(spark, sf, "supplier")
+        .join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(F.col("s_suppkey").alias("l_suppkey"), "r_name")
     )
+    regions, region_dim = warehouse.snowflake(suppliers, "r_name", "region_key", "region_name")
     categories, genre_dim = warehouse.snowflake(
         table(spark, sf, "part").select(F.concat("p_type", F.lit("-"), "p_brand").alias("category"), F.col("p_type").alias("genre")).distinct(),
         "genre",
@@ -762,9 +766,11 @@ def snowflake_rollup(spark, sf):
         F.col("p_partkey").alias("l_partkey"), F.concat("p_type", F.lit("-"), "p_brand").alias("category")
     )
     joined = (
-        lines.join(regions, "l_suppkey")
+        lines.join(broadcast_if_small(regions), "l_suppkey")
         .join(region_dim, "region_key")
-        .join(parts.join(categories, "category").join(genre_dim, "genre_key"), "l_partkey")
+        .join(parts, "l_partkey")
+        .join(broadcast_if_small(categories), "category")
+        .join(genre_dim, "genre_key")
     )
     return joined.groupBy("region_name", "genre_name").agg(
         F.count(F.lit(1)).alias("rows"), exact_sum(F.col("l_extendedprice")).alias("revenue")
@@ -870,7 +876,7 @@ def olap_custom_sql(spark, sf):
 
 @query
 def fx_convert(spark, sf):
-    rates = spark.createDataFrame([("GBP", 0.81), ("JPY", 150.0)], lookups.RATE_SCHEMA)
+    rates = literal_frame(spark, [("GBP", 0.81), ("JPY", 150.0)], lookups.RATE_SCHEMA)
     part = table(spark, sf, "part").select(F.col("p_retailprice").alias("price"))
     row = lookups.add_converted(part, rates).agg(
         exact_sum(F.col("price_in_gbp")).alias("GBP"), exact_sum(F.col("price_in_eur")).alias("EUR")
@@ -888,7 +894,7 @@ def enrich_prefix_lookup(spark, sf):
     prefixes = F.array(*[F.lit(p) for p in [*known, "97899999"]])
     slot = (F.col("p_partkey") % 12).cast("int")
     isbn = F.concat(F.coalesce(F.get(prefixes, slot), F.lit("00000000")), F.lpad(F.col("p_partkey").cast("string"), 5, "0"))
-    lookup = lookups.publishers(spark).union(spark.createDataFrame([("97899999", None, None)], lookups.PUBLISHER_SCHEMA))
+    lookup = lookups.publishers(spark).union(literal_frame(spark, [("97899999", None, None)], lookups.PUBLISHER_SCHEMA))
     return (
         lookups.enrich_publisher(table(spark, sf, "part").withColumn("isbn", isbn), lookup)
         .groupBy("publisher", "publisher_region")
@@ -976,3 +982,14 @@ def stream_dead_letters(spark, sf):
     good = spark.read.parquet(f"{root}/out").agg(F.lit("loaded").alias("route"), F.count(F.lit(1)).alias("rows"))
     bad = spark.read.parquet(f"{root}/dead").agg(F.lit("dead_letter").alias("route"), F.count(F.lit(1)).alias("rows"))
     return good.unionByName(bad)
+
+
+# --- whole catalog run -----------------------------------------------------------------------------
+
+
+@query
+def catalog_pipeline(spark, sf):
+    root = scratch_path(spark, "catalog")
+    out = pipeline.run_catalog_pipeline(spark, catalog_raw(spark, sf), root, RUN_TS)
+    names = ["etl_fact", "authors", "publishers", "categories", "books", "dim_category", "dim_format", "dim_publisher", "fact_book_sales"]
+    return aggregates.table_status({name: out[name] for name in names})

@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """A struct from ``name type, ...``, usable before a session exists."""
+    fields = [field.split() for field in spec.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 # Column names and types of the tables.

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # SQL settings that change results (time zone) or that let Spark re-plan at run time.
 SQL_SETTINGS = {
@@ -54,6 +54,36 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few constant rows as a plan Spark knows the size of, so it can decide how to join them."""
+    fields = [field.split() for field in schema.split(",")]
+    structs = [
+        F.struct(*[F.lit(value).cast(kind).alias(name) for value, (name, kind) in zip(row, fields)]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+# Largest side that is broadcast after it was measured: rows, and bytes as Spark's own row width.
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Materialise a derived side, measure it, and broadcast it only below a fixed bound.
+
+    Spark cannot size an aggregate beforehand, so it would shuffle the large side as well. Beyond the
+    bound the side is returned without a hint: Spark shuffles, and splits skewed keys at run time.
+    """
+    staged = cut_lineage(df)
+    text = [f.name for f in staged.schema.fields if f.dataType.simpleString() == "string"]
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(16 * len(staged.columns)))
+    arrays = [f.name for f in staged.schema.fields if f.dataType.simpleString().startswith("array")]
+    width = sum((F.coalesce(F.size(c), F.lit(0)) * 16 for c in arrays), width)
+    size = staged.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    small = size["rows"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
+    return F.broadcast(staged) if small else staged
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are written once and every later use reads the same rows."""
     spark = df.sparkSession

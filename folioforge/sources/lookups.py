@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioforge.functions.numeric import convert
 from folioforge.functions.text import key_prefix
+from folioforge.session import literal_frame
 
 # Publisher documents by identifier prefix, defaults, and rates used without a feed.
 PUBLISHERS = [
@@ -32,7 +33,7 @@ def publishers(spark: SparkSession, path: str | None = None) -> DataFrame:
     """The publisher lookup, from JSON documents or from the built-in list."""
     if path is not None:
         return spark.read.schema(PUBLISHER_SCHEMA).json(path)
-    return spark.createDataFrame(PUBLISHERS, PUBLISHER_SCHEMA)
+    return literal_frame(spark, PUBLISHERS, PUBLISHER_SCHEMA)
 
 
 def enrich_publisher(df: DataFrame, lookup: DataFrame, isbn: str = "isbn") -> DataFrame:
@@ -44,7 +45,7 @@ def enrich_publisher(df: DataFrame, lookup: DataFrame, isbn: str = "isbn") -> Da
             F.coalesce("region", F.lit(INCOMPLETE_PUBLISHER[1])).alias("region"),
         ).alias("_hit"),
     )
-    # No hint: Spark measures the lookup, which is a table and may grow.
+    # No hint: the lookup may grow. Spark broadcasts it while it is small and splits hot prefixes beyond.
     joined = df.join(side, key_prefix(F.col(isbn)) == F.col("_prefix"), "left")
     return joined.withColumns(
         {

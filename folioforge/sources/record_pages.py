@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from folioforge.schemas import RECORD_PAGE
+from folioforge.session import literal_frame
 from folioforge.sources.catalog_csv import EmptySource
 
 CORRUPT = "_corrupt_record"
@@ -67,7 +68,7 @@ def source_status(
     No readable page, or only corrupt ones, is a failure.
     """
     errors = dict(errors or {})
-    wanted = spark.createDataFrame([(s, errors.get(s)) for s in configured], "source string, error string")
+    wanted = literal_frame(spark, [(s, errors.get(s)) for s in configured], "source string, error string")
     if pages is None:
         pages = spark.createDataFrame([], T.StructType([*PAGE.fields, T.StructField(SOURCE, T.StringType())]))
     counted = pages.groupBy(F.col(SOURCE).alias("source")).agg(
@@ -92,7 +93,7 @@ def _status(wanted: DataFrame, counted: DataFrame) -> DataFrame:
 
 def status_by_column(spark: SparkSession, df: DataFrame, source_column: str, configured: list[str]) -> DataFrame:
     """(source, records, status) for flat rows that carry their source name."""
-    wanted = spark.createDataFrame([(s, None) for s in configured], "source string, error string")
+    wanted = literal_frame(spark, [(s, None) for s in configured], "source string, error string")
     counted = df.groupBy(F.col(source_column).alias("source")).agg(
         F.count(F.lit(1)).alias("records"), F.lit(None).cast("bigint").alias("reported"), F.lit(0).alias("corrupt")
     )
