@@ -17,7 +17,7 @@ def one_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]
     """
     ranked = [F.desc(c) if isinstance(c, str) else c for c in order]
     rest = [F.desc(c) for c in sorted(df.columns) if c not in key]
-    return keep_first(df, key, [*ranked, *rest])
+    return keep_first(df, key, [*ranked, *rest] or key)
 
 
 def compared_columns(old: DataFrame, new: DataFrame, key: Sequence[str]) -> list[str]:

@@ -150,11 +150,17 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataF
     """(col_a, col_b, r) as a full square; pairwise complete; null for a constant column."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     typed = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
-    row = typed.agg(*[F.corr(a, b).alias(f"{a}~{b}") for a, b in pairs])
+
+    def pearson(a: str, b: str) -> Column:
+        # Spark's own corr divides by zero, and so fails in ANSI mode, on a constant column.
+        spread = F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))) * F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b)))
+        return F.try_divide(F.covar_pop(a, b), spread)
+
+    row = typed.agg(*[pearson(a, b).alias(f"{a}~{b}") for a, b in pairs])
     cells = []
     for a, b in pairs:
         raw = F.col(f"`{a}~{b}`")
-        r = F.when(raw.isNotNull() & ~F.isnan(raw), F.lit(1.0) if a == b else stable_round(raw, digits))
+        r = F.when(raw.isNotNull(), F.lit(1.0) if a == b else stable_round(raw, digits))
         for x, y in {(a, b), (b, a)}:
             cells.append(F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), r.alias("r")))
     return row.select(F.inline(F.array(*cells)))

@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from folioforge.session import broadcast_if_small
+from folioforge.session import broadcast_if_small, cut_lineage
 
 # Ranks around each wanted quantile, in units of the sketch's error, at which cuts are placed.
 CUT_OFFSETS = (-3, -1, 1, 3)
@@ -67,14 +67,12 @@ def exact_quantiles(
         )
 
     ranks = sorted({min(1.0, max(0.0, p + k / accuracy)) for p in probs for k in CUT_OFFSETS})
-    # Checkpointed: the sketch depends on merge order, so every later pass must see the same cuts.
-    # It is broadcast when it measures small, which without keys (one row per column) is always so.
-    cuts = broadcast_if_small(
-        long.groupBy(*group).agg(
-            F.count("value").alias("n"), F.percentile_approx("value", ranks, accuracy).alias("cuts")
-        )
+    sketch = long.groupBy(*group).agg(
+        F.count("value").alias("n"), F.percentile_approx("value", ranks, accuracy).alias("cuts")
     )
-
+    # Materialised: the sketch depends on merge order, so every later pass must see the same cuts.
+    # Without keys it is one row per column; with keys it is measured before it is broadcast.
+    cuts = broadcast_if_small(sketch) if keys else F.broadcast(cut_lineage(sketch))
     interval = F.coalesce(_locate(F.col("value"), "cuts", 0, len(ranks)), F.lit(0))
     tagged = long.join(cuts, group).withColumn("interval", interval)
 
