@@ -38,9 +38,9 @@ def word_count(col: Column) -> Column:
     return F.when(col.isNull(), 0).otherwise(F.size(words))
 
 
-def chars_per_word(col: Column) -> Column:
+def chars_per_word(length: Column, words: Column) -> Column:
     """Characters per word; 0 when there are no words."""
-    return F.coalesce(F.try_divide(title_length(col), word_count(col)), F.lit(0.0))
+    return F.coalesce(F.try_divide(length, words), F.lit(0.0))
 
 
 def has_subtitle(col: Column) -> Column:

@@ -91,7 +91,7 @@ def impute_catalog(df: DataFrame) -> DataFrame:
     """Fill the gaps of a standardised catalog.
 
     Old price from price (before price itself is filled), price by its median, rating by its mode,
-    text by placeholder. Median and mode are one-row frames joined by broadcast.
+    text by placeholder, key by the empty text. Median and mode are one-row frames joined by broadcast.
     """
     fills = quantile_row(df, ["price"], [0.5]).crossJoin(mode_row(df, "rating", "_rating_mode"))
     filled = df.crossJoin(F.broadcast(fills)).withColumns(
@@ -101,6 +101,8 @@ def impute_catalog(df: DataFrame) -> DataFrame:
             "rating": F.coalesce("rating", "_rating_mode", F.lit(DEFAULT_RATING)),
         }
     )
+    if "isbn" in filled.columns:
+        filled = filled.withColumn("isbn", F.coalesce("isbn", F.lit("")))
     filled = filled.drop("price_q", "_rating_mode")
     return fill_placeholders(filled, dict.fromkeys(CATALOG_TEXT_COLUMNS, PLACEHOLDER))
 

@@ -28,14 +28,15 @@ def catalog_features(df: DataFrame) -> DataFrame:
 def text_features(df: DataFrame, column: str) -> DataFrame:
     """Title shape: length, words, characters per word, subtitle mark."""
     col = F.col(column)
-    return df.withColumns(
+    counted = df.withColumns(
         {
             "title_length": text.title_length(col),
             "word_count": text.word_count(col),
-            "chars_per_word": text.chars_per_word(col),
             "has_subtitle": text.has_subtitle(col),
         }
     )
+    # A second step, so the words are split once per row.
+    return counted.withColumn("chars_per_word", text.chars_per_word(F.col("title_length"), F.col("word_count")))
 
 
 # What a single added record takes for a missing or unusable input.

@@ -230,6 +230,16 @@ def iqr_cap_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return stack(row, "column_name", parts)
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
+    """(column_name, distinct_values) without nulls; ``approx=True`` is one pass without a shuffle of values."""
+    if approx:
+        row = df.agg(*[F.approx_count_distinct(c).alias(f"_d{i}") for i, c in enumerate(columns)])
+        return stack(row, "column_name", {c: {"distinct_values": F.col(f"_d{i}")} for i, c in enumerate(columns)})
+    typed = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    long = typed.unpivot([], list(columns), "column_name", "value").where(F.col("value").isNotNull())
+    return long.distinct().groupBy("column_name").agg(F.count("value").alias("distinct_values"))
+
+
 def value_counts(df: DataFrame, columns: Sequence[str], top: int = 15) -> DataFrame:
     """(column_name, value, rows, distinct_values): the most frequent values, ties by value.
 
@@ -284,6 +294,20 @@ def before_after(raw: DataFrame, processed: DataFrame, key: str, watched: Mappin
     return before.join(F.broadcast(after), "attribute")  # a handful of attributes
 
 
+def transform_summary(standardised: DataFrame, filled: DataFrame, output: DataFrame, flag: str) -> DataFrame:
+    """One row: rows in and out, duplicates removed, null cells filled, flagged rows."""
+    before = null_totals(standardised).select(F.col("total_rows").alias("input_rows"), F.col("total_missing").alias("_before"))
+    after = null_totals(filled).select(F.col("total_missing").alias("_after"))
+    result = output.agg(F.count(F.lit(1)).alias("output_rows"), F.count_if(flag).alias("flagged"))
+    return before.crossJoin(F.broadcast(after)).crossJoin(F.broadcast(result)).select(  # one row each
+        "input_rows",
+        "output_rows",
+        (F.col("input_rows") - F.col("output_rows")).alias("dupes_removed"),
+        (F.col("_before") - F.col("_after")).alias("nulls_filled"),
+        "flagged",
+    )
+
+
 def stage_funnel(stages: Mapping[str, DataFrame]) -> DataFrame:
     """(stage, rows, cols) for the named stages."""
     out = None

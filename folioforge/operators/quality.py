@@ -185,6 +185,22 @@ def split_rows(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, D
     return good, bad
 
 
+def route_rows(
+    df: DataFrame, fail_rules: Mapping[str, Column], warn_rules: Mapping[str, Column]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(warehouse, audit, quarantine): a broken fail rule keeps a row out of the warehouse; a broken
+    warn rule lets it in and leaves a record with ``warnings`` and ``payload`` in the audit log.
+    """
+    tagged = with_reasons(with_reasons(df, fail_rules), warn_rules, "warnings")
+    payload = F.to_json(F.struct(*df.columns)).alias("payload")
+    passed = tagged.where(F.size("reasons") == 0)
+    return (
+        passed.select(*df.columns),
+        passed.where(F.size("warnings") > 0).select("warnings", payload),
+        tagged.where(F.size("reasons") > 0).select(*df.columns, "reasons", payload),
+    )
+
+
 def route_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """(route, reason, rows): a bad row appears once per reason."""
     tagged = with_reasons(df, rules).select(F.explode_outer("reasons").alias("reason"))

@@ -127,9 +127,9 @@ CUBE_MEASURES = (
     f"count(*) AS row_count, {xsum('l_extendedprice')} AS sum_l_extendedprice, "
     f"{r(xmean('l_extendedprice'), 2)} AS avg_l_extendedprice, {r(xmean('l_quantity'), 2)} AS avg_l_quantity"
 )
-SNAPSHOTS = """old AS (SELECT * FROM orders WHERE o_orderkey % 10 <> 0), new AS (
-  SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
-  FROM orders WHERE o_orderkey % 10 <> 1)"""
+SNAPSHOTS = """old AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'), new AS (
+  SELECT * REPLACE (CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1995-07-01')"""
 UPSERTED = f"""{SNAPSHOTS}, merged AS (
   SELECT * FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new) UNION ALL SELECT * FROM new)"""
 DIFF = f"""{SNAPSHOTS}, diff AS (
@@ -296,7 +296,7 @@ ORACLES: dict[str, str] = {
     "append_records": f"""WITH {FEAT}, form AS (
           SELECT CASE WHEN p_partkey % 40 = 7 THEN p_name ELSE 'Untitled' END AS title,
             CASE WHEN p_partkey % 60 = 7 THEN 10.0 ELSE p_size END::DOUBLE AS price,
-            CASE WHEN p_partkey % 100 = 7 THEN 1.5 END::DOUBLE AS asked FROM part WHERE p_partkey % 20 = 7
+            CASE WHEN p_partkey % 100 = 7 THEN 1.5 WHEN p_size > 40 THEN 99.5 END::DOUBLE AS asked FROM part
         ), added AS (
           SELECT 'Added' AS category, title, price, greatest(coalesce(asked, price), price) AS old_price,
             {r('4.8 / greatest(price, 0.01)', 4)} AS value_score, true AS is_bestseller FROM form
@@ -335,6 +335,8 @@ ORACLES: dict[str, str] = {
         [_profile(t, c) for t, c in (("part", "p_size"), ("part", "p_retailprice"), ("lineitem", "l_quantity"), ("lineitem", "l_extendedprice"))]
     ),
     "summary_points": f"SELECT column_name, min, q25, median, mean, q75, q90, max FROM ({_profile('orders', 'o_totalprice')})",
+    "describe_table": f"SELECT column_name, n, mean, std, min, q25, median, q75, max FROM ({_profile('customer', 'c_acctbal')})",
+    "distinct_counts": union([f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values FROM lineitem" for c in ("l_returnflag", "l_partkey", "l_suppkey")]),
     "histogram": _histogram("l_extendedprice", "lineitem", 20),
     "histogram_log": _histogram("log10(l_extendedprice)", "lineitem WHERE l_extendedprice > 0", 30),
     "corr_matrix": _corr(),
@@ -377,6 +379,11 @@ ORACLES: dict[str, str] = {
     "stage_funnel": f"""WITH {DEDUP} SELECT 'raw' AS stage, count(*) AS rows, CAST(10 AS INTEGER) AS cols FROM raw
         UNION ALL SELECT 'standardised', count(*), 10 FROM std
         UNION ALL SELECT 'deduplicated', count(*), 10 FROM dedup UNION ALL SELECT 'featured', count(*), 20 FROM dedup""",
+    "transform_summary": f"""WITH {FEAT}, s AS (SELECT count(*) AS n, sum("""
+    + " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in ("isbn", "title", "author", "format", "category", "price", "old_price", "rating", "img_paths"))
+    + """) AS nulls FROM std), a AS (SELECT count(*) FILTER (title IS NULL) + count(*) FILTER (old_price IS NULL) AS nulls FROM filled),
+        o AS (SELECT count(*) AS n, count(*) FILTER (is_bestseller) AS b FROM feat)
+        SELECT s.n AS input_rows, o.n AS output_rows, s.n - o.n AS dupes_removed, CAST(s.nulls - a.nulls AS BIGINT) AS nulls_filled, b AS flagged FROM s, a, o""",
     "extract_summary": f"WITH {RAW} "
     + union(
         [f"SELECT 'nulls_{c}' AS measure, count(*) FILTER ({c} IS NULL) AS value FROM raw" for c in ("price", "book_depository_stars", "old_price", "author", "isbn")]
@@ -429,6 +436,9 @@ ORACLES: dict[str, str] = {
     "validate_groups": f"""WITH {_report()} SELECT "check", count(*) FILTER (status = 'PASS') AS passed, count(*) AS total FROM report GROUP BY 1""",
     "quarantine_split": f"WITH {STD} SELECT 'curated' AS route, 'ok' AS reason, count(*) AS rows FROM std WHERE NOT ({ANY_RULE}) HAVING count(*) > 0 UNION ALL "
     + union([f"SELECT 'quarantine', '{name}', count(*) FROM std WHERE {c} HAVING count(*) > 0" for name, c in RULES.items()]),
+    "quarantine_routes": f"""WITH {STD} SELECT 'warehouse' AS table_name, count(*) AS rows FROM std WHERE NOT ({ANY_RULE})
+        UNION ALL SELECT 'audit', count(*) FROM std WHERE NOT ({ANY_RULE}) AND (rating IS NULL OR title IS NULL)
+        UNION ALL SELECT 'quarantine', count(*) FROM std WHERE {ANY_RULE}""",
     "quarantine_reprocess": f"""WITH {STD}, bad AS (SELECT isbn, coalesce(price, 9.99) AS price FROM std WHERE {ANY_RULE})
         SELECT CASE WHEN {ANY_RULE} THEN 'quarantine' ELSE 'fixed' END AS route, count(*) AS rows FROM bad GROUP BY 1""",
     "load_verify": f"""WITH {UPSERTED} SELECT 'row_count' AS "check", 'PASS' AS status,
@@ -441,7 +451,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'common', count(*) FROM diff WHERE op IN ('UPDATE', 'UNCHANGED')""",
     "cdc_samples": f"""WITH {DIFF}
         (SELECT 'inserted' AS change, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
-          CASE WHEN diff.o_orderkey % 20 = 0 THEN 'N/A' ELSE b2 END AS o_orderstatus, b3 AS o_totalprice
+          CASE WHEN b2 = 'F' THEN 'N/A' ELSE b2 END AS o_orderstatus, b3 AS o_totalprice
           FROM diff WHERE op = 'INSERT' ORDER BY diff.o_orderkey LIMIT 5)
         UNION ALL (SELECT 'deleted', CAST(o_orderkey AS VARCHAR), a2, a3 FROM diff WHERE op = 'DELETE' ORDER BY diff.o_orderkey LIMIT 5)""",
     "cdc_feed": f"WITH {DIFF} SELECT o_orderkey, op FROM diff WHERE op <> 'UNCHANGED'",
@@ -458,6 +468,14 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (op = 'UPDATE') AS modified, count(*) FILTER (op = 'UNCHANGED') AS unchanged, count(*) AS total_after FROM diff""",
     "incremental_load": f"WITH {UPSERTED} SELECT o_orderkey, o_totalprice FROM merged",
     "bucket_upsert": f"WITH {UPSERTED} SELECT o_orderkey, o_totalprice FROM merged",
+    "change_audit": f"WITH {DIFF} "
+    + union(
+        [
+            f"SELECT CAST(o_orderkey AS VARCHAR) AS key_id, op AS action, '{c}' AS column_changed, a{i} AS old_value, b{i} AS new_value "
+            f"FROM diff WHERE op IN ('INSERT', 'UPDATE') AND a{i} IS DISTINCT FROM b{i}"
+            for i, c in ((1, "o_custkey"), (3, "o_totalprice"))
+        ]
+    ),
     "partition_overwrite": f"""WITH {SNAPSHOTS}, kept AS (SELECT * FROM old WHERE year(o_orderdate) < 1999 UNION ALL SELECT * FROM new WHERE year(o_orderdate) >= 1999)
         SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS rows, {xsum('o_totalprice')} AS total FROM kept GROUP BY 1""",
     "csv_roundtrip": f"""WITH {STD} SELECT category, '$' AS currency, count(*) AS rows, count(isbn) AS isbns, count(title) AS titles,
@@ -468,7 +486,7 @@ ORACLES: dict[str, str] = {
     "dataset_checksum": """SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(sha256(concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_orderpriority)), 1, 12) AS BIGINT)) AS VARCHAR) AS checksum FROM orders""",
     "table_status": union([f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in ("orders", "lineitem", "part")]),
     "missing_partitions": """SELECT CAST(d AS DATE) AS missing_date FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS d)
-        WHERE CAST(d AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE day(ts) % 5 <> 0)""",
+        WHERE CAST(d AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE dayofweek(ts) NOT IN (0, 6))""",
     "backfill_days": "SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY 1",
     "source_status": """SELECT s AS source, count(event_id) AS records, CASE WHEN count(event_id) > 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status
         FROM (SELECT unnest(['view', 'click', 'signup', 'purchase', 'error', 'refund']) AS s) LEFT JOIN events ON event_type = s GROUP BY s""",
@@ -501,7 +519,7 @@ ORACLES: dict[str, str] = {
     "snowflake_rollup": f"WITH {SALES} SELECT r_name AS region_name, p_type AS genre_name, count(*) AS rows, {xsum('l_extendedprice')} AS revenue FROM sales GROUP BY ALL",
     "fk_integrity": """SELECT 'part' AS dimension, CAST(0 AS BIGINT) AS orphan_rows UNION ALL SELECT 'supplier', count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)
         UNION ALL SELECT 'orders', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
-        UNION ALL SELECT 'reduced_part', count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 10 <> 0)""",
+        UNION ALL SELECT 'reduced_part', count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 45)""",
     "olap_slice": f"WITH {SALES} SELECT p_type, l_returnflag, {SALES_MEASURES} FROM sales WHERE p_type = 'PROMO' GROUP BY ALL",
     "olap_dice": f"""WITH {SALES} SELECT p_type, l_returnflag, r_name, {SALES_MEASURES} FROM sales
         WHERE p_type IN ('PROMO', 'ECONOMY', 'SMALL') AND l_extendedprice BETWEEN 10000 AND 50000 GROUP BY ALL""",
@@ -545,6 +563,7 @@ ORACLES: dict[str, str] = {
         [
             f"SELECT '{name}' AS table_name, {expr} AS rows FROM feat"
             for name, expr in {
+                "etl_log": "CAST(least(count(*), 1) AS BIGINT)",
                 "etl_fact": "count(*)",
                 "authors": "count(DISTINCT author) FILTER (author <> 'Unknown')",
                 "publishers": "count(DISTINCT category)",

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from folioforge.operators.aggregates import category_stats
 from folioforge.operators.quality import (
@@ -17,19 +17,26 @@ from folioforge.operators.quality import (
     gate_passed,
     load_verify,
     report_totals,
+    route_rows,
     validate_report,
 )
 from folioforge.operators.warehouse import books_3nf, etl_fact, star_schema
-from folioforge.plans.catalog import staged_catalog
+from folioforge.plans.catalog import prepare_catalog
 from folioforge.plans.records import transform_records
 from folioforge.plans.recovery import retry
-from folioforge.plans.runlog import append_run
+from folioforge.plans.runlog import append_run, read_runs
+from folioforge.schemas import ETL_EXECUTION_LOG
 from folioforge.session import cut_lineage
+from folioforge.sources import files
 from folioforge.sources.record_pages import explode_docs, read_sources, require_records, source_status
 from folioforge.sources.sinks import (
+    BUCKET,
+    POINTER,
     full_load,
     incremental_load,
     read_published,
+    upsert_buckets,
+    write_change_audit,
     write_csv,
     write_parquet,
     write_report,
@@ -55,27 +62,35 @@ def run_record_pipeline(
     root: str,
     strategy: str = "incremental",
     rules: GateRules = RECORD_RULES,
+    fail_rules: Mapping[str, Column] | None = None,
+    warn_rules: Mapping[str, Column] | None = None,
+    buckets: int | None = None,
     run_time: datetime | None = None,
     multi_line: bool = False,
     sleep: Callable[[float], None] = time.sleep,
 ) -> dict[str, object]:
-    """Load nested JSON sources into the published record fact below ``root``.
+    """Load nested JSON sources into the record fact below ``root``.
 
-    The gate runs between transform and load. Exactly one run-log row is written, also on failure.
+    The gate runs between transform and load. Rows that break a fail rule go to quarantine, rows that
+    break a warn rule are recorded in the audit log. An incremental load writes a change audit first.
+    It publishes a new version of the whole fact, or, with ``buckets``, rewrites only the key buckets
+    the batch touches, which is the choice for a large fact. Exactly one run-log row is written, also on
+    failure.
     """
     if strategy not in ("full", "incremental"):
         raise ValueError(f"unknown strategy {strategy}")
     started = time.monotonic()
     run_time = run_time or datetime.now(timezone.utc)
+    run_ts, run_id = run_time.isoformat(), uuid.uuid4().hex
     run: dict[str, object] = {
-        "run_id": uuid.uuid4().hex,
+        "run_id": run_id,
         "run_timestamp": run_time,
         "sources_attempted": len(sources),
         "load_strategy": strategy,
         "status": "FAILED",
         "error_msg": "",
     }
-    target, reports = f"{root}/fact", f"{root}/reports/{run['run_id']}"
+    reports = f"{root}/reports/{run_id}"
     try:
         pages, errors = retry(lambda: read_sources(spark, sources, multi_line), sleep=sleep)
         staged_pages = cut_lineage(pages) if pages is not None else None
@@ -83,27 +98,27 @@ def run_record_pipeline(
         status.write.mode("overwrite").parquet(f"{reports}/sources")
 
         raw, extracted = observed(explode_docs(staged_pages), "extracted")
-        write_parquet(raw, f"{root}/raw/run_id={run['run_id']}")
+        write_parquet(raw, f"{root}/raw/run_id={run_id}")
         run["records_extracted"] = extracted.get["rows"]
 
-        fact, transformed = observed(transform_records(spark.read.parquet(f"{root}/raw/run_id={run['run_id']}")), "done")
+        fact, transformed = observed(transform_records(spark.read.parquet(f"{root}/raw/run_id={run_id}")), "done")
         fact = cut_lineage(fact)
         run["records_after_transform"] = transformed.get["rows"]
 
         checks = cut_lineage(gate_checks(fact, rules))
-        write_report(checks, f"{reports}/gate", run_time.isoformat())
+        write_report(checks, f"{reports}/gate", run_ts)
         if not gate_passed(checks):
             raise GateFailed("quality gate failed, see the gate report")
 
-        fact = fact.withColumn("loaded_at", F.lit(run_time.isoformat()).cast("timestamp"))
-        if strategy == "full":
-            full_load(spark, fact, target)
-        else:
-            incremental_load(spark, fact, target, ["ol_key"])
-        run["records_loaded"] = run["records_after_transform"]
+        if fail_rules or warn_rules:
+            fact, audit, bad = route_rows(fact, fail_rules or {}, warn_rules or {})
+            write_parquet(audit, f"{root}/audit/run_id={run_id}")
+            write_parquet(bad, f"{root}/quarantine/run_id={run_id}")
+        fact = fact.withColumn("loaded_at", F.lit(run_ts).cast("timestamp"))
+        loaded = load_fact(spark, fact, root, strategy, buckets, run_id, run_ts)
+        run["records_loaded"] = fact.count()
 
-        verified = load_verify(fact, read_published(spark, target), REQUIRED)
-        write_report(verified, f"{reports}/verify", run_time.isoformat())
+        write_report(load_verify(fact, loaded, REQUIRED), f"{reports}/verify", run_ts)
         run["status"] = "SUCCESS"
     except Exception as error:
         run["error_msg"] = f"{type(error).__name__}: {error}".splitlines()[0]
@@ -113,17 +128,63 @@ def run_record_pipeline(
     return run
 
 
-def run_catalog_pipeline(spark: SparkSession, raw: DataFrame, root: str, run_ts: str) -> dict[str, DataFrame]:
+def load_fact(
+    spark: SparkSession, fact: DataFrame, root: str, strategy: str, buckets: int | None, run_id: str, run_ts: str
+) -> DataFrame:
+    """Write the fact by one of the strategies and return the loaded table."""
+    target, bucketed, audit = f"{root}/fact", f"{root}/fact_buckets", f"{root}/cdc_audit"
+    if buckets is not None:
+        if strategy == "full":
+            raise ValueError("a bucketed fact is loaded incrementally")
+        if files.exists(spark, bucketed):
+            write_change_audit(spark, spark.read.parquet(bucketed), fact, "ol_key", audit, run_id, run_ts, ["loaded_at", BUCKET])
+        upsert_buckets(spark, fact, bucketed, ["ol_key"], buckets)
+        return spark.read.parquet(bucketed)
+    if strategy == "full":
+        full_load(spark, fact, target)
+    else:
+        if files.exists(spark, f"{target}/{POINTER}"):
+            write_change_audit(spark, read_published(spark, target), fact, "ol_key", audit, run_id, run_ts, ["loaded_at"])
+        incremental_load(spark, fact, target, ["ol_key"])
+    return read_published(spark, target)
+
+
+def run_catalog_pipeline(
+    spark: SparkSession, raw: DataFrame, root: str, run_ts: str, strategy: str = "full", source: str = "catalog"
+) -> dict[str, DataFrame]:
     """The four catalog phases: features and statistics, fact load, warehouse, quality audit.
 
-    The featured catalog is staged once and all phases read it.
+    The featured catalog is staged once and all phases read it. The fact load is logged.
     """
-    write_parquet(raw, f"{root}/raw")
-    catalog = staged_catalog(spark.read.parquet(f"{root}/raw"))
+    started = time.monotonic()
+    counted, extracted = observed(raw, "extracted")
+    write_parquet(counted, f"{root}/raw")
+    featured, transformed = observed(prepare_catalog(spark.read.parquet(f"{root}/raw")), "transformed")
+    catalog = cut_lineage(featured)
     write_csv(catalog.drop("ingest_seq"), f"{root}/processed", drop=["img_path_raw"])
     write_csv(category_stats(catalog), f"{root}/category_stats")
 
-    full_load(spark, etl_fact(catalog), f"{root}/etl_fact")
+    fact = etl_fact(catalog)
+    if strategy == "full":
+        full_load(spark, fact, f"{root}/etl_fact")
+    else:
+        incremental_load(spark, fact, f"{root}/etl_fact", ["isbn"])
+    append_run(
+        spark,
+        f"{root}/etl_log",
+        {
+            "exec_id": uuid.uuid4().hex,
+            "source": source,
+            "load_strategy": strategy.upper(),
+            "extracted_records": extracted.get["rows"],
+            "transformed_records": transformed.get["rows"],
+            "loaded_records": transformed.get["rows"],
+            "execution_time_ms": int((time.monotonic() - started) * 1000),
+            "status": "SUCCESS",
+            "timestamp": datetime.fromisoformat(run_ts),
+        },
+        ETL_EXECUTION_LOG,
+    )
 
     tables = {**books_3nf(catalog), **star_schema(catalog)}
     for name, df in tables.items():
@@ -137,4 +198,5 @@ def run_catalog_pipeline(spark: SparkSession, raw: DataFrame, root: str, run_ts:
         "totals": report_totals(report),
         **{name: read_published(spark, f"{root}/warehouse/{name}") for name in tables},
         "etl_fact": read_published(spark, f"{root}/etl_fact"),
+        "etl_log": read_runs(spark, f"{root}/etl_log", ETL_EXECUTION_LOG),
     }

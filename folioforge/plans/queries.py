@@ -83,9 +83,10 @@ def drop_invalid(spark, sf):
 @query
 def path_remap(spark, sf):
     raw = catalog_raw(spark, sf)
-    files = raw.where(F.col("ingest_seq") % 2 == 0).select(
-        *[c.alias(n) for c, n in zip(text.path_parts(F.col("img_paths")), ("folder", "file"))]
-    )
+    folder, file = text.path_parts(F.col("img_paths"))
+    # Every second cover lies on disk under another name, so it is missing.
+    stored = F.when(F.col("ingest_seq") % 2 == 0, file).otherwise(F.concat(F.lit("scan-"), file))
+    files = raw.select(folder.alias("folder"), stored.alias("file"))
     return images.resolve_covers(raw, files, "img_paths").select(
         "ingest_seq", text.swap_path_prefix(F.col("img_paths")).alias("local_path"), "cover_url"
     )
@@ -152,7 +153,7 @@ def dedup_two_stage(spark, sf):
 @query
 def append_records(spark, sf):
     # The added records are text rows as a form would send them: gaps, bad numbers, a too low old price.
-    part = table(spark, sf, "part").where("p_partkey % 20 = 7")
+    part = table(spark, sf, "part")
     key = F.col("p_partkey").cast("string")
     added = part.select(
         F.when(F.col("p_partkey") % 40 == 7, F.col("p_name")).alias("title"),
@@ -160,7 +161,7 @@ def append_records(spark, sf):
         F.lit("Added").alias("category"),
         F.concat(F.lit("new-"), key).alias("isbn"),
         F.when(F.col("p_partkey") % 60 == 7, "bad").otherwise(F.col("p_size").cast("string")).alias("price"),
-        F.when(F.col("p_partkey") % 100 == 7, "1.50").alias("old_price"),
+        F.when(F.col("p_partkey") % 100 == 7, "1.50").when(F.col("p_size") > 40, "99.50").alias("old_price"),
         F.lit("4.8").alias("rating"),
     )
     base = catalog_plan.prepare_catalog(catalog_raw(spark, sf))
@@ -266,6 +267,16 @@ def summary_points(spark, sf):
     return profile.summary_points(profile.numeric_profile(table(spark, sf, "orders"), ["o_totalprice"]))
 
 
+@query
+def describe_table(spark, sf):
+    return profile.describe_exact(profile.numeric_profile(table(spark, sf, "customer"), ["c_acctbal"]))
+
+
+@query
+def distinct_counts(spark, sf):
+    return profile.distinct_counts(table(spark, sf, "lineitem"), ["l_returnflag", "l_partkey", "l_suppkey"])
+
+
 @query
 def histogram(spark, sf):
     return profile.histogram(table(spark, sf, "lineitem"), "l_extendedprice", 20)
@@ -341,6 +352,13 @@ def stage_funnel(spark, sf):
     )
 
 
+@query
+def transform_summary(spark, sf):
+    standardised = clean.standardise_catalog(catalog_raw(spark, sf))
+    filled = clean.impute_catalog(standardised)
+    return profile.transform_summary(standardised, filled, catalog_plan.staged_catalog(catalog_raw(spark, sf)), "is_bestseller")
+
+
 @query
 def extract_summary(spark, sf):
     raw = catalog_raw(spark, sf)
@@ -489,6 +507,14 @@ def quarantine_split(spark, sf):
     return quality.route_report(clean.standardise_catalog(catalog_raw(spark, sf)), row_rules())
 
 
+@query
+def quarantine_routes(spark, sf):
+    rows = clean.standardise_catalog(catalog_raw(spark, sf))
+    soft = {"unrated": F.col("rating").isNotNull(), "untitled": F.col("title").isNotNull()}
+    routes = quality.route_rows(rows, row_rules(), soft)
+    return aggregates.table_status(dict(zip(("warehouse", "audit", "quarantine"), routes)))
+
+
 @query
 def quarantine_reprocess(spark, sf):
     rows = clean.standardise_catalog(catalog_raw(spark, sf)).select("ingest_seq", "isbn", "title", "price")
@@ -528,7 +554,7 @@ def cdc_key_sets(spark, sf):
 @query
 def cdc_samples(spark, sf):
     old, new = [d.select("o_orderkey", "o_orderstatus", "o_totalprice") for d in order_snapshots(spark, sf)]
-    new = new.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 20 != 0, F.col("o_orderstatus")))
+    new = new.withColumn("o_orderstatus", F.nullif(F.col("o_orderstatus"), F.lit("F")))
     return cdc.cdc_samples(old, new, ORDER_KEY)
 
 
@@ -580,6 +606,15 @@ def bucket_upsert(spark, sf):
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice")
 
 
+@query
+def change_audit(spark, sf):
+    old, new = [d.select("o_orderkey", "o_custkey", "o_totalprice") for d in order_snapshots(spark, sf)]
+    path = scratch_path(spark, "change-audit")
+    for _ in range(2):
+        sinks.write_change_audit(spark, old, new, "o_orderkey", path, "r1", RUN_TS)
+    return spark.read.parquet(path).select("key_id", "action", "column_changed", "old_value", "new_value")
+
+
 @query
 def partition_overwrite(spark, sf):
     old, new = order_snapshots(spark, sf)
@@ -643,7 +678,7 @@ def table_status(spark, sf):
 
 @query
 def missing_partitions(spark, sf):
-    events = table(spark, sf, "events").where(F.dayofmonth("ts") % 5 != 0)
+    events = table(spark, sf, "events").where(~F.dayofweek("ts").isin(1, 7))  # weekends are missing
     return recovery.missing_partitions(events, F.col("ts"), "2024-01-01", "2024-01-31")
 
 
@@ -651,7 +686,7 @@ def missing_partitions(spark, sf):
 def backfill_days(spark, sf):
     path = scratch_path(spark, "days")
     events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
-    sinks.overwrite_partitions(events.where(F.dayofmonth("day") % 5 != 0), path, ["day"])
+    sinks.overwrite_partitions(events.where(~F.dayofweek("day").isin(1, 7)), path, ["day"])
     for _ in range(2):
         target = spark.read.parquet(path)
         recovery.backfill(events, target, path, "day", lambda d: d, "2024-01-01", "2024-01-31")
@@ -786,7 +821,7 @@ def fk_integrity(spark, sf):
             "part": (part, "l_partkey", "p_partkey"),
             "supplier": (table(spark, sf, "supplier"), "l_suppkey", "s_suppkey"),
             "orders": (table(spark, sf, "orders"), "l_orderkey", "o_orderkey"),
-            "reduced_part": (part.where("p_partkey % 10 <> 0"), "l_partkey", "p_partkey"),
+            "reduced_part": (part.where("p_size <= 45"), "l_partkey", "p_partkey"),
         },
     )
 
@@ -991,5 +1026,5 @@ def stream_dead_letters(spark, sf):
 def catalog_pipeline(spark, sf):
     root = scratch_path(spark, "catalog")
     out = pipeline.run_catalog_pipeline(spark, catalog_raw(spark, sf), root, RUN_TS)
-    names = ["etl_fact", "authors", "publishers", "categories", "books", "dim_category", "dim_format", "dim_publisher", "fact_book_sales"]
+    names = ["etl_log", "etl_fact", "authors", "publishers", "categories", "books", "dim_category", "dim_format", "dim_publisher", "fact_book_sales"]
     return aggregates.table_status({name: out[name] for name in names})

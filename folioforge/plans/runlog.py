@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from folioforge.functions.rounding import stable_round
 from folioforge.schemas import RUN_LOG
 
 
-def append_run(spark: SparkSession, path: str, entry: Mapping[str, object]) -> None:
+def append_run(spark: SparkSession, path: str, entry: Mapping[str, object], schema: T.StructType = RUN_LOG) -> None:
     """Append one run; unknown fields are refused, missing ones are null."""
-    unknown = set(entry) - set(RUN_LOG.names)
+    unknown = set(entry) - set(schema.names)
     if unknown:
         raise ValueError(f"unknown run log fields: {sorted(unknown)}")
-    row = tuple(entry.get(name) for name in RUN_LOG.names)
-    spark.createDataFrame([row], RUN_LOG).write.mode("append").parquet(path)
+    row = tuple(entry.get(name) for name in schema.names)
+    spark.createDataFrame([row], schema).write.mode("append").parquet(path)
 
 
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_LOG).parquet(path)
+def read_runs(spark: SparkSession, path: str, schema: T.StructType = RUN_LOG) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
 
 
 def latest_runs(runs: DataFrame, n: int = 10) -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from folioforge.operators.cdc import one_per_key, upsert
+from folioforge.operators.cdc import cdc_column_audit, one_per_key, upsert
 from folioforge.sources import files
 
 POINTER = "CURRENT"
@@ -130,6 +130,26 @@ def upsert_buckets(
     overwrite_partitions(latest, path, [BUCKET])
 
 
+def write_change_audit(
+    spark: SparkSession, current: DataFrame, batch: DataFrame, key: str, path: str, run_id: str, run_ts: str,
+    ignore: Sequence[str] = (),
+) -> None:
+    """Record what an upsert of ``batch`` changes, column by column; run it before the upsert.
+
+    A run has a partition of its own, so a repeated run replaces its records.
+    """
+    old = current.join(batch.select(key), key, "left_semi").drop(*ignore)
+    audit = cdc_column_audit(old, batch.drop(*ignore), [key]).select(
+        F.col(key).cast("string").alias("key_id"),
+        "action",
+        "column_changed",
+        "old_value",
+        "new_value",
+        F.lit(run_ts).cast("timestamp").alias("timestamp"),
+    )
+    write_parquet(audit, f"{path}/run_id={run_id}")
+
+
 def report_json(report: DataFrame, run_ts: str) -> DataFrame:
     """One text row: overall result, time and the checks of a (short) report as JSON."""
     checks = F.collect_list(F.struct(*report.columns)).alias("checks")

@@ -78,11 +78,14 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two snapshots of orders: deletions, insertions and price changes between them."""
+    """Two snapshots of a rolling order book: all orders up to 2000, then all from July 1995 on.
+
+    Between them old orders are dropped, new ones arrive, and pending orders are charged a fee.
+    """
     orders = table(spark, sf_dir, "orders")
-    old = orders.where(F.col("o_orderkey") % 10 != 0)
-    new = orders.where(F.col("o_orderkey") % 10 != 1).withColumn(
+    old = orders.where(F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp_ntz"))
+    new = orders.where(F.col("o_orderdate") >= F.lit("1995-07-01").cast("timestamp_ntz")).withColumn(
         "o_totalprice",
-        F.when(F.col("o_orderkey") % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+        F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
     )
     return old, new

@@ -68,7 +68,7 @@ def test_word_shape(spark):
     titles = ["a bc  def", "  lead", "", None, "tab\tand\nline", "naïve café"]
     assert apply(spark, titles, "string", text.word_count) == [3, 1, 0, 0, 3, 2]
     assert apply(spark, titles, "string", text.title_length) == [9, 6, 0, 0, 12, 10]
-    assert apply(spark, ["ab cd", "", None], "string", text.chars_per_word) == [2.5, 0.0, 0.0]
+    assert apply(spark, ["ab cd", "", None], "string", lambda c: text.chars_per_word(text.title_length(c), text.word_count(c))) == [2.5, 0.0, 0.0]
     assert apply(spark, ["a: b", "a-b", "ab", None], "string", text.has_subtitle) == [1, 1, 0, 0]
 
 

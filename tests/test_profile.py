@@ -142,3 +142,14 @@ def test_sample_is_stable_under_repartition(spark):
     for seed in (None, "42"):
         assert values(aggregates.sample_rows(df, "id", 12, seed)) == values(aggregates.sample_rows(df.repartition(9), "id", 12, seed))
     assert values(aggregates.sample_rows(df, "id", 12)) != values(aggregates.sample_rows(df, "id", 12, "42"))
+
+
+def test_distinct_counts(spark):
+    df = spark.range(100).select((F.col("id") % 7).alias("a"), F.lit(None).cast("string").alias("b"))
+    assert values(profile.distinct_counts(df, ["a", "b"])) == [("a", 7)]
+    assert values(profile.distinct_counts(df, ["a", "b"], approx=True)) == [("a", 7), ("b", 0)]
+
+
+def test_approx_quantiles(spark):
+    row = exact_quantiles(spark.range(1001).select(F.col("id").alias("v")), ["v"], [0.5], approx=True).first()
+    assert row["q"][0] == pytest.approx(500, abs=2)

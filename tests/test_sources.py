@@ -118,6 +118,29 @@ def test_failed_runs_are_logged_and_leave_the_target(spark, landed, tmp_path):
         run_record_pipeline(spark, landed, root, "other")
 
 
+def test_routes_change_audit_and_buckets(spark, landed, tmp_path):
+    root = str(tmp_path / "out")
+    options = {
+        "fail_rules": {"old": F.col("publish_year") > 2010},
+        "warn_rules": {"no_identifier": F.col("isbn") != ""},
+        "buckets": 4,
+    }
+    first = run_record_pipeline(spark, landed, root, **options)
+    assert (first["status"], first["records_after_transform"], first["records_loaded"]) == ("SUCCESS", 5, 4), first["error_msg"]
+    assert spark.read.parquet(f"{root}/quarantine").count() == 1 and spark.read.parquet(f"{root}/audit").count() == 3
+    page = json.loads((tmp_path / "landing/science/page.json").read_text())
+    page["docs"][2]["title"] = "Pocket Guide, revised"
+    (tmp_path / "landing/science/page.json").write_text(json.dumps(page) + "\n")
+    second = run_record_pipeline(spark, landed, root, **options)
+    assert second["status"] == "SUCCESS" and spark.read.parquet(f"{root}/fact_buckets").count() == 4
+    changes = values(spark.read.parquet(f"{root}/cdc_audit"), "key_id", "action", "column_changed", "old_value", "new_value")
+    assert changes == [
+        ("/works/A3-science", "UPDATE", "title", "Pocket Guide", "Pocket Guide, revised"),
+        ("/works/A3-science", "UPDATE", "title_word_count", "2", "3"),
+    ]
+    assert run_record_pipeline(spark, landed, root, "full", buckets=4)["status"] == "FAILED"
+
+
 def test_catalog_pipeline(spark, tmp_path):
     path = write_csv(tmp_path / "c.csv", [line(i, f"97800000000{i % 8:02d}") for i in range(12)])
     good, _ = catalog_csv.split_corrupt(cut_lineage(catalog_csv.read_catalog_csv(spark, path)))
@@ -125,6 +148,10 @@ def test_catalog_pipeline(spark, tmp_path):
     assert out["catalog"].count() == out["etl_fact"].count() == out["fact_book_sales"].count() == 8
     assert spark.read.option("header", True).csv(str(tmp_path / "out/processed")).count() == 8
     assert out["totals"].first()["failed"] == 0
+    log = out["etl_log"].first()
+    assert (log["extracted_records"], log["transformed_records"], log["loaded_records"], log["load_strategy"]) == (12, 8, 8, "FULL")
+    again = run_catalog_pipeline(spark, good, str(tmp_path / "out"), "2024-01-02T00:00:00", strategy="incremental")
+    assert again["etl_fact"].count() == 8 and again["etl_log"].count() == 2
 
 
 def test_load_of_the_record_fact(spark, raw_records, tmp_path):
