@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from folioforge.operators.aggregates import category_stats
 from folioforge.operators.quality import (
@@ -21,14 +22,14 @@ from folioforge.operators.quality import (
     validate_report,
 )
 from folioforge.operators.warehouse import books_3nf, etl_fact, star_schema
-from folioforge.plans.catalog import prepare_catalog
+from folioforge.plans.catalog import staged_catalog
 from folioforge.plans.records import transform_records
-from folioforge.plans.recovery import retry
+from folioforge.plans.recovery import Throttled, retry
 from folioforge.plans.runlog import append_run, read_runs
 from folioforge.schemas import ETL_EXECUTION_LOG
 from folioforge.session import cut_lineage
 from folioforge.sources import files
-from folioforge.sources.record_pages import explode_docs, read_sources, require_records, source_status
+from folioforge.sources.record_pages import explode_docs, read_pages, require_records, source_status
 from folioforge.sources.sinks import (
     BUCKET,
     POINTER,
@@ -50,10 +51,25 @@ class GateFailed(RuntimeError):
     """The quality gate stopped the run before the load."""
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count the rows in the pass that uses them anyway."""
-    watch = Observation(name)
-    return df.observe(watch, F.count(F.lit(1)).alias("rows")), watch
+def stage_sources(
+    spark: SparkSession, sources: Mapping[str, str], multi_line: bool, sleep: Callable[[float], None]
+) -> tuple[DataFrame | None, dict[str, str]]:
+    """(staged pages, error per failed source). Each source is read, with retries, on its own, so one
+    that cannot be found or read does not stop the others.
+    """
+    pages, errors = None, {}
+    for name, path in sources.items():
+        try:
+            part = retry(
+                lambda name=name, path=path: cut_lineage(read_pages(spark, path, name, multi_line)),
+                fatal=(Throttled, AnalysisException),
+                sleep=sleep,
+            )
+        except Exception as error:
+            errors[name] = str(error).splitlines()[0]
+            continue
+        pages = part if pages is None else pages.unionByName(part)
+    return pages, errors
 
 
 def run_record_pipeline(
@@ -92,18 +108,17 @@ def run_record_pipeline(
     }
     reports = f"{root}/reports/{run_id}"
     try:
-        pages, errors = retry(lambda: read_sources(spark, sources, multi_line), sleep=sleep)
-        staged_pages = cut_lineage(pages) if pages is not None else None
-        status = require_records(cut_lineage(source_status(spark, staged_pages, list(sources), errors)))
+        pages, errors = stage_sources(spark, sources, multi_line, sleep)
+        status = require_records(cut_lineage(source_status(spark, pages, list(sources), errors)))
         status.write.mode("overwrite").parquet(f"{reports}/sources")
 
-        raw, extracted = observed(explode_docs(staged_pages), "extracted")
-        write_parquet(raw, f"{root}/raw/run_id={run_id}")
-        run["records_extracted"] = extracted.get["rows"]
+        # Counts are taken from what was written: counters of a running job may see a task twice.
+        write_parquet(explode_docs(pages), f"{root}/raw/run_id={run_id}")
+        raw = spark.read.parquet(f"{root}/raw/run_id={run_id}")
+        run["records_extracted"] = raw.count()
 
-        fact, transformed = observed(transform_records(spark.read.parquet(f"{root}/raw/run_id={run_id}")), "done")
-        fact = cut_lineage(fact)
-        run["records_after_transform"] = transformed.get["rows"]
+        fact = cut_lineage(transform_records(raw))
+        run["records_after_transform"] = fact.count()
 
         checks = cut_lineage(gate_checks(fact, rules))
         write_report(checks, f"{reports}/gate", run_ts)
@@ -157,10 +172,9 @@ def run_catalog_pipeline(
     The featured catalog is staged once and all phases read it. The fact load is logged.
     """
     started = time.monotonic()
-    counted, extracted = observed(raw, "extracted")
-    write_parquet(counted, f"{root}/raw")
-    featured, transformed = observed(prepare_catalog(spark.read.parquet(f"{root}/raw")), "transformed")
-    catalog = cut_lineage(featured)
+    write_parquet(raw, f"{root}/raw")
+    kept = spark.read.parquet(f"{root}/raw")
+    catalog = staged_catalog(kept)
     write_csv(catalog.drop("ingest_seq"), f"{root}/processed", drop=["img_path_raw"])
     write_csv(category_stats(catalog), f"{root}/category_stats")
 
@@ -169,6 +183,7 @@ def run_catalog_pipeline(
         full_load(spark, fact, f"{root}/etl_fact")
     else:
         incremental_load(spark, fact, f"{root}/etl_fact", ["isbn"])
+    rows = catalog.count()
     append_run(
         spark,
         f"{root}/etl_log",
@@ -176,9 +191,9 @@ def run_catalog_pipeline(
             "exec_id": uuid.uuid4().hex,
             "source": source,
             "load_strategy": strategy.upper(),
-            "extracted_records": extracted.get["rows"],
-            "transformed_records": transformed.get["rows"],
-            "loaded_records": transformed.get["rows"],
+            "extracted_records": kept.count(),
+            "transformed_records": rows,
+            "loaded_records": rows,
             "execution_time_ms": int((time.monotonic() - started) * 1000),
             "status": "SUCCESS",
             "timestamp": datetime.fromisoformat(run_ts),

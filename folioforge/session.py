@@ -44,9 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
         return setting
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = os.path.join(tempfile.gettempdir(), f"folioforge-{spark.sparkContext.applicationId}")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return os.path.join(tempfile.gettempdir(), f"folioforge-{spark.sparkContext.applicationId}")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

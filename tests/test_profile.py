@@ -117,6 +117,8 @@ def test_pca_against_numpy(spark):
     got = np.array([r["pc1"] for r in points.orderBy("key").collect()])
     np.testing.assert_allclose(got, z @ first, atol=2e-3)
     assert scaling.pca(df.limit(5), list("abcde")) is None
+    as_array, other = scaling.pca(df.select("key", F.array(*"abcde").alias("e")), "e", k=2)
+    assert values(as_array) == values(variance) and values(other, "key", "pc1", "pc2") == values(points, "key", "pc1", "pc2")
 
 
 def test_column_types(spark):

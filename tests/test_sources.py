@@ -118,6 +118,17 @@ def test_failed_runs_are_logged_and_leave_the_target(spark, landed, tmp_path):
         run_record_pipeline(spark, landed, root, "other")
 
 
+def test_unreadable_source_is_retried_and_reported(spark, landed, tmp_path):
+    (tmp_path / "broken.json.gz").write_bytes(b"not gzip at all")
+    pauses = []
+    sources = {**landed, "broken": str(tmp_path / "broken.json.gz")}
+    run = run_record_pipeline(spark, sources, str(tmp_path / "out"), sleep=pauses.append)
+    assert (run["status"], run["records_extracted"], pauses) == ("SUCCESS", 9, [2.0, 4.0, 8.0]), run["error_msg"]
+    status = spark.read.parquet(str(tmp_path / "out/reports/*/sources"))
+    assert values(status.where("source = 'broken'"), "records") == [(0,)]
+    assert status.where("source = 'broken'").first()["status"].startswith("FAILED")
+
+
 def test_routes_change_audit_and_buckets(spark, landed, tmp_path):
     root = str(tmp_path / "out")
     options = {
