@@ -16,13 +16,21 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Settings that only a new session can take.
+START_SETTINGS = {
+    # Plans are built from many small column calls; recording a call site for each is most of their cost.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Files of reliable checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
 
 def build_session(app_name: str = "folioforge", master: str | None = None, **conf: str) -> SparkSession:
     """Start (or get) a session. On a cluster leave ``master`` to spark-submit."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SQL_SETTINGS, **conf}.items():
+    for key, value in {**SQL_SETTINGS, **START_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
