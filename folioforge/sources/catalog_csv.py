@@ -23,17 +23,18 @@ def read_catalog_csv(
 ) -> DataFrame:
     """Read headered CSV. Rows that do not fit the schema keep their text in ``_corrupt_record``.
 
-    Bytes that are no valid UTF-8 become replacement characters. Without a ``schema`` the header
-    gives the names and every column is text; nothing is inferred, so the data is read once.
+    Columns go by header name, in any order; those the schema does not list are read as text. A file
+    whose header differs from the first one is refused. Bytes that are no valid UTF-8 become replacement
+    characters. Without a ``schema`` every column is text. Nothing is inferred, so the data is read once.
     ``ingest_seq`` orders rows by (file, split, row), which is what keep-first rules need.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("enforceSchema", False)
     if schema is not None:
-        declared = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-        reader = (
-            reader.schema(declared).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        )
-        reader = reader.option("enforceSchema", True)
+        header = reader.csv(path).columns  # reads one line
+        types = {f.name: f.dataType for f in schema.fields}
+        fields = [T.StructField(c, types.get(c, T.StringType())) for c in header]
+        declared = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+        reader = reader.schema(declared).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     df = reader.csv(path)
     if sequence:
         df = df.withColumn(

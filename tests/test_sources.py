@@ -53,6 +53,17 @@ def test_csv_bad_rows_bytes_and_empty(spark, tmp_path):
         catalog_csv.read_catalog_csv(spark, write_csv(tmp_path / "e.csv", []))
 
 
+def test_csv_columns_go_by_header_name(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "1.csv").write_text("isbn,extra,name\n1,x,One\n2,y,Two\n")
+    df = catalog_csv.read_catalog_csv(spark, str(folder))
+    assert values(df, "isbn", "name", "extra") == [("1", "One", "x"), ("2", "Two", "y")]
+    (folder / "2.csv").write_text("name,extra,isbn\nThree,z,3\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        catalog_csv.read_catalog_csv(spark, str(folder)).collect()
+
+
 def test_csv_without_schema_is_text(spark, tmp_path):
     (tmp_path / "s.csv").write_text("k,v\n1,2\n")
     df = catalog_csv.read_catalog_csv(spark, str(tmp_path / "s.csv"), schema=None, sequence=False)
