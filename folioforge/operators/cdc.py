@@ -25,12 +25,15 @@ def compared_columns(old: DataFrame, new: DataFrame, key: Sequence[str]) -> list
 
 
 def as_text(df: DataFrame, column: str) -> Column:
-    """Text form for audits; doubles as two-digit decimals."""
+    """Text form for audits: doubles with two digits where that is their exact value, else in full.
+
+    Different values thus never share a text, and the audit shows every change the comparison sees.
+    """
     kind = df.schema[column].dataType
     col = F.col(column)
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        # Values beyond the decimal range keep their own text.
-        return F.coalesce(col.try_cast("decimal(18,2)").cast("string"), col.cast("string"))
+        money = col.try_cast("decimal(18,2)")
+        return F.when(money.cast(kind) == col, money.cast("string")).otherwise(col.cast("string"))
     return col.cast("string")
 
 

@@ -128,7 +128,7 @@ CUBE_MEASURES = (
     f"{r(xmean('l_extendedprice'), 2)} AS avg_l_extendedprice, {r(xmean('l_quantity'), 2)} AS avg_l_quantity"
 )
 SNAPSHOTS = """old AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'), new AS (
-  SELECT * REPLACE (CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
+  SELECT * REPLACE (CASE WHEN o_orderstatus = 'P' THEN round(o_totalprice + 1, 2) ELSE o_totalprice END AS o_totalprice)
   FROM orders WHERE o_orderdate >= TIMESTAMP '1995-07-01')"""
 UPSERTED = f"""{SNAPSHOTS}, merged AS (
   SELECT * FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new) UNION ALL SELECT * FROM new)"""

@@ -86,6 +86,6 @@ def order_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     old = orders.where(F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp_ntz"))
     new = orders.where(F.col("o_orderdate") >= F.lit("1995-07-01").cast("timestamp_ntz")).withColumn(
         "o_totalprice",
-        F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+        F.when(F.col("o_orderstatus") == "P", F.round(F.col("o_totalprice") + 1, 2)).otherwise(F.col("o_totalprice")),
     )
     return old, new

@@ -36,6 +36,13 @@ def test_null_changes_and_extra_columns(spark):
     assert values(cdc.cdc_column_audit(old, new, ["k"])) == [("q", "UPDATE", "a", "1", None), ("r", "UPDATE", "a", None, "3")]
 
 
+def test_audit_shows_every_compared_change(spark):
+    old = spark.createDataFrame([("p", 1, 1.0), ("q", 1, 1.5), ("r", 1, 1e30)], SCHEMA)
+    new = spark.createDataFrame([("p", 1, 1.0000001), ("q", 1, 1.5), ("r", 1, 2e30)], SCHEMA)
+    assert cdc.cdc_summary(old, new, ["k"]).first()["updated"] == 2
+    assert values(cdc.cdc_column_audit(old, new, ["k"])) == [("p", "UPDATE", "b", "1.00", "1.0000001"), ("r", "UPDATE", "b", "1.0E30", "2.0E30")]
+
+
 def test_empty_snapshots(spark):
     empty, some = frame(spark, {}), frame(spark, {"p": (1, 0.5)})
     assert cdc.cdc_summary(empty, empty, ["k"]).first().asDict() == {"inserted": 0, "updated": 0, "deleted": 0, "unchanged": 0}
