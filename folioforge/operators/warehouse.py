@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from folioforge.functions import text
 from folioforge.operators.clean import PLACEHOLDER
-from folioforge.session import cut_lineage
+from folioforge.session import broadcast_if_small, cut_lineage
 
 UNKNOWN_KEY = -1
 # monotonically_increasing_id: partition number above bit 33, position in the partition below.
@@ -118,9 +118,10 @@ def lookup_key(
 ) -> DataFrame:
     """Replace a natural key by its surrogate; no match gives the unknown member.
 
-    No broadcast hint, as dimensions grow: Spark measures them, and splits skewed keys otherwise.
+    A dimension derived in the same job has no known size, so Spark would shuffle the fact for it. It is
+    measured: broadcast when small, else joined without a hint, where Spark splits skewed keys.
     """
-    members = dim.select(F.col(name).alias("_member"), F.col(key).alias(key))
+    members = broadcast_if_small(dim.select(F.col(name).alias("_member"), F.col(key).alias(key)))
     joined = df.join(members, F.col(column) == F.col("_member"), "left")
     return joined.withColumn(key, F.coalesce(key, F.lit(default).cast("bigint"))).drop("_member")
 
