@@ -6,6 +6,53 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLES: dict[str, str] = {}
 
+ORACLES["op1_pareto_mix"] = """
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents
+), graded AS (SELECT *, length(bin(size))::BIGINT AS g FROM sized),
+listed AS (
+  SELECT source, sum(size)::BIGINT AS s, row_number() OVER (ORDER BY source NULLS LAST) AS r FROM graded GROUP BY source
+), weighed AS (SELECT *, CASE (r - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM listed),
+filled AS (
+  SELECT *, (sum(s) OVER () * 150 / 100.0
+      - (sum(2 * s) OVER (ORDER BY 2.0 * s / w, r ROWS UNBOUNDED PRECEDING) - 2 * s))::DOUBLE
+    / (sum(w) OVER (ORDER BY 2.0 * s / w DESC, r DESC ROWS UNBOUNDED PRECEDING))::DOUBLE AS level
+  FROM weighed
+), water AS (SELECT arg_min(level, 2.0 * s / w) AS level FROM filled WHERE level * w <= 2 * s),
+target AS (
+  SELECT source, s, CASE WHEN water.level IS NULL THEN 2.0 * s ELSE least(w * water.level, 2 * s)::DOUBLE END AS target
+  FROM weighed CROSS JOIN water
+), level AS (SELECT source, g, sum(size) AS words FROM graded GROUP BY source, g),
+scaled AS (
+  SELECT t.*, g, CASE WHEN sum(words * g) OVER below > 0
+      THEN (target - 2 * coalesce(sum(words) OVER above, 0))::DOUBLE / (sum(words * g) OVER below)::DOUBLE ELSE 0 END AS scale
+  FROM level JOIN target t ON level.source IS NOT DISTINCT FROM t.source
+  WINDOW above AS (PARTITION BY t.source ORDER BY g DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    below AS (PARTITION BY t.source ORDER BY g DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), free AS (SELECT source, max(g) AS free, arg_max(scale, g) AS scale FROM scaled WHERE scale * g <= 2 GROUP BY source),
+expected AS (
+  SELECT d.*, t.s, t.target,
+    CASE WHEN g > coalesce(free, 0) THEN 2.0 ELSE least(2.0, coalesce(scale, 0) * g) END AS copies
+  FROM graded d JOIN target t ON d.source IS NOT DISTINCT FROM t.source
+  LEFT JOIN free f ON d.source IS NOT DISTINCT FROM f.source
+), draw AS (
+  SELECT *, floor(copies)::BIGINT AS whole, copies - floor(copies) AS p,
+    (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+  FROM expected
+), ranked AS (
+  SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS odds,
+    target - sum(size * whole) OVER (PARTITION BY source) AS room
+  FROM draw
+), placed AS (
+  SELECT *, sum(CASE WHEN p > 0 THEN size END) OVER (PARTITION BY source ORDER BY odds NULLS LAST, doc_id
+    ROWS UNBOUNDED PRECEDING) - size / 2.0 AS mid
+  FROM ranked
+)
+SELECT doc_id, size, s AS source_size, target,
+  (size * (whole + CASE WHEN p > 0 AND mid <= room THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM placed
+"""
+
 ORACLES["op7_line_dedup"] = f"""
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
@@ -33,7 +80,7 @@ word AS (
 ), shingle AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
     WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS g
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g
   FROM word
 )"""
 
@@ -44,9 +91,9 @@ shared AS (
 ), link AS (
   SELECT a, b FROM shared JOIN size x ON a = x.doc_id JOIN size y ON b = y.doc_id
   WHERE 100 * c >= 75 * (x.n + y.n - c)
-), both AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+), edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
 reach AS (
-  SELECT doc_id, doc_id AS root FROM {{docs}} UNION SELECT both.b, reach.root FROM reach JOIN both ON reach.doc_id = both.a
+  SELECT doc_id, doc_id AS root FROM {{docs}} UNION SELECT edge.b, reach.root FROM reach JOIN edge ON reach.doc_id = edge.a
 )"""
 
 ORACLES["op10_jaccard_join"] = f"""

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from folioforge.llm.common import staged
+from folioforge.llm.decontam import leaks
 from folioforge.llm.line_dedup import dedup_lines
+from folioforge.llm.mixing import copies, mix_plan, sized
 from folioforge.llm.ngram_join import jaccard_join
 from folioforge.llm.quality_rules import quality_rules
 
@@ -23,6 +26,19 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+@query
+def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = staged(sized(table(spark, sf_dir, "documents", "doc_id", "text", "source")), "sizes")
+    taken = copies(sizes, mix_plan(sizes))
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "shared", "united").distinct()
+
+
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
