@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioforge.llm.common import staged
@@ -12,6 +13,9 @@ from folioforge.llm.line_dedup import dedup_lines
 from folioforge.llm.mixing import copies, mix_plan, sized
 from folioforge.llm.ngram_join import jaccard_join
 from folioforge.llm.quality_rules import quality_rules
+from folioforge.llm.token_files import read_tokens, token_folder, write_tokens
+
+END_ID = 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -33,6 +37,17 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def token_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write the token files of ``docs`` and read them back."""
+    folder = token_folder(spark)
+    return read_tokens(write_tokens(docs, folder, public_tokenizers.path("word_bpe_49k.json"), END_ID), folder)
+
+
+@query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rows(spark, table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query
 def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaks(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"))
