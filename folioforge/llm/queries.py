@@ -7,14 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioforge.llm.common import staged
+from folioforge.llm import language, rule_quality, toxicity
+from folioforge.llm.common import remainder, staged
 from folioforge.llm.decontam import leaks
 from folioforge.llm.line_dedup import dedup_lines
 from folioforge.llm.mixing import copies, mix_plan, sized
 from folioforge.llm.ngram_join import jaccard_join
 from folioforge.llm.quality_rules import quality_rules
+from folioforge.llm.token_counts import token_counts
 from folioforge.llm.token_files import read_tokens, token_folder, write_tokens
 
+from folioforge.session import broadcast_if_small
+
 END_ID = 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,12 +52,39 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rows(spark, table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaks(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "shared", "united").distinct()
 
 
+def held_out(fold: int, folds: int):
+    return F.coalesce(remainder("doc_id", folds) == fold, F.lit(False))
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = language.fit(docs.filter(remainder("doc_id", 3) != 1))
+    return language.predict(docs.select("doc_id", "text", held_out(1, 3).alias("held_out")), model)
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    learned = docs.filter(remainder("doc_id", 3) != 1)
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic").filter(remainder("doc_id", 3) != 1).filter("toxic IS NOT NULL")
+    labelled = learned.select("doc_id", "text").join(broadcast_if_small(labels), "doc_id")
+    network = toxicity.fit(labelled, language.fit(learned))
+    return toxicity.score(docs.select("doc_id", "text", held_out(1, 3).alias("held_out")), network)
+
+
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -67,6 +98,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text")
 
 
+@query
+def op9_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    featured = staged(rule_quality.with_features(docs).select("doc_id", "features"), "features")
+    labels = table(spark, sf_dir, "labels").filter(remainder("doc_id", 5) != 0)
+    model = rule_quality.fit(featured, labels)
+    scored = featured.select("doc_id", held_out(0, 5).alias("held_out"), model.column().alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))
