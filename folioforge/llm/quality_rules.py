@@ -1,6 +1,7 @@
 """Quality rules: hashed n-gram log-likelihood ratio between trusted texts and the raw corpus.
 
-Two multinomials over hashed word and punctuation unigrams and bigrams: one of the trusted documents, one of all documents.
+Two multinomials over hashed word and punctuation unigrams and bigrams: one of all documents, and one of the trusted
+documents, smoothed towards the first.
 A document's score is its log-likelihood ratio divided by its number of n-grams, and the same fixed threshold decides every
 document. Base rules on words, symbols, lines and repeated word windows come before it. Everything is a column expression:
 one counting pass over the corpus, whose result has a fixed number of cells, and a scoring pass without a shuffle.
@@ -91,8 +92,9 @@ def ngram_weights(docs: DataFrame, trusted: DataFrame, cells: int = CELLS) -> li
         return [0.0] * (2 * cells)
     out: list[float] = []
     for part in (slice(0, cells), slice(cells, 2 * cells)):
-        n, hits = sum(raw[part]) + cells, sum(target[part]) + cells
-        out += [math.log((h + 1) / hits) - math.log((r + 1) / n) for r, h in zip(raw[part], target[part])]
+        # One pseudo-count per cell at the raw rate: cells that little is known of stay near 0.
+        share = sum(target[part]) / max(1, sum(raw[part]))
+        out += [math.log((h + 1) / (r * share + 1)) for r, h in zip(raw[part], target[part])]
     return out
 
 

@@ -53,27 +53,28 @@ def statistics(text: Column) -> dict[str, Column]:
     }
 
 
-def features() -> dict[str, Column]:
-    """Features of the columns that ``statistics`` names."""
-    over = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
-    c = F.col
-    return {
-        "n_words": c("counts.words").cast("double"),
-        "word_length": over(c("seen"), c("counts.words")),
-        "unlike_words": over(c("counts.unlike"), c("counts.words")),
-        "n_lines": c("rows.lines").cast("double"),
-        "line_words": over(c("counts.words"), c("rows.lines")),
-        "unlike_lines": over(c("rows.unlike"), c("rows.lines")),
-        "symbols": over(c("symbols"), c("seen")),
-        "upper": over(c("upper"), c("letters")),
-        "letters": over(c("letters"), c("seen")),
-        "digits": over(c("digits"), c("seen")),
-        "marks": over(c("marks"), c("counts.words")),
-        "shouts": over(c("shouts"), c("counts.words")),
-    }
-
-
-NAMES = list(features())
+# Features over the columns that ``statistics`` names: (numerator, denominator or nothing).
+FEATURES = {
+    "n_words": ("counts.words", None),
+    "word_length": ("seen", "counts.words"),
+    "unlike_words": ("counts.unlike", "counts.words"),
+    "n_lines": ("rows.lines", None),
+    "line_words": ("counts.words", "rows.lines"),
+    "unlike_lines": ("rows.unlike", "rows.lines"),
+    "symbols": ("symbols", "seen"),
+    "upper": ("upper", "letters"),
+    "letters": ("letters", "seen"),
+    "digits": ("digits", "seen"),
+    "marks": ("marks", "counts.words"),
+    "shouts": ("shouts", "counts.words"),
+}
+NAMES = list(FEATURES)
+
+
+def ratio(top: str, bottom: str | None) -> Column:
+    if bottom is None:
+        return F.col(top).cast("double")
+    return F.when(F.col(bottom) > 0, F.col(top) / F.col(bottom)).otherwise(0.0)
 
 
 def with_features(docs: DataFrame) -> DataFrame:
@@ -81,7 +82,7 @@ def with_features(docs: DataFrame) -> DataFrame:
     stats = F.struct(*[v.alias(k) for k, v in statistics(F.col("text")).items()]).alias("__s")
     kept = without(docs, "features")
     inner = kept.select(F.struct(*kept.columns).alias("__row"), stats).select("__row", "__s.*")
-    values = F.struct(*[v.cast("double").alias(k) for k, v in features().items()])
+    values = F.struct(*[ratio(*v).alias(k) for k, v in FEATURES.items()])
     return inner.select("__row.*", values.alias("features"))
 
 
