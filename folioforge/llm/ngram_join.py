@@ -25,7 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from folioforge.llm.common import in_arrow, staged
@@ -78,18 +77,12 @@ def _ordered(value: np.ndarray, starts: np.ndarray, ends: np.ndarray, classes: n
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], width: int, percent: int, classes, excess) -> Iterator[pa.RecordBatch]:
-    seen: set[int] = set()  # sets that this partition has indexed; copies link through their class
     for batch in batches:
         for part in parts(batch):
             value, starts, ends = shingle_sets(part["text"], width)
             token = _ordered(value, starts, ends, classes)
             size = ends - starts
             take = np.where(size > 0, size - -(-percent * size // 100) + 1, 0)
-            for i in np.flatnonzero(size).tolist():
-                mark = xxhash.xxh3_128_intdigest(token[starts[i] : ends[i]].tobytes())
-                if mark in seen:
-                    take[i] = 0
-                seen.add(mark)
             rows = np.repeat(np.arange(len(size)), take)
             position = np.arange(len(rows)) - np.repeat(np.cumsum(take) - take, take)
             tokens = token[starts[rows] + position]
@@ -127,9 +120,14 @@ def _near_sizes(a: Column, b: Column, percent: int) -> Column:
     return (F.least(a, b) * 100).cast("long") >= F.greatest(a, b).cast("long") * percent
 
 
-def _position_bound(pos_a: Column, pos_b: Column, n_a: Column, n_b: Column) -> Column:
-    """Most overlap of two ordered sets that share the token at these positions."""
-    return F.least(pos_a, pos_b) + 1 + F.least(n_a - pos_a - 1, n_b - pos_b - 1)
+def _passes(a: str, b: str, percent: int) -> str:
+    """SQL of the length and positional filters on two holders of a token. Ordered sets that share the token at these
+    positions overlap in as many shingles before it as the earlier position allows, and after it as the shorter rest."""
+    bound = f"(least({a}pos, {b}pos) + 1 + least({a}n - {a}pos - 1, {b}n - {b}pos - 1))"
+    return (
+        f"({a}doc_id <> {b}doc_id AND 100L * least({a}n, {b}n) >= {percent}L * greatest({a}n, {b}n)"
+        f" AND {100 + percent}L * {bound} >= {percent}L * ({a}n + {b}n))"
+    )
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, info: DataFrame, width: int, percent: int) -> DataFrame:
@@ -167,7 +165,11 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 75) -> tuple[Da
     least = filled.groupBy("sig1", "sig2", "n").agg(F.min("doc_id").alias("rep"))
     classes = staged(filled.join(least, ["sig1", "sig2", "n"]).select("doc_id", "rep").distinct(), "classes")
 
-    counted = in_arrow(docs, lambda x: _counts(x, width), "cell long, holders long").groupBy("cell").agg(F.sum("holders").alias("n"))
+    # Documents all of whose sets have another representative are linked already; the others are indexed.
+    copies = classes.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("rep")).alias("own")).filter("NOT own").select("doc_id")
+    once = docs.join(broadcast_if_small(copies), "doc_id", "left_anti")
+
+    counted = in_arrow(once, lambda x: _counts(x, width), "cell long, holders long").groupBy("cell").agg(F.sum("holders").alias("n"))
     holders = np.zeros(1 << CELL_BITS, np.int64)
     for cell, n in counted.collect():  # 2 ** CELL_BITS rows at most
         holders[cell] = n
@@ -175,24 +177,19 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 75) -> tuple[Da
     rarity = np.minimum(63, (2 * np.log2(1 + excess)).astype(np.int64)).astype(np.uint64)
 
     index = in_arrow(
-        docs, lambda x: _prefixes(x, width, percent, rarity, excess), "token long, doc_id long, n int, pos int, salt int"
+        once, lambda x: _prefixes(x, width, percent, rarity, excess), "token long, doc_id long, n int, pos int, salt int"
     )
     together = Window.partitionBy("token", "salt")
-    shared = staged(
-        index.withColumn("c", F.count(F.lit(1)).over(together)).filter("c > 1 OR salt > 0").select("token", "doc_id", "n", "pos"),
-        "shared-tokens",
-    )
-
-    hubs = shared.groupBy("token").agg(F.min(F.struct("doc_id", "n", "pos")).alias("hub"))
-    first = (
-        shared.join(hubs, "token")
-        .filter("doc_id <> hub.doc_id")
-        .filter(_near_sizes(F.col("n"), F.col("hub.n"), percent))
-        .withColumn("bound", _position_bound(F.col("pos"), F.col("hub.pos"), F.col("n"), F.col("hub.n")))
-        .filter(F.col("bound") * (100 + percent) >= percent * (F.col("n") + F.col("hub.n")))
-        .select(F.col("doc_id").alias("a"), F.col("hub.doc_id").alias("b"))
-        .distinct()
-    )
+    met = index.withColumn("c", F.count(F.lit(1)).over(together)).withColumn("hub", F.min(F.struct("doc_id", "n", "pos")).over(together))
+    # Two holders are one pair, which passes here or never; the holders of other tokens may meet again later.
+    met = met.filter(f"c > 2 OR salt > 0 OR (c = 2 AND {_passes('', 'hub.', percent)})")
+    met = staged(met.select("token", "doc_id", "n", "pos", "hub", (F.col("salt") > 0).alias("salted"), (F.expr("c > 2 OR salt > 0")).alias("more")), "met-tokens")
+
+    shared = met.filter("more").select("token", "doc_id", "n", "pos")
+    tops = met.filter("salted").groupBy("token").agg(F.min("hub").alias("hub"))
+    local = met.filter(_passes("", "hub.", percent)).select("doc_id", "hub")
+    across = met.filter("salted").drop("hub").join(tops, "token").filter(_passes("", "hub.", percent)).select("doc_id", "hub")
+    first = local.union(across).select(F.col("doc_id").alias("a"), F.col("hub.doc_id").alias("b")).distinct()
     links = _verified(first, docs, info, width, percent)
     equal = classes.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     label = components(equal.union(links))
@@ -202,12 +199,8 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 75) -> tuple[Da
     apart = marked.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     open_ = marked.join(apart.select("token"), "token", "left_semi")
     x, y = open_.alias("x"), open_.alias("y")
-    cross = F.col("x.component") < F.col("y.component")
-    near = _near_sizes(F.col("x.n"), F.col("y.n"), percent)
-    bound = _position_bound(F.col("x.pos"), F.col("y.pos"), F.col("x.n"), F.col("y.n"))
-    met = bound * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n"))
     second = (
-        x.join(y, (F.col("x.token") == F.col("y.token")) & cross & near & met)
+        x.join(y, F.expr(f"x.token = y.token AND x.component < y.component AND {_passes('x.', 'y.', percent)}"))
         .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
         .distinct()
     )
