@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from folioforge.llm.common import SPACES, ascii_lower, without
+from folioforge.llm.common import SPACES, ascii_lower, staged, without
 
 
 def line_key(line: Column) -> Column:
@@ -55,6 +55,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
         .filter(F.col("__docs") >= min_docs)
         .drop("__docs")
     )
+    # Written first, so that both sides of the join are dealt for it alone and Spark can split a hot hash.
+    repeated = staged(repeated, "repeated-lines")
     drops = (
         lines.join(repeated, ["__k1", "__k2"])
         .filter(~F.col("doc_id").eqNullSafe(F.col("__keeper")))

@@ -35,7 +35,7 @@ from folioforge.session import broadcast_if_small
 CELL_BITS = 18  # fixed: 262,144 counters, 1 MB on the driver and in each task
 PIVOTS = 256  # suffix filter: ranges of the hash order
 SALT_ROWS = 100_000  # estimated holders of a token per salt
-NO_ID = (1 << 63) - 1  # stands for a null doc_id inside the join
+RESERVED = 1 << 62  # first number for rows without doc_id
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -151,13 +151,19 @@ def _verified(pairs: DataFrame, docs: DataFrame, info: DataFrame, width: int, pe
     return staged(both.filter(_enough(F.size(F.array_intersect("s_a", "s_b")).cast("long"), percent)).select("a", "b"), "links")
 
 
-def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
+def node_id(doc_id: Column, text: Column) -> Column:
+    """The doc_id, or a number of the text's own from RESERVED up."""
+    own = F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(RESERVED - 1)) + F.lit(RESERVED)
+    return F.coalesce(doc_id, own)
+
+
+def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 75, real_ids: bool = True) -> tuple[DataFrame, DataFrame]:
     """``docs`` (doc_id, text) → (rows, links).
 
     rows: doc_id, n_shingles, component_id for every row. links: verified pairs (a, b) of documents with unlike texts that,
     together with the classes of equal sets, span every component.
     """
-    docs = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
+    docs = docs.select(node_id(F.col("doc_id"), F.col("text")).alias("doc_id"), "text")
     schema = "doc_id long, n long, sig1 long, sig2 long, pivots array<smallint>"
     info = staged(in_arrow(docs, lambda x: _signatures(x, width), schema), "sets-info")
 
@@ -207,7 +213,7 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 75) -> tuple[Da
     links = links.union(_verified(second, docs, info, width, percent))
     label = components(equal.union(links))
     rows = info.select("doc_id", F.col("n").alias("n_shingles")).join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
+    real = lambda c: F.when(F.col(c) < RESERVED, F.col(c)) if real_ids else F.col(c)
     rows = rows.select(
         real("doc_id").alias("doc_id"), "n_shingles", F.coalesce(real("component"), real("doc_id")).alias("component_id")
     )

@@ -62,31 +62,45 @@ def spans(row: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[0], ends[:-1]]).astype(np.int64), ends.astype(np.int64)
 
 
-def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def cells(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def shingle_sets(texts: pa.Array, width: int, ranked=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hashes of each text's distinct word shingles, sorted per text, with start and end of each text.
 
     A text of fewer words than ``width`` has its whole word sequence as one shingle; without words it has none.
+    ``ranked`` may turn (shingle hashes, sums of a value per word) into other 64-bit values, which are then sorted, and
+    carries as ``ranked.word`` the value of a word hash.
     """
     n_rows = len(texts)
     row, codes, vocab = split_words(pc.ascii_lower(texts.fill_null("")))
-    word = hashes(vocab)[codes] if len(codes) else np.zeros(0, np.uint64)
+    own = hashes(vocab)
+    word = own[codes] if len(codes) else np.zeros(0, np.uint64)
     starts, ends = spans(row, n_rows)
     base = np.uint64(0x9E3779B97F4A7C15)
     whole = np.arange(max(0, len(word) - width + 1))
     whole = whole[row[whole] == row[whole + width - 1]] if len(whole) else whole
-    value = np.zeros(len(whole), np.uint64)
-    for j in range(width):
-        value = value * base + word[whole + j]
     size = ends - starts
     short = np.flatnonzero((size > 0) & (size < width))
-    extra = np.zeros(len(short), np.uint64)
-    for j in range(width - 1):
+    value, extra = np.zeros(len(whole), np.uint64), np.zeros(len(short), np.uint64)
+    for j in range(width):
+        value = value * base + word[whole + j]
         has = size[short] > j
         extra[has] = extra[has] * base + word[starts[short][has] + j]
     extra = extra + size[short].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     rows = np.concatenate([row[whole], short])
+    value = mixed(np.concatenate([value, extra]))
+    if ranked is not None:
+        known = ranked.word(own)[codes] if len(codes) else np.zeros(0, np.int64)
+        total, total_short = np.zeros(len(whole), np.int64), np.zeros(len(short), np.int64)
+        for j in range(width):
+            total += known[whole + j]
+            has = size[short] > j
+            total_short[has] += known[starts[short][has] + j]
+        value = ranked(value, np.concatenate([total, total_short]))
     order = np.argsort(rows, kind="stable")
-    rows, value = rows[order], mixed(np.concatenate([value, extra]))[order]
+    rows, value = rows[order], value[order]
     starts, ends = spans(rows, n_rows)
     for a, b in zip(starts.tolist(), ends.tolist()):
         value[a:b].sort()
