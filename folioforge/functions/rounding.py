@@ -4,22 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# Decimals that exact sums keep, and that rounding looks at: far below the digits of any result, above binary noise.
+EXACT, READ = "decimal(38,12)", "decimal(38,11)"
+
 
 def stable_round(col: Column, digits: int) -> Column:
-    """Half-away-from-zero rounding of a double.
+    """Half-away-from-zero rounding of a double, read to eleven decimals.
 
-    The value is first snapped to six decimals, so the last-bit noise of a distributed sum cannot
-    decide a tie. Meant for up to four digits. NaN and values too large to snap stay unsnapped.
+    What lies beyond is the binary noise of a product such as 10 * 0.1235, which must not decide a tie. NaN and
+    values too large for that are rounded as they are.
     """
-    snapped = F.round(col.try_cast("decimal(38,6)"), digits).cast("double")
-    return F.coalesce(snapped, F.round(col, digits))
+    return F.coalesce(F.round(col.try_cast(READ), digits).cast("double"), F.round(col, digits))
+
+
+def sum_parts(col: Column, name: str) -> list[Column]:
+    """Partial sums of a column that :func:`sum_of_parts` puts together over any coarser grouping."""
+    exact = col.try_cast(EXACT)
+    return [
+        F.when(F.count(exact) == F.count(col), F.try_sum(exact)).alias(f"{name}_exact"),
+        F.sum(col.cast("double")).alias(f"{name}_plain"),
+    ]
+
+
+def sum_of_parts(name: str) -> Column:
+    exact, plain = F.col(f"{name}_exact"), F.col(f"{name}_plain")
+    whole = F.when(F.count(exact) == F.count(plain), F.try_sum(exact).cast("double"))
+    return F.coalesce(whole, F.sum(plain))
 
 
-def exact_sum(col: Column, scale: int = 2) -> Column:
-    """Sum of a double that carries ``scale`` decimals (money), exact in any order."""
-    return F.sum(col.cast(f"decimal(18,{scale})")).cast("double")
+def exact_sum(col: Column) -> Column:
+    """Sum of a double, the same in any order. Values or sums too large for the exact form are summed as doubles."""
+    exact = col.try_cast(EXACT)
+    whole = F.when(F.count(exact) == F.count(col), F.try_sum(exact).cast("double"))
+    return F.coalesce(whole, F.sum(col.cast("double")))
 
 
-def exact_mean(col: Column, scale: int = 2) -> Column:
+def exact_mean(col: Column) -> Column:
     """Mean built on :func:`exact_sum`; null when there is no value."""
-    return F.try_divide(exact_sum(col, scale), F.count(col))
+    return F.try_divide(exact_sum(col), F.count(col))

@@ -82,10 +82,10 @@ def swap_path_prefix(col: Column, old: str = "dataset/", new: str = "book-covers
 
 
 def path_parts(col: Column) -> tuple[Column, Column]:
-    """(folder, file) of a ``root/folder/file`` path; null when it has fewer than three parts."""
+    """(folder, file), the last two parts of a path below a root; null when it has fewer than three parts."""
     parts = F.split(F.replace(col, F.lit("\\"), F.lit("/")), "/")
     deep = F.size(parts) >= 3
-    return F.when(deep, F.get(parts, F.lit(1))), F.when(deep, F.get(parts, F.lit(2)))
+    return F.when(deep, F.element_at(parts, -2)), F.when(deep, F.element_at(parts, -1))
 
 
 def cover_url(folder: Column, file: Column) -> Column:

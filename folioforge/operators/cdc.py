@@ -37,22 +37,41 @@ def as_text(df: DataFrame, column: str) -> Column:
     return col.cast("string")
 
 
+def without_keys(rows: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows whose key is not in ``other``; a missing key equals a missing key."""
+    marks = other.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)])
+    return rows.join(marks, _met([(c, f"_k{i}") for i, c in enumerate(key)]), "left_anti")
+
+
+def _met(pairs: Sequence[tuple[str, str]]) -> Column:
+    met = F.lit(True)
+    for a, b in pairs:
+        met = met & F.col(a).eqNullSafe(F.col(b))
+    return met
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     """(key, op, old, new): every key of both snapshots, with both rows as structs.
 
-    ``op`` is INSERT, UPDATE, DELETE or UNCHANGED. Columns in both snapshots are compared, and null
-    equals null. All keys are compared. Rows without a key are left out.
+    ``op`` is INSERT, UPDATE, DELETE or UNCHANGED. Columns in both snapshots are compared, and null equals null; a
+    missing key is a key like any other. Columns, or keys, of unlike types are compared by their audit text.
     """
     key = list(key)
     columns = compared_columns(old, new, key)
+    unlike = [c for c in columns if old.schema[c].dataType != new.schema[c].dataType]
+    for c in [c for c in key if old.schema[c].dataType != new.schema[c].dataType]:
+        old, new = old.withColumn(c, as_text(old, c)), new.withColumn(c, as_text(new, c))
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        keyed = one_per_key(df.dropna(subset=key), key)
-        return keyed.select(*key, F.struct(*[c for c in df.columns if c not in key], F.lit(1).alias("_in")).alias(name))
+        fields = [F.col(c) for c in df.columns if c not in key]
+        fields += [as_text(df, c).alias(f"_text_{c}") for c in unlike]
+        marks = [F.col(c).alias(f"_{name}{i}") for i, c in enumerate(key)]
+        return one_per_key(df, key).select(*marks, F.struct(*fields, F.lit(1).alias("_in")).alias(name))
 
-    both = side(old, "old").join(side(new, "new"), key, "full_outer")
+    met = _met([(f"_old{i}", f"_new{i}") for i in range(len(key))])
+    both = side(old, "old").join(side(new, "new"), met, "full_outer")
     same = F.lit(True)
-    for c in columns:
+    for c in [f"_text_{c}" if c in unlike else c for c in columns]:
         same = same & F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}"))
     op = (
         F.when(F.col("old").isNull(), "INSERT")
@@ -60,7 +79,8 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFra
         .when(same, "UNCHANGED")
         .otherwise("UPDATE")
     )
-    return both.withColumn("op", op)
+    keys = [F.coalesce(f"_old{i}", f"_new{i}").alias(c) for i, c in enumerate(key)]
+    return both.select(*keys, op.alias("op"), "old", "new")
 
 
 def cdc_summary(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -105,7 +125,7 @@ def cdc_samples(old: DataFrame, new: DataFrame, key: Sequence[str], n: int = 5,
     """First ``n`` inserted and deleted rows by key, all columns as text, gaps as a placeholder."""
 
     def sample(rows: DataFrame, other: DataFrame, label: str) -> DataFrame:
-        only = one_per_key(rows.join(other.select(*key), list(key), "left_anti"), key)
+        only = one_per_key(without_keys(rows, other, key), key)
         head = only.orderBy(*key).limit(n)
         shown = [F.coalesce(as_text(head, c), F.lit(placeholder)).alias(c) for c in rows.columns]
         return head.select(F.lit(label).alias("change"), *shown)
@@ -129,21 +149,27 @@ def cdc_key_sets(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFram
 
 
 def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
-    """Target with the source rows inserted or replacing whole rows; the last source row of a key wins."""
+    """Target with the source rows inserted or replacing whole rows.
+
+    The row of a key that is last in ``order`` wins, among equals the one with the largest values; so without ``order``
+    a repeated key is decided by value, not by arrival. A missing key is a key like any other.
+    """
     latest = one_per_key(source, key, order)
-    kept = target.join(latest.select(*key), list(key), "left_anti")
+    kept = without_keys(target, latest, key)
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
 def upsert_metrics(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row: matched, inserted, modified, unchanged, total_after of an upsert."""
-    return snapshot_diff(target, source, key).agg(
+    """One row: keys matched, inserted, modified, unchanged, and total_after, the rows that :func:`upsert` returns."""
+    counts = snapshot_diff(target, source, key).agg(
         F.count_if(F.col("op").isin("UPDATE", "UNCHANGED")).alias("matched"),
         F.count_if(F.col("op") == "INSERT").alias("inserted"),
         F.count_if(F.col("op") == "UPDATE").alias("modified"),
         F.count_if(F.col("op") == "UNCHANGED").alias("unchanged"),
-        F.count(F.lit(1)).alias("total_after"),
     )
+    untouched = without_keys(target.select(*key), source, key).agg(F.count(F.lit(1)).alias("_kept"))
+    total = F.col("_kept") + F.col("matched") + F.col("inserted")
+    return counts.crossJoin(F.broadcast(untouched)).withColumn("total_after", total).drop("_kept")  # one row each
 
 
 def apply_feed(
@@ -151,5 +177,5 @@ def apply_feed(
 ) -> DataFrame:
     """Target after a change feed: the last event of a key decides; DELETE removes it."""
     last = one_per_key(feed, key, order)
-    kept = target.join(last.select(*key), list(key), "left_anti")
+    kept = without_keys(target, last, key)
     return kept.unionByName(last.where(F.col(op) != "DELETE").select(*target.columns))

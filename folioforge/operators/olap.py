@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from folioforge.functions.rounding import exact_mean, exact_sum, stable_round
+from folioforge.functions.rounding import exact_mean, exact_sum, stable_round, sum_of_parts, sum_parts
 from folioforge.session import cut_lineage
 
 
@@ -55,7 +54,7 @@ def dice(
     return out if top is None else out.limit(top)
 
 
-def rollup_category(df: DataFrame, category: str, price: str, rating: str, flag: str, top: int | None = 15) -> DataFrame:
+def rollup_category(df: DataFrame, category: str, price: str, rating: str, flag: str, top: int | None = None) -> DataFrame:
     """Count, total, mean rating and flag sum per category, largest total first."""
     out = (
         df.groupBy(category)
@@ -82,22 +81,23 @@ def _cells(df: DataFrame, dims: Sequence[str], price: str, rating: str) -> DataF
     return df.groupBy(*dims).agg(
         F.count(F.lit(1)).alias("_n"),
         F.count(price).alias("_np"),
-        F.sum(F.col(price).cast("decimal(18,2)")).alias("_sp"),
+        *sum_parts(F.col(price), "_sp"),
         F.count(rating).alias("_nr"),
-        F.sum(F.col(rating).cast("decimal(18,2)")).alias("_sr"),
+        *sum_parts(F.col(rating), "_sr"),
     )
 
 
-def _merge(grouped, price: str, rating: str) -> DataFrame:
-    def mean(total: str, n: str) -> Column:
-        return stable_round(F.try_divide(F.sum(total).cast("double"), F.sum(n)), 2)
+def _mean(total: str, n: str) -> Column:
+    return stable_round(F.try_divide(sum_of_parts(total), F.sum(n)), 2)
+
 
+def _merge(grouped, price: str, rating: str) -> DataFrame:
     return grouped.agg(
         F.grouping_id().cast("bigint").alias("grouping_id"),
         F.sum("_n").alias("row_count"),
-        F.sum("_sp").cast("double").alias(f"sum_{price}"),
-        mean("_sp", "_np").alias(f"avg_{price}"),
-        mean("_sr", "_nr").alias(f"avg_{rating}"),
+        sum_of_parts("_sp").alias(f"sum_{price}"),
+        _mean("_sp", "_np").alias(f"avg_{price}"),
+        _mean("_sr", "_nr").alias(f"avg_{rating}"),
     )
 
 
@@ -112,14 +112,32 @@ def cube_full(df: DataFrame, dims: Sequence[str], price: str, rating: str) -> Da
 
 
 def cube_slice(cube: DataFrame, dims: Sequence[str], wanted: Mapping[str, object]) -> DataFrame:
-    """Cells of a cube where listed dimensions have a value and all others are rolled up (ALL)."""
-    level = sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in wanted)
-    cells = cube.where(F.col("grouping_id") == level)
+    """Cells of a stored cube where listed dimensions have a value and all others are rolled up (ALL)."""
+    cells = cube.where(F.col("grouping_id") == _level(dims, wanted))
     for d, v in wanted.items():
         cells = cells.where(F.col(d) == v)
     return cells
 
 
+def cube_cells(df: DataFrame, dims: Sequence[str], wanted: Mapping[str, object], price: str, rating: str) -> DataFrame:
+    """The same cells from the fact: it is filtered first and grouped by the asked set only, without building the cube."""
+    for d, v in wanted.items():
+        df = df.where(F.col(d) == v)
+    cells = _cells(df, list(wanted), price, rating).groupBy(*wanted).agg(
+        F.sum("_n").alias("row_count"),
+        sum_of_parts("_sp").alias(f"sum_{price}"),
+        _mean("_sp", "_np").alias(f"avg_{price}"),
+        _mean("_sr", "_nr").alias(f"avg_{rating}"),
+    )
+    shown = [F.col(d) if d in wanted else F.lit(None).cast("string").alias(d) for d in dims]
+    level = F.lit(_level(dims, wanted)).cast("bigint").alias("grouping_id")
+    return cells.select(*shown, level, *[c for c in cells.columns if c not in wanted])
+
+
+def _level(dims: Sequence[str], wanted: Mapping[str, object]) -> int:
+    return sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in wanted)
+
+
 def cube_topn(
     df: DataFrame, first: Sequence[str], second: Sequence[str], n_first: int, n_second: int, price: str, rating: str
 ) -> DataFrame:
@@ -133,12 +151,8 @@ def cube_topn(
         return F.broadcast(members.limit(n).select(*axis))  # n is a fixed small number
 
     kept = cells.join(top(first, n_first), list(first), "left_semi").join(top(second, n_second), list(second), "left_semi")
-    return kept.select(
-        *first,
-        *second,
-        F.col("_n").alias("row_count"),
-        stable_round(F.try_divide(F.col("_sp").cast("double"), F.col("_np")), 2).alias(f"avg_{price}"),
-        stable_round(F.try_divide(F.col("_sr").cast("double"), F.col("_nr")), 2).alias(f"avg_{rating}"),
+    return kept.groupBy(*first, *second).agg(
+        F.sum("_n").alias("row_count"), _mean("_sp", "_np").alias(f"avg_{price}"), _mean("_sr", "_nr").alias(f"avg_{rating}")
     )
 
 
@@ -149,10 +163,18 @@ def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None
 
 
 def run_sql(spark: SparkSession, sql: str, args: Mapping[str, object] | None = None) -> DataFrame:
-    """Run one read-only query over the registered views, with named parameters."""
-    text = re.sub(r"--[^\n]*|/\*.*?\*/", " ", sql, flags=re.S).strip().rstrip(";")
-    if not re.match(r"(?is)(select|with)\b", text):
-        raise ValueError("only SELECT queries are accepted")
-    if re.search(r"(?is)\b(insert|create|drop|alter|truncate|load|merge|update|delete)\s+(into|overwrite|table|view|database|data|from|or)\b", text):
-        raise ValueError("only SELECT queries are accepted")
-    return spark.sql(text, args=dict(args or {}))
+    """Run one query over the registered views, with named parameters. The text runs as given.
+
+    Whether it is read-only is asked of Spark's parser: a statement that changes anything is a command in the parsed plan.
+    """
+    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    loader, package = parsed.getClass().getClassLoader(), "org.apache.spark.sql.catalyst.plans.logical"
+    changing = [loader.loadClass(f"{package}.{kind}") for kind in ("Command", "ParsedStatement")]
+    nodes = [parsed]
+    while nodes:
+        node = nodes.pop()
+        if any(kind.isInstance(node) for kind in changing):
+            raise ValueError("only SELECT queries are accepted")
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return spark.sql(sql, args=dict(args or {}))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from folioforge.functions import text
 from folioforge.operators.clean import PLACEHOLDER
-from folioforge.session import broadcast_if_small, cut_lineage
+from folioforge.session import broadcast_if_small, cut_lineage, literal_frame
 
 UNKNOWN_KEY = -1
 # monotonically_increasing_id: partition number above bit 33, position in the partition below.
@@ -43,11 +43,6 @@ def dense_keys(members: DataFrame, key: str, order: Sequence[str], start: DataFr
     return numbered.select(key, *members.columns)
 
 
-def hash_key(col: Column) -> Column:
-    """Surrogate key without any coordination; not dense."""
-    return F.xxhash64(col)
-
-
 def dimension(
     df: DataFrame, column: str, key: str, name: str, exclude: Sequence[str] = (), first_seen: str | None = None
 ) -> DataFrame:
@@ -61,6 +56,18 @@ def dimension(
     return dense_keys(seen, key, ["_seen", name]).drop("_seen")
 
 
+def with_unknown(dim: DataFrame, key: str) -> DataFrame:
+    """The dimension with the member that rows without a match point at; its texts say so."""
+    texts = {f.name: F.lit(PLACEHOLDER) for f in dim.schema.fields if f.dataType.simpleString() == "string"}
+    member = dim.sparkSession.range(1).select(
+        *[
+            F.lit(UNKNOWN_KEY).cast(f.dataType).alias(f.name) if f.name == key else texts.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in dim.schema.fields
+        ]
+    )
+    return dim.unionByName(member)
+
+
 def dim_category(df: DataFrame, column: str = "category") -> DataFrame:
     """(category_key, category_name, parent_category)."""
     dim = dimension(df, column, "category_key", "category_name")
@@ -95,14 +102,20 @@ def dim_time(df: DataFrame, date_column: str) -> DataFrame:
     )
 
 
+def month_dim(spark: SparkSession, first: str, months: int) -> DataFrame:
+    """The same for a fixed number of months from a first day on."""
+    start = F.lit(first).cast("date")
+    return dim_time(spark.range(1).select(F.explode(F.array(start, F.add_months(start, months - 1))).alias("d")), "d")
+
+
 def time_key(date: Column) -> Column:
     """Month number of a date; the fact computes it, so no time lookup join is needed."""
     return F.year(date) * 100 + F.month(date)
 
 
-def spread_time_key(key: Column, n: int) -> Column:
-    """A stable stand-in in 1..n for facts without a date."""
-    return F.pmod(F.xxhash64(key), F.lit(n)) + 1
+def spread_time_key(key: Column, first: str, months: int) -> Column:
+    """A stable stand-in month for facts without a date, in the form of :func:`time_key`."""
+    return time_key(F.add_months(F.lit(first).cast("date"), F.pmod(F.xxhash64(key), F.lit(months)).cast("int")))
 
 
 def dim_upsert(existing: DataFrame, incoming: DataFrame, key: str, name: str) -> DataFrame:
@@ -143,11 +156,11 @@ def books_3nf(df: DataFrame) -> dict[str, DataFrame]:
     books = lookup_key(books, publishers.withColumnRenamed("publisher_name", "pn"), "publisher_name", "pn", "publisher_id")
     books = lookup_key(books, categories, "category", "category_name", "category_id")
     return {
-        "authors": authors,
-        "publishers": publishers,
-        "categories": categories,
+        "authors": with_unknown(authors, "author_id"),
+        "publishers": with_unknown(publishers, "publisher_id"),
+        "categories": with_unknown(categories, "category_id"),
         "books": books.select(
-            F.substring("isbn", 1, 13).alias("isbn"),
+            "isbn",
             F.substring("title", 1, 200).alias("title"),
             "author_id",
             "publisher_id",
@@ -158,27 +171,37 @@ def books_3nf(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def star_schema(df: DataFrame, months: int = 6) -> dict[str, DataFrame]:
-    """Category, format and publisher dimensions and the sales fact of a featured catalog."""
+def star_schema(df: DataFrame, months: int = 6, first_month: str = "2024-01-01") -> dict[str, DataFrame]:
+    """Category, format, publisher and time dimensions and the sales fact of a featured catalog.
+
+    Every key of the fact has a member: rows without a match point at the unknown one. A catalog has no sales date, so rows
+    are spread over ``months`` months by their identifier.
+    """
     categories, formats, publishers = dim_category(df), dim_format(df), dim_publisher(df)
     rows = df.dropna(subset=["isbn", "category", "price"]).withColumn("_pub", publisher_name(F.col("category")))
     rows = lookup_key(rows, categories, "category", "category_name", "category_key")
     rows = lookup_key(rows, formats, "format", "format_name", "format_key")
     rows = lookup_key(rows, publishers, "_pub", "publisher_name", "publisher_key")
     fact = rows.select(
-        F.xxhash64("isbn").alias("sales_id"),
-        F.substring("isbn", 1, 13).alias("isbn"),
+        F.md5("isbn").alias("sales_id"),  # 128 bits: unique without coordination
+        "isbn",
         F.substring("title", 1, 150).alias("title"),
         "category_key",
         "publisher_key",
         "format_key",
-        spread_time_key(F.col("isbn"), months).alias("time_key"),
+        spread_time_key(F.col("isbn"), first_month, months).alias("time_key"),
         "price",
         "rating",
         F.col("discount_amount").alias("discount"),
         F.col("is_bestseller").cast("int").alias("is_bestseller"),
     )
-    return {"dim_category": categories, "dim_format": formats, "dim_publisher": publishers, "fact_book_sales": fact}
+    return {
+        "dim_category": with_unknown(categories, "category_key"),
+        "dim_format": with_unknown(formats, "format_key"),
+        "dim_publisher": with_unknown(publishers, "publisher_key"),
+        "dim_time": month_dim(df.sparkSession, first_month, months),
+        "fact_book_sales": fact,
+    }
 
 
 def etl_fact(df: DataFrame) -> DataFrame:
@@ -194,17 +217,22 @@ def etl_fact(df: DataFrame) -> DataFrame:
 def fk_integrity(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """(dimension, orphan_rows): fact rows without a member; ``dims`` maps a label to (dim, fact key, dim key).
 
-    Fact keys are counted before the anti join, so the join handles distinct keys only.
+    One pass over the fact: all its keys are unpivoted and counted per distinct value, with a map-side aggregate, and only
+    distinct keys meet the dimensions. A null key is no orphan, as in a foreign key constraint.
     """
-    out = None
-    for label, (dim, fact_key, dim_key) in dims.items():
-        used = fact.groupBy(F.col(fact_key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-        orphans = used.join(dim.select(F.col(dim_key).alias("_key")).distinct(), "_key", "left_anti")
-        part = orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orphan_rows")).select(
-            F.lit(label).alias("dimension"), "orphan_rows"
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    labels = F.array(
+        *[F.struct(F.lit(label).alias("dimension"), F.col(k).cast("string").alias("_key")) for label, (_, k, _) in dims.items()]
+    )
+    used = fact.select(F.inline(labels)).where("_key IS NOT NULL").groupBy("dimension", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    members = None
+    for label, (dim, _, dim_key) in dims.items():
+        part = dim.select(F.lit(label).alias("dimension"), F.col(dim_key).cast("string").alias("_key"))
+        members = part if members is None else members.unionByName(part)
+    orphans = used.join(members, ["dimension", "_key"], "left_anti").groupBy("dimension").agg(F.sum("_n").alias("orphan_rows"))
+    wanted = literal_frame(fact.sparkSession, [(label,) for label in dims], "dimension string")
+    return F.broadcast(wanted).join(orphans, "dimension", "left").select(
+        "dimension", F.coalesce("orphan_rows", F.lit(0)).cast("bigint").alias("orphan_rows")
+    )
 
 
 def snowflake(dim: DataFrame, parent: str, key: str, name: str) -> tuple[DataFrame, DataFrame]:

@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from folioforge.operators.aggregates import category_stats
+from folioforge.operators.clean import add_batch_time
 from folioforge.operators.quality import (
     RECORD_RULES,
     GateRules,
@@ -22,7 +23,7 @@ from folioforge.operators.quality import (
     validate_report,
 )
 from folioforge.operators.warehouse import books_3nf, etl_fact, star_schema
-from folioforge.plans.catalog import staged_catalog
+from folioforge.plans.catalog import prepare_catalog
 from folioforge.plans.records import transform_records
 from folioforge.plans.recovery import Throttled, retry
 from folioforge.plans.runlog import append_run, read_runs
@@ -35,6 +36,7 @@ from folioforge.sources.sinks import (
     POINTER,
     full_load,
     incremental_load,
+    read_buckets,
     read_published,
     upsert_buckets,
     write_change_audit,
@@ -51,6 +53,10 @@ class GateFailed(RuntimeError):
     """The quality gate stopped the run before the load."""
 
 
+class PartialSources(RuntimeError):
+    """A full load was asked for, but some sources could not be read; the target keeps what it has."""
+
+
 def stage_sources(
     spark: SparkSession, sources: Mapping[str, str], multi_line: bool, sleep: Callable[[float], None]
 ) -> tuple[DataFrame | None, dict[str, str]]:
@@ -109,6 +115,8 @@ def run_record_pipeline(
     reports = f"{root}/reports/{run_id}"
     try:
         pages, errors = stage_sources(spark, sources, multi_line, sleep)
+        if errors and strategy == "full":
+            raise PartialSources(f"a full load needs all sources, failed: {', '.join(sorted(errors))}")
         status = require_records(cut_lineage(source_status(spark, pages, list(sources), errors)))
         status.write.mode("overwrite").parquet(f"{reports}/sources")
 
@@ -152,9 +160,9 @@ def load_fact(
         if strategy == "full":
             raise ValueError("a bucketed fact is loaded incrementally")
         if files.exists(spark, bucketed):
-            write_change_audit(spark, spark.read.parquet(bucketed), fact, "ol_key", audit, run_id, run_ts, ["loaded_at", BUCKET])
+            write_change_audit(spark, read_buckets(spark, bucketed), fact, "ol_key", audit, run_id, run_ts, ["loaded_at", BUCKET])
         upsert_buckets(spark, fact, bucketed, ["ol_key"], buckets)
-        return spark.read.parquet(bucketed)
+        return read_buckets(spark, bucketed)
     if strategy == "full":
         full_load(spark, fact, target)
     else:
@@ -169,37 +177,36 @@ def run_catalog_pipeline(
 ) -> dict[str, DataFrame]:
     """The four catalog phases: features and statistics, fact load, warehouse, quality audit.
 
-    The featured catalog is staged once and all phases read it. The fact load is logged.
+    The featured catalog is staged once as Parquet and all phases read it. The fact load is logged, also when it fails.
     """
     started = time.monotonic()
-    write_parquet(raw, f"{root}/raw")
-    kept = spark.read.parquet(f"{root}/raw")
-    catalog = staged_catalog(kept)
-    write_csv(catalog.drop("ingest_seq"), f"{root}/processed", drop=["img_path_raw"])
-    write_csv(category_stats(catalog), f"{root}/category_stats")
-
-    fact = etl_fact(catalog)
-    if strategy == "full":
-        full_load(spark, fact, f"{root}/etl_fact")
-    else:
-        incremental_load(spark, fact, f"{root}/etl_fact", ["isbn"])
-    rows = catalog.count()
-    append_run(
-        spark,
-        f"{root}/etl_log",
-        {
-            "exec_id": uuid.uuid4().hex,
-            "source": source,
-            "load_strategy": strategy.upper(),
-            "extracted_records": kept.count(),
-            "transformed_records": rows,
-            "loaded_records": rows,
-            "execution_time_ms": int((time.monotonic() - started) * 1000),
-            "status": "SUCCESS",
-            "timestamp": datetime.fromisoformat(run_ts),
-        },
-        ETL_EXECUTION_LOG,
-    )
+    entry: dict[str, object] = {
+        "exec_id": uuid.uuid4().hex,
+        "source": source,
+        "load_strategy": strategy.upper(),
+        "status": "FAILED",
+        "timestamp": datetime.fromisoformat(run_ts),
+    }
+    try:
+        write_parquet(raw, f"{root}/raw")
+        kept = spark.read.parquet(f"{root}/raw")
+        entry["extracted_records"] = kept.count()
+        write_parquet(prepare_catalog(kept), f"{root}/staged")
+        catalog = spark.read.parquet(f"{root}/staged")
+        entry["transformed_records"] = catalog.count()
+        write_csv(catalog.drop("ingest_seq"), f"{root}/processed", drop=["img_path_raw"])
+        write_csv(category_stats(catalog), f"{root}/category_stats")
+
+        fact = add_batch_time(etl_fact(catalog), run_ts, "created_at")
+        if strategy == "full":
+            full_load(spark, fact, f"{root}/etl_fact")
+        else:
+            incremental_load(spark, fact, f"{root}/etl_fact", ["isbn"])
+        entry["loaded_records"] = entry["transformed_records"]
+        entry["status"] = "SUCCESS"
+    finally:
+        entry["execution_time_ms"] = int((time.monotonic() - started) * 1000)
+        append_run(spark, f"{root}/etl_log", entry, ETL_EXECUTION_LOG)
 
     tables = {**books_3nf(catalog), **star_schema(catalog)}
     for name, df in tables.items():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioforge.functions import text
@@ -11,7 +12,7 @@ from folioforge.functions.rounding import exact_sum, stable_round
 from folioforge.operators import aggregates, cdc, clean, dedup, features, olap, profile, quality, scaling, warehouse
 from folioforge.plans import catalog as catalog_plan, pipeline, records as record_plan, recovery
 from folioforge.plans.runlog import read_runs
-from folioforge.schemas import EVENT_MESSAGE
+from folioforge.schemas import ETL_EXECUTION_LOG, EVENT_MESSAGE
 from folioforge.session import broadcast_if_small, configure, cut_lineage, literal_frame, scratch_path
 from folioforge.sources import catalog_csv, images, lookups, record_pages, sinks
 from folioforge.sources.tables import (
@@ -170,7 +171,7 @@ def append_records(spark, sf):
         F.count(F.lit(1)).alias("rows"),
         exact_sum(F.col("price")).alias("sum_price"),
         exact_sum(F.col("old_price")).alias("sum_old_price"),
-        exact_sum(F.col("value_score"), 4).alias("sum_value_score"),
+        exact_sum(F.col("value_score")).alias("sum_value_score"),
         F.count_if(F.col("title") == "Untitled").alias("untitled"),
         F.count_if("is_bestseller").alias("bestsellers"),
     )
@@ -324,6 +325,20 @@ def pca_two_feature(spark, sf):
     return variance
 
 
+@query
+def pca_points(spark, sf):
+    """Line items on the components of two features."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    _, points = scaling.pca(lines, ["l_quantity", "l_extendedprice"])
+    return points
+
+
+@query
+def pca_total(spark, sf):
+    variance, _ = scaling.pca(table(spark, sf, "lineitem").select(*LINE_MEASURES), LINE_MEASURES, k=len(LINE_MEASURES))
+    return scaling.total_variance(variance).select(F.round("total_variance_pct", 0).alias("total_variance_pct"))
+
+
 @query
 def pca_embeddings(spark, sf):
     _, points = scaling.pca(table(spark, sf, "embeddings"), "embedding")
@@ -603,7 +618,19 @@ def bucket_upsert(spark, sf):
     path = scratch_path(spark, "buckets")
     for batch in (old, new, new):
         sinks.upsert_buckets(spark, batch, path, ORDER_KEY, buckets=8)
-    return spark.read.parquet(path).select("o_orderkey", "o_totalprice")
+    return sinks.read_buckets(spark, path).select("o_orderkey", "o_totalprice")
+
+
+@query
+def bucket_evolution(spark, sf):
+    """Another bucket count is asked for, a batch adds a column, the next one lacks it."""
+    old, new = order_snapshots(spark, sf)
+    path = scratch_path(spark, "evolving")
+    columns = ["o_orderkey", "o_totalprice"]
+    sinks.upsert_buckets(spark, old.select(*columns), path, ORDER_KEY, buckets=8)
+    sinks.upsert_buckets(spark, new.where("o_orderkey % 2 = 0").select(*columns, "o_orderstatus"), path, ORDER_KEY, buckets=16)
+    sinks.upsert_buckets(spark, new.where("o_orderkey % 3 = 0").select(*columns), path, ORDER_KEY, buckets=4)
+    return sinks.read_buckets(spark, path).select("o_orderkey", "o_totalprice", "o_orderstatus")
 
 
 @query
@@ -781,6 +808,27 @@ def star_catalog(spark, sf):
     )
 
 
+@query
+def star_complete(spark, sf):
+    """(check, rows): the fact, what is left of it after joining all dimensions, and its orphans."""
+    tables = warehouse.star_schema(catalog_plan.staged_catalog(catalog_raw(spark, sf)))
+    fact = cut_lineage(tables["fact_book_sales"])
+    keys = {"dim_category": "category_key", "dim_format": "format_key", "dim_publisher": "publisher_key", "dim_time": "time_key"}
+    joined = olap.star(fact, {key: (tables[name], key) for name, key in keys.items()})
+    orphans = warehouse.fk_integrity(fact, {name: (tables[name], key, key) for name, key in keys.items()})
+    orphans = orphans.agg(F.lit("orphans").alias("table_name"), F.sum("orphan_rows").alias("rows"))
+    return aggregates.table_status({"fact": fact, "joined": joined}).unionByName(orphans)
+
+
+@query
+def gate_two_ratings(spark, sf):
+    """A gate with two rating columns of the same bounds; one of them is broken in places."""
+    rows = clean.standardise_catalog(catalog_raw(spark, sf))
+    rows = rows.withColumn("avg_rating", F.lit(4.0)).withColumn("rating", F.when(F.col("ingest_seq") % 50 == 0, 99.0).otherwise(3.0))
+    rules = quality.GateRules("ingest_seq", ("ingest_seq",), {"rating": (0.0, 5.0), "avg_rating": (0.0, 5.0)})
+    return quality.gate_checks(rows, rules).where("check LIKE '%range%'")
+
+
 @query
 def snowflake_rollup(spark, sf):
     suppliers = (
@@ -833,7 +881,7 @@ PRICE, RATING = "l_extendedprice", "l_quantity"
 
 @query
 def olap_slice(spark, sf):
-    return olap.slice_(sales(spark, sf), {"p_type": "PROMO"}, ["p_type", "l_returnflag"], PRICE, RATING)
+    return olap.slice_(sales(spark, sf, "part"), {"p_type": "PROMO"}, ["p_type", "l_returnflag"], PRICE, RATING)
 
 
 @query
@@ -850,13 +898,13 @@ def olap_dice(spark, sf):
 
 @query
 def olap_rollup(spark, sf):
-    fact = sales(spark, sf).withColumn("flag", F.col("l_quantity") >= 45)
+    fact = sales(spark, sf, "part").withColumn("flag", F.col("l_quantity") >= 45)
     return olap.rollup_category(fact, "p_type", PRICE, RATING, "flag", top=15)
 
 
 @query
 def olap_rollup_total(spark, sf):
-    return olap.rollup_total(sales(spark, sf), ["p_type", "p_brand"], PRICE, RATING)
+    return olap.rollup_total(sales(spark, sf, "part"), ["p_type", "p_brand"], PRICE, RATING)
 
 
 @query
@@ -881,13 +929,12 @@ def cube_full(spark, sf):
 
 @query
 def cube_slice_all(spark, sf):
-    cube = olap.cube_full(sales(spark, sf), CUBE_DIMS, PRICE, RATING)
-    return olap.cube_slice(cube, CUBE_DIMS, {"l_returnflag": "R"})
+    return olap.cube_cells(table(spark, sf, "lineitem"), CUBE_DIMS, {"l_returnflag": "R"}, PRICE, RATING)
 
 
 @query
 def cube_topn(spark, sf):
-    return olap.cube_topn(sales(spark, sf), ["p_brand"], ["l_returnflag", "l_linestatus"], 6, 4, PRICE, RATING)
+    return olap.cube_topn(sales(spark, sf, "part"), ["p_brand"], ["l_returnflag", "l_linestatus"], 6, 4, PRICE, RATING)
 
 
 @query
@@ -968,7 +1015,9 @@ def stream_dedup(spark, sf):
 
 def _windows(spark, sf, **options):
     counted = jobs.throughput(jobs.event_time(event_stream(spark, sf)), ["event_type"], delay="1 day", **options)
-    rows = run_to_parquet(spark, counted, "windows")
+    root = scratch_path(spark, "windows")
+    jobs.drain(jobs.upsert_windows(counted, f"{root}/out", f"{root}/checkpoint", ["event_type"], buckets=8))
+    rows = sinks.read_buckets(spark, f"{root}/out").select("window_start", "event_type", "n")
     return rows.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -997,7 +1046,7 @@ def stream_last_value(spark, sf):
         event_stream(spark, sf), f"{root}/out", f"{root}/checkpoint", ["user_id"], ["ts", "event_id"], buckets=8
     )
     jobs.drain(writer)
-    return spark.read.parquet(f"{root}/out").select("user_id", "event_id", "event_type", "value")
+    return sinks.read_buckets(spark, f"{root}/out").select("user_id", "event_id", "event_type", "value")
 
 
 @query
@@ -1014,7 +1063,7 @@ def stream_dead_letters(spark, sf):
         good=F.col("ok"), dead_letters=f"{root}/dead", buckets=8, newest_wins=False,
     )
     jobs.drain(writer)
-    good = spark.read.parquet(f"{root}/out").agg(F.lit("loaded").alias("route"), F.count(F.lit(1)).alias("rows"))
+    good = sinks.read_buckets(spark, f"{root}/out").agg(F.lit("loaded").alias("route"), F.count(F.lit(1)).alias("rows"))
     bad = spark.read.parquet(f"{root}/dead").agg(F.lit("dead_letter").alias("route"), F.count(F.lit(1)).alias("rows"))
     return good.unionByName(bad)
 
@@ -1026,5 +1075,26 @@ def stream_dead_letters(spark, sf):
 def catalog_pipeline(spark, sf):
     root = scratch_path(spark, "catalog")
     out = pipeline.run_catalog_pipeline(spark, catalog_raw(spark, sf), root, RUN_TS)
-    names = ["etl_log", "etl_fact", "authors", "publishers", "categories", "books", "dim_category", "dim_format", "dim_publisher", "fact_book_sales"]
+    names = ["etl_log", "etl_fact", "authors", "publishers", "categories", "books", "dim_category", "dim_format", "dim_publisher", "dim_time", "fact_book_sales"]
     return aggregates.table_status({name: out[name] for name in names})
+
+
+@query
+def catalog_report(spark, sf):
+    """The report that the catalog run writes: all columns, duplicates told apart without the helper column."""
+    out = pipeline.run_catalog_pipeline(spark, catalog_raw(spark, sf), scratch_path(spark, "catalog-report"), RUN_TS)
+    return out["report"].groupBy("check").agg(F.count(F.lit(1)).alias("columns"))
+
+
+@query
+def failed_run_log(spark, sf):
+    """The log after a run whose input misses the price column, followed by a good one."""
+    root = scratch_path(spark, "failing")
+    raw = catalog_raw(spark, sf)
+    try:
+        pipeline.run_catalog_pipeline(spark, raw.drop("price"), root, RUN_TS)
+    except AnalysisException:
+        pass
+    pipeline.run_catalog_pipeline(spark, raw, root, RUN_TS)
+    runs = read_runs(spark, f"{root}/etl_log", ETL_EXECUTION_LOG)
+    return runs.select("status", "load_strategy", "extracted_records", "loaded_records")

@@ -22,7 +22,7 @@ ALIASES = {
     "ratings_count": "rating_count",
     "_source": "api_source",
 }
-FIRST_ITEM_LENGTHS = {"author": 100, "publisher": 100, "isbn": 13, "subject": 80}
+FIRST_ITEM_LENGTHS = {"author": 100, "publisher": 100, "isbn": None, "subject": 80}  # the identifier stays whole
 NUMBERS = ("publish_year", "pages", "avg_rating", "rating_count")
 PLACEHOLDERS = {
     "title": "Unknown Title",

@@ -18,6 +18,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(handle)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    handle, fs = _path(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(handle)]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    handle, fs = _path(spark, path)
+    fs.delete(handle, True)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     handle, fs = _path(spark, path)
     stream = fs.open(handle)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime
@@ -13,6 +14,8 @@ from folioforge.sources import files
 
 POINTER = "CURRENT"
 BUCKET = "bucket"
+LAYOUT = "_layout"  # names with an underscore are no data to Spark
+KEEP_VERSIONS = 2
 
 
 class RejectedPublish(RuntimeError):
@@ -47,17 +50,27 @@ def read_zone(spark: SparkSession, root: str, zone: str, run_id: str | None = No
     return df if run_id is None else df.where(F.col("run_id") == run_id)
 
 
-def publish(spark: SparkSession, df: DataFrame, root: str, validate: Callable[[DataFrame], bool] | None = None) -> str:
+def publish(
+    spark: SparkSession,
+    df: DataFrame,
+    root: str,
+    validate: Callable[[DataFrame], bool] | None = None,
+    keep: int = KEEP_VERSIONS,
+) -> str:
     """Write a full new version beside the old one, validate it, then switch readers to it in one step.
 
-    Any failure before the switch leaves the target as it was.
+    Any failure before the switch leaves the target as it was. After it the ``keep`` newest versions stay, at least the
+    current one and the one before it, which readers may still be on.
     """
-    version = f"{datetime.now():%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
+    version = f"{datetime.now():%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     path = f"{root}/versions/{version}"
     df.write.mode("errorifexists").parquet(path)
     if validate is not None and not validate(spark.read.parquet(path)):
         raise RejectedPublish(f"version {version} of {root} did not pass validation")
     files.replace_text(spark, f"{root}/{POINTER}", version)
+    published = [v for v in files.list_names(spark, f"{root}/versions") if v <= version]
+    for old in sorted(published)[: -max(2, keep)]:
+        files.remove(spark, f"{root}/versions/{old}")
     return version
 
 
@@ -98,6 +111,23 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
+def _layout(spark: SparkSession, path: str) -> tuple[int, T.StructType] | None:
+    """Bucket count and columns that a bucketed target was written with."""
+    note = f"{path}/{LAYOUT}"
+    if not files.exists(spark, note):
+        return None
+    stored = json.loads(files.read_text(spark, note))
+    return stored["buckets"], T.StructType.fromJson(stored["schema"])
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """A bucketed target with every column it ever got; files without one give null."""
+    layout = _layout(spark, path)
+    if layout is None:
+        raise FileNotFoundError(f"{path} has no {LAYOUT}")
+    return spark.read.schema(layout[1]).parquet(path)
+
+
 def upsert_buckets(
     spark: SparkSession,
     source: DataFrame,
@@ -106,18 +136,27 @@ def upsert_buckets(
     buckets: int = 64,
     order: Sequence[str | Column] = (),
     newest_wins: bool = False,
+    slices: int = 4,
 ) -> None:
     """Upsert into a target laid out by key hash, rewriting only the buckets the batch touches.
 
     With ``newest_wins`` the row highest in ``order`` stays, so late rows do not undo newer ones;
     otherwise the batch wins. Repeating a batch gives the same target. The batch is reduced to one row
-    per key first. Choose ``buckets`` so that one bucket is about one task's worth of rows.
+    per key first. ``buckets`` counts for a new target only: it is stored beside the data, with the columns, and later
+    calls use the stored count, so a key never lies in two buckets. Columns that a batch adds are added to the target;
+    columns that it lacks are null in its rows and stay in all others. A bucket is worked on by ``slices`` tasks.
     """
+    layout = _layout(spark, path)
+    if layout is None and files.exists(spark, path):
+        raise ValueError(f"{path} holds data without {LAYOUT}; load it into a new target")
+    buckets = layout[0] if layout else buckets
     bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
     batch = one_per_key(source, key, order).withColumns({BUCKET: bucket, "_side": F.lit(1)})
-    merged = batch
-    if files.exists(spark, path):
-        target = spark.read.parquet(path)
+    merged, fields = batch, T.StructType([f for f in batch.schema.fields if f.name != "_side"])
+    if layout is not None:
+        stored = {f.name: f for f in layout[1].fields}
+        fields = T.StructType([*layout[1].fields, *[f for f in fields.fields if f.name not in stored]])
+        target = spark.read.schema(layout[1]).parquet(path)
         touched = batch.select(BUCKET).distinct()
         # At most ``buckets`` rows: a bounded broadcast that prunes the target's partitions.
         old = target.join(F.broadcast(touched), BUCKET, "left_semi").withColumn("_side", F.lit(0))
@@ -125,8 +164,15 @@ def upsert_buckets(
     side = F.desc("_side")
     ranked = [F.desc(c) if isinstance(c, str) else c for c in order]
     rank = [*ranked, side] if newest_wins else [side, *ranked]
-    placed = merged.repartition(BUCKET)  # also clusters the window below: one shuffle, one file per bucket
-    latest = one_per_key(placed, [BUCKET, *key], rank).drop("_side")
+    part = F.pmod(F.xxhash64(F.lit("slice"), *key), F.lit(slices)).cast("int")
+    # Clusters the window below as well: one shuffle, ``slices`` files per bucket.
+    placed = merged.withColumn("_slice", part).repartition(BUCKET, "_slice")
+    latest = one_per_key(placed, [BUCKET, "_slice", *key], rank).drop("_side", "_slice")
+    if layout is None or fields != layout[1]:
+        nullable = [T.StructField(f.name, f.dataType, True) for f in fields.fields]
+        note = {"buckets": buckets, "schema": T.StructType(nullable).jsonValue()}
+        # Before the data: a reader that knows a column too early sees nulls.
+        files.replace_text(spark, f"{path}/{LAYOUT}", json.dumps(note))
     overwrite_partitions(latest, path, [BUCKET])
 
 

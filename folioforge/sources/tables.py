@@ -63,18 +63,21 @@ def records_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.withColumns(lists).withColumnRenamed("author", "author_name")
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with part, order date and supplier region: the joined sales fact."""
+def sales(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
+    """Line items joined with the asked dimensions, ``part`` and ``supplier`` (with its region); with both by default."""
     # One dimension at a time: Spark sizes a table from its files but not a join of tables, so joining
     # the dimensions among themselves first would make it shuffle the fact.
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey")
-        .join(table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .drop("s_acctbal", "s_nationkey", "n_nationkey", "n_name", "n_regionkey", "r_regionkey")
-    )
+    fact, dims = table(spark, sf_dir, "lineitem"), dims or ("part", "supplier")
+    if "part" in dims:
+        fact = fact.join(table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey")
+    if "supplier" in dims:
+        fact = (
+            fact.join(table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey")
+            .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .drop("s_acctbal", "s_nationkey", "n_nationkey", "n_name", "n_regionkey", "r_regionkey")
+        )
+    return fact
 
 
 def order_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

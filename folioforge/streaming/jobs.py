@@ -78,7 +78,10 @@ def throughput(
     delay: str = "10 minutes",
     session_gap: str | None = None,
 ) -> DataFrame:
-    """(window_start, by..., n) of closed windows: tumbling, sliding, or sessions of a gap."""
+    """(window_start, by..., n): tumbling, sliding, or sessions of a gap.
+
+    Appended, a window appears once it is closed by the watermark; :func:`upsert_windows` also stores the open ones.
+    """
     if session_gap:
         window = F.session_window(time, session_gap)
     else:
@@ -87,6 +90,14 @@ def throughput(
     return counted.select(F.col("w.start").alias("window_start"), *by, "n")
 
 
+def upsert_windows(
+    counted: DataFrame, target: str, checkpoint: str, by: Sequence[str] = (), buckets: int = 64
+) -> DataStreamWriter:
+    """Keep the latest count of every window that :func:`throughput` gives, open ones included, so that no event is left
+    out when the input ends. Not for session windows, which Spark cannot update."""
+    return upsert_stream(counted, target, checkpoint, ["window_start", *by], ["n"], buckets=buckets, mode="update")
+
+
 def operations(df: DataFrame, op: str, wanted: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Change events of the wanted operation types, projected; no state."""
     return df.where(F.col(op).isin(list(wanted))).select(op, *columns)
@@ -102,6 +113,7 @@ def upsert_stream(
     dead_letters: str | None = None,
     buckets: int = 64,
     newest_wins: bool = True,
+    mode: str = "append",
 ) -> DataStreamWriter:
     """Upsert every micro-batch into a bucketed target; rows that are not ``good`` go to dead letters.
 
@@ -124,4 +136,5 @@ def upsert_stream(
         finally:
             batch.unpersist()
 
-    return df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply).trigger(availableNow=True)
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    return writer.foreachBatch(apply).trigger(availableNow=True)

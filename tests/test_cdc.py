@@ -32,8 +32,24 @@ def test_null_changes_and_extra_columns(spark):
     old = spark.createDataFrame([("p", None, 1.0), ("q", 1, 1.0), ("r", None, 1.0), (None, 1, 1.0)], SCHEMA)
     new = spark.createDataFrame([("p", None, 1.0, "x"), ("q", None, 1.0, "x"), ("r", 3, 1.0, "x")], SCHEMA + ", extra string")
     row = cdc.cdc_summary(old, new, ["k"]).first()
-    assert (row["unchanged"], row["updated"], row["inserted"], row["deleted"]) == (1, 2, 0, 0)
-    assert values(cdc.cdc_column_audit(old, new, ["k"])) == [("q", "UPDATE", "a", "1", None), ("r", "UPDATE", "a", None, "3")]
+    assert (row["unchanged"], row["updated"], row["inserted"], row["deleted"]) == (1, 2, 0, 1)
+    assert values(cdc.cdc_column_audit(old, new, ["k"])) == [
+        ("q", "UPDATE", "a", "1", None), ("r", "UPDATE", "a", None, "3"), (None, "DELETE", "a", "1", None), (None, "DELETE", "b", "1.00", None)
+    ]
+
+
+def test_missing_keys_and_unlike_types(spark):
+    old = spark.createDataFrame([("p", 1, 1.0), (None, 1, 1.0), ("s", 5, 2.0), ("t", 5, 2.0)], SCHEMA)
+    new = spark.createDataFrame([("u", 1, 1.0), (None, 2, 1.0)], SCHEMA)
+    metrics = cdc.upsert_metrics(old, new, ["k"]).first()
+    assert metrics["total_after"] == cdc.upsert(old, new, ["k"]).count() == 5
+    assert (metrics["matched"], metrics["inserted"], metrics["modified"]) == (1, 1, 1)
+    text = spark.createDataFrame([("p", "1"), ("s", "n/a")], "k string, a string")
+    row = cdc.cdc_summary(old.where("k IN ('p', 's')"), text, ["k"]).first()
+    assert (row["unchanged"], row["updated"]) == (1, 1)
+    numbers = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    texts = spark.createDataFrame([("1", "x"), ("3", "y")], "k string, v string")
+    assert cdc.cdc_summary(numbers, texts, ["k"]).first().asDict() == {"inserted": 1, "updated": 0, "deleted": 1, "unchanged": 1}
 
 
 def test_audit_shows_every_compared_change(spark):

@@ -94,5 +94,15 @@ def test_first_item(spark):
 def test_stable_round_ignores_sum_noise(spark):
     noisy = [0.125, 0.1 + 0.2, 1.005, 1.00499999999, float("nan"), 1e300, None]
     out = apply(spark, noisy, "double", lambda c: rounding.stable_round(c, 2))
-    assert out[:4] == [0.13, 0.3, 1.01, 1.01]
+    assert out[:4] == [0.13, 0.3, 1.01, 1.0]
+    assert apply(spark, [0.12344999996, 10.0 * 0.1235], "double", lambda c: rounding.stable_round(c, 4)) == [0.1234, 1.235]
     assert out[5] == 1e300 and out[6] is None
+
+
+def test_exact_sums_keep_small_and_large_values(spark):
+    for rows, total in (([0.004, 0.004], 0.008), ([1e17, 1.0], 1e17 + 1), ([1e30, 1e30], 2e30), ([0.1] * 10, 1.0), ([None], None)):
+        df = spark.createDataFrame([(v,) for v in rows], "v double").repartition(3)
+        whole, mean = df.agg(rounding.exact_sum(F.col("v")), rounding.exact_mean(F.col("v"))).first()
+        assert whole == total and mean == (None if total is None else total / len(rows))
+        parts = df.agg(*rounding.sum_parts(F.col("v"), "p"))
+        assert parts.agg(rounding.sum_of_parts("p")).first()[0] == total

@@ -108,15 +108,17 @@ def test_pca_against_numpy(spark):
     data = np.hstack([base + 0.1 * rng.normal(size=(400, 1)), base * -2 + 0.3 * rng.normal(size=(400, 1)), rng.normal(size=(400, 3))])
     df = spark.createDataFrame(pd.DataFrame(data, columns=list("abcde")).assign(key=range(400)))
     variance, points = scaling.pca(df, list("abcde"), k=2)
-    z = (data - data.mean(0)) / data.std(0, ddof=1)
-    values_, vectors = np.linalg.eigh(np.cov(z.T))
+    z = (data - data.mean(0)) / data.std(0)
+    values_, vectors = np.linalg.eigh(np.cov(z.T, bias=True))
     order = np.argsort(values_)[::-1]
     assert [r["variance_pct"] for r in variance.orderBy("component").collect()] == pytest.approx((values_[order] / values_.sum() * 100)[:2], abs=0.06)
     first = vectors[:, order[0]]
     first = first if first[np.argmax(np.abs(first))] > 0 else -first
     got = np.array([r["pc1"] for r in points.orderBy("key").collect()])
     np.testing.assert_allclose(got, z @ first, atol=2e-3)
-    assert scaling.pca(df.limit(5), list("abcde")) is None
+    assert scaling.total_variance(scaling.pca(df, list("abcde"), k=5)[0]).first()[0] == pytest.approx(100, abs=0.3)
+    few, none = scaling.pca(df.limit(5), list("abcde"))
+    assert few.isEmpty() and none.isEmpty() and none.columns == points.columns
     as_array, other = scaling.pca(df.select("key", F.array(*"abcde").alias("e")), "e", k=2)
     assert values(as_array) == values(variance) and values(other, "key", "pc1", "pc2") == values(points, "key", "pc1", "pc2")
 

@@ -97,3 +97,18 @@ def test_load_verify(spark):
 def test_report_json_of_failures(spark):
     report = spark.createDataFrame([("x", "FAIL")], "check string, status string")
     assert json.loads(report_json(report, "t").first()[0])["passed"] is False
+
+
+def test_two_rating_columns_are_checked_apart(spark):
+    df = spark.createDataFrame([("k", 99.0, 4.0)], "ol_key string, rating double, avg_rating double")
+    rules = quality.GateRules("ol_key", (), {"rating": (0.0, 5.0), "avg_rating": (0.0, 5.0)})
+    got = {r["check"]: r["status"] for r in quality.gate_checks(df, rules).collect()}
+    assert got["rating range [0 - 5]"] == "FAIL" and got["avg_rating range [0 - 5]"] == "PASS"
+
+
+def test_report_covers_all_columns(spark):
+    columns = [f"c{i}" for i in range(12)]
+    df = spark.range(20).select(F.col("id").alias("ingest_seq"), *[F.lit(float(i)).alias(c) for i, c in enumerate(columns)])
+    report = quality.validate_report(df, valid_flag=None)
+    assert report.where("check = 'Null Check'").count() == report.where("check = 'Outlier Detection'").count() == 12
+    assert report.where("check = 'Duplicate Check'").first()["value"] == 19.0

@@ -1,5 +1,7 @@
+import statistics
+
 import pytest
-from conftest import DOC_DEFAULTS, values
+from conftest import DOC_DEFAULTS, book, values
 from pyspark.sql import functions as F
 
 from folioforge.plans.records import clean_records, empty_records, flatten, transform_records
@@ -24,26 +26,27 @@ def test_columns_and_types(raw_records):
 
 
 def test_first_items(fact):
-    assert fact["/works/B200"]["author"] == "Bob Jones"
-    assert fact["/works/B200"]["publisher"] == "AI Press"
+    for n in (11, 12, 14):
+        assert (fact[f"w{n:03d}"]["author"], fact[f"w{n:03d}"]["publisher"]) == (f"Writer {n}", f"Press {n % 4}")
 
 
-def test_no_nulls_and_placeholders(fact):
-    assert all(v is not None for row in fact.values() for v in row)
-    empty = fact["/works/B300"]
-    assert (empty["author"], empty["publisher"], empty["subject"], empty["isbn"]) == ("Unknown Author", "Unknown Publisher", "General", "")
-    # Medians are taken over all rows, repeated ones included.
-    filled = clean_records_row(empty)
-    assert filled == (2021.0, 350.0, 4.5, 250.0)
+def test_identifiers_stay_whole(spark):
+    rows = [{"key": f"K{i}", "title": "T", "isbn": [f"9780000000000-part-{i}"]} for i in range(3)]
+    assert values(clean_records(docs(spark, rows)), "isbn") == [(f"9780000000000-part-{i}",) for i in range(3)]
 
 
-def clean_records_row(row):
-    return row["publish_year"], row["pages"], row["avg_rating"], row["rating_count"]
+def test_no_nulls_and_placeholders(fact, raw_documents):
+    assert all(v is not None for row in fact.values() for v in row)
+    bare = fact["w013"]
+    assert (bare["author"], bare["publisher"], bare["subject"], bare["isbn"]) == ("Unknown Author", "Unknown Publisher", "General", "")
+    # Medians are taken over all rows, repeated ones included.
+    for column, name in (("publish_year", "first_publish_year"), ("pages", "number_of_pages_median"), ("rating_count", "ratings_count")):
+        assert bare[column] == statistics.median(d[name] for d in raw_documents if d[name] is not None)
 
 
 def test_dedup_keeps_first(fact):
-    assert len(fact) == 3
-    assert fact["/works/B100"]["title"] == "Data Patterns"
+    assert sorted(fact) == ["w011", "w012", "w013", "w014", "w015"]
+    assert fact["w011"]["title"] == "Volume 11"
 
 
 def test_second_stage_keeps_blank_identifiers(spark):
@@ -51,19 +54,21 @@ def test_second_stage_keeps_blank_identifiers(spark):
     assert values(clean_records(docs(spark, rows)), "ol_key") == [("K1",), ("K3",), ("K4",)]
 
 
-def test_derived_labels(spark):
+def test_labels_at_their_bounds(spark):
+    """Values just under, at and just over each bound; medians and caps stay out of the way of the labels."""
+    pages = {99: "Short (<100 pages)", 100: "Medium (100-300)", 299: "Medium (100-300)", 300: "Long (300-600)", 599: "Long (300-600)", 600: "Comprehensive (600+)"}
+    ratings = {2.99: "Below Average (<3.0)", 3.0: "Average (3.0-4.0)", 3.99: "Average (3.0-4.0)", 4.0: "Good (4.0-4.5)", 4.49: "Good (4.0-4.5)", 4.5: "Excellent (4.5+)"}
+    years = {1889: "1880s", 1890: "1890s", 1999: "1990s", 2000: "2000s", 2009: "2000s", 2010: "2010s"}
     rows = [
-        {"key": "K1", "title": "T one", "first_publish_year": 1995, "number_of_pages_median": 50, "ratings_average": 4.8, "ratings_count": 10},
-        {"key": "K2", "title": "T", "first_publish_year": 1995, "number_of_pages_median": 200, "ratings_average": 4.2, "ratings_count": 10},
-        {"key": "K3", "title": "T", "first_publish_year": 1995, "number_of_pages_median": 450, "ratings_average": 3.5, "ratings_count": 10},
-        {"key": "K4", "title": "T", "first_publish_year": 1995, "number_of_pages_median": 800, "ratings_average": 2.1, "ratings_count": 10},
+        book(i, number_of_pages_median=p, ratings_average=r, first_publish_year=y)
+        for i, (p, r, y) in enumerate(zip(pages, ratings, years))
     ]
-    out = {r["ol_key"]: r for r in transform_records(docs(spark, rows)).collect()}
-    assert {r["publish_decade"] for r in out.values()} == {"1990s"}
-    assert [out[k]["page_tier"] for k in sorted(out)] == ["Short (<100 pages)", "Medium (100-300)", "Long (300-600)", "Comprehensive (600+)"]
-    assert [out[k]["rating_category"] for k in sorted(out)] == ["Excellent (4.5+)", "Good (4.0-4.5)", "Average (3.0-4.0)", "Below Average (<3.0)"]
-    assert [out[k]["is_highly_rated"] for k in sorted(out)] == [1, 1, 0, 0]
-    assert out["K1"]["title_word_count"] == 2
+    out = sorted(transform_records(docs(spark, rows)).collect(), key=lambda r: r["ol_key"])
+    assert [r["page_tier"] for r in out] == list(pages.values())
+    assert [r["rating_category"] for r in out] == list(ratings.values())
+    assert [r["publish_decade"] for r in out] == list(years.values())
+    assert [r["is_highly_rated"] for r in out] == [int(r >= 4.0) for r in ratings]
+    assert {r["title_word_count"] for r in out} == {2}
 
 
 def test_missing_columns(spark):

@@ -12,7 +12,7 @@ from folioforge.plans import recovery, runlog
 from folioforge.plans.catalog import prepare_catalog
 from folioforge.plans.pipeline import run_catalog_pipeline, run_record_pipeline
 from folioforge.plans.records import transform_records
-from folioforge.schemas import RAW_CATALOG
+from folioforge.schemas import ETL_EXECUTION_LOG, RAW_CATALOG
 from folioforge.session import broadcast_if_small, cut_lineage, scratch_path, shared_dir
 from folioforge.sources import catalog_csv, files, images, lookups, record_pages, sinks
 
@@ -73,9 +73,9 @@ def test_csv_without_schema_is_text(spark, tmp_path):
 def test_pages_from_three_sources(spark, landed):
     pages, errors = record_pages.read_sources(spark, landed)
     docs = record_pages.explode_docs(pages)
-    assert docs.count() == 9 and "_source" in docs.columns and not errors
+    assert docs.count() == 12 and "_source" in docs.columns and not errors
     status = record_pages.source_status(spark, pages, list(landed), errors)
-    assert {(r["records"], r["reported"], r["status"]) for r in status.collect()} == {(3, 3, "SUCCESS")}
+    assert {(r["records"], r["reported"], r["status"]) for r in status.collect()} == {(4, 4, "SUCCESS")}
 
 
 def test_failing_sources_do_not_stop_others(spark, landed, tmp_path):
@@ -85,7 +85,7 @@ def test_failing_sources_do_not_stop_others(spark, landed, tmp_path):
     pages, errors = record_pages.read_sources(spark, sources)
     status = record_pages.source_status(spark, cut_lineage(pages), list(sources), errors)
     got = {r["source"]: (r["records"], r["status"].split(":")[0]) for r in record_pages.require_records(status).collect()}
-    assert got == {"science": (3, "SUCCESS"), "technology": (3, "SUCCESS"), "medicine": (3, "SUCCESS"), "absent": (0, "FAILED"), "bad": (0, "FAILED"), "none": (0, "FAILED")}
+    assert got == {"science": (4, "SUCCESS"), "technology": (4, "SUCCESS"), "medicine": (4, "SUCCESS"), "absent": (0, "FAILED"), "bad": (0, "FAILED"), "none": (0, "FAILED")}
     nothing = record_pages.source_status(spark, None, ["absent"], {"absent": "gone"})
     with pytest.raises(catalog_csv.EmptySource):
         record_pages.require_records(nothing)
@@ -93,7 +93,7 @@ def test_failing_sources_do_not_stop_others(spark, landed, tmp_path):
 
 def test_pretty_printed_page(spark, tmp_path, payload):
     (tmp_path / "p.json").write_text(json.dumps(payload, indent=2))
-    assert record_pages.explode_docs(record_pages.read_pages(spark, str(tmp_path / "p.json"), "s", multi_line=True)).count() == 3
+    assert record_pages.explode_docs(record_pages.read_pages(spark, str(tmp_path / "p.json"), "s", multi_line=True)).count() == 4
 
 
 @pytest.mark.parametrize("strategy", ["full", "incremental"])
@@ -102,13 +102,13 @@ def test_record_pipeline(spark, landed, tmp_path, strategy):
     for n in (1, 2):
         run = run_record_pipeline(spark, landed, root, strategy, run_time=datetime(2024, 1, n, tzinfo=timezone.utc))
         assert run["status"] == "SUCCESS", run["error_msg"]
-        # Identifiers repeat over the sources: 2 with an identifier, 3 without.
-        assert (run["records_extracted"], run["records_after_transform"], run["records_loaded"]) == (9, 5, 5)
+        # Identifiers repeat over the sources: 2 with an identifier, 6 without.
+        assert (run["records_extracted"], run["records_after_transform"], run["records_loaded"]) == (12, 8, 8)
     runs = runlog.read_runs(spark, f"{root}/run_log")
     latest = runlog.latest_runs(runs, 1).first()
     assert runs.count() == 2 and latest["run_timestamp"].day == 2 and latest["load_strategy"] == strategy
     fact = sinks.read_published(spark, f"{root}/fact")
-    assert fact.count() == 5
+    assert fact.count() == 8
     assert runlog.freshness(fact, "2024-01-02 01:00:00").first()[0] == 3600
     metrics = runlog.run_metrics(runs).first()
     assert (metrics["runs"], metrics["success_rate"], metrics["error_rate"]) == (2, 100.0, 0.0)
@@ -134,7 +134,7 @@ def test_unreadable_source_is_retried_and_reported(spark, landed, tmp_path):
     pauses = []
     sources = {**landed, "broken": str(tmp_path / "broken.json.gz")}
     run = run_record_pipeline(spark, sources, str(tmp_path / "out"), sleep=pauses.append)
-    assert (run["status"], run["records_extracted"], pauses) == ("SUCCESS", 9, [2.0, 4.0, 8.0]), run["error_msg"]
+    assert (run["status"], run["records_extracted"], pauses) == ("SUCCESS", 12, [2.0, 4.0, 8.0]), run["error_msg"]
     status = spark.read.parquet(str(tmp_path / "out/reports/*/sources"))
     assert values(status.where("source = 'broken'"), "records") == [(0,)]
     assert status.where("source = 'broken'").first()["status"].startswith("FAILED")
@@ -143,22 +143,22 @@ def test_unreadable_source_is_retried_and_reported(spark, landed, tmp_path):
 def test_routes_change_audit_and_buckets(spark, landed, tmp_path):
     root = str(tmp_path / "out")
     options = {
-        "fail_rules": {"old": F.col("publish_year") > 2010},
+        "fail_rules": {"old": F.col("publish_year") > 1903},
         "warn_rules": {"no_identifier": F.col("isbn") != ""},
         "buckets": 4,
     }
     first = run_record_pipeline(spark, landed, root, **options)
-    assert (first["status"], first["records_after_transform"], first["records_loaded"]) == ("SUCCESS", 5, 4), first["error_msg"]
-    assert spark.read.parquet(f"{root}/quarantine").count() == 1 and spark.read.parquet(f"{root}/audit").count() == 3
+    assert (first["status"], first["records_after_transform"], first["records_loaded"]) == ("SUCCESS", 8, 7), first["error_msg"]
+    assert spark.read.parquet(f"{root}/quarantine").count() == 1 and spark.read.parquet(f"{root}/audit").count() == 6
     page = json.loads((tmp_path / "landing/science/page.json").read_text())
-    page["docs"][2]["title"] = "Pocket Guide, revised"
+    page["docs"][2]["title"] = "Volume 3, revised"
     (tmp_path / "landing/science/page.json").write_text(json.dumps(page) + "\n")
     second = run_record_pipeline(spark, landed, root, **options)
-    assert second["status"] == "SUCCESS" and spark.read.parquet(f"{root}/fact_buckets").count() == 4
+    assert second["status"] == "SUCCESS" and spark.read.parquet(f"{root}/fact_buckets").count() == 7
     changes = values(spark.read.parquet(f"{root}/cdc_audit"), "key_id", "action", "column_changed", "old_value", "new_value")
     assert changes == [
-        ("/works/A3-science", "UPDATE", "title", "Pocket Guide", "Pocket Guide, revised"),
-        ("/works/A3-science", "UPDATE", "title_word_count", "2", "3"),
+        ("w003-science", "UPDATE", "title", "Volume 3", "Volume 3, revised"),
+        ("w003-science", "UPDATE", "title_word_count", "2", "3"),
     ]
     assert run_record_pipeline(spark, landed, root, "full", buckets=4)["status"] == "FAILED"
 
@@ -179,7 +179,7 @@ def test_catalog_pipeline(spark, tmp_path):
 def test_load_of_the_record_fact(spark, raw_records, tmp_path):
     fact = transform_records(raw_records)
     sinks.full_load(spark, fact, str(tmp_path / "t"))
-    assert sinks.read_published(spark, str(tmp_path / "t")).count() == fact.count() == 3
+    assert sinks.read_published(spark, str(tmp_path / "t")).count() == fact.count() == 5
 
 
 def test_publish_is_all_or_nothing(spark, tmp_path):
@@ -349,3 +349,40 @@ def test_broadcast_only_below_the_bound(spark, monkeypatch):
     assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
     monkeypatch.setattr("folioforge.session.BROADCAST_ROWS", 5)
     assert "ResolvedHint" not in broadcast_if_small(spark.range(10))._jdf.queryExecution().analyzed().toString()
+
+
+def test_bucket_count_and_columns_are_kept(spark, tmp_path):
+    path = str(tmp_path / "b")
+    rows = spark.range(100).select("id", F.lit("a").alias("v"))
+    sinks.upsert_buckets(spark, rows, path, ["id"], buckets=8)
+    sinks.upsert_buckets(spark, rows.withColumn("extra", F.lit(1)), path, ["id"], buckets=16)
+    sinks.upsert_buckets(spark, rows.where("id < 10").withColumn("v", F.lit("b")), path, ["id"], buckets=3)
+    out = sinks.read_buckets(spark, path)
+    assert out.count() == out.select("id").distinct().count() == 100
+    assert values(out.groupBy("v").agg(F.count("extra").alias("extra"), F.count("id").alias("n")), "v", "extra", "n") == [("a", 90, 90), ("b", 0, 10)]
+    (tmp_path / "b" / "_layout").unlink()
+    with pytest.raises(ValueError):
+        sinks.upsert_buckets(spark, rows, path, ["id"])
+
+
+def test_old_versions_go(spark, tmp_path):
+    for i in range(4):
+        sinks.full_load(spark, spark.range(i), str(tmp_path / "t"))
+    assert len(list((tmp_path / "t" / "versions").iterdir())) == 2
+    assert sinks.read_published(spark, str(tmp_path / "t")).count() == 3
+
+
+def test_full_load_needs_all_sources(spark, landed, tmp_path):
+    root = str(tmp_path / "out")
+    run_record_pipeline(spark, landed, root, "full")
+    run = run_record_pipeline(spark, {**landed, "gone": str(tmp_path / "gone")}, root, "full")
+    assert run["status"] == "FAILED" and run["error_msg"].startswith("PartialSources")
+    assert sinks.read_published(spark, f"{root}/fact").count() == 8
+
+
+def test_failed_catalog_run_is_logged(spark, tmp_path):
+    root = str(tmp_path / "out")
+    with pytest.raises(Exception):
+        run_catalog_pipeline(spark, spark.range(3), root, "2024-01-01T00:00:00")
+    log = runlog.read_runs(spark, f"{root}/etl_log", ETL_EXECUTION_LOG).collect()
+    assert [r["status"] for r in log] == ["FAILED"]

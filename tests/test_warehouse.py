@@ -48,8 +48,8 @@ def test_lookup_default(spark, catalog):
 
 def test_3nf(catalog):
     tables = warehouse.books_3nf(catalog)
-    assert values(tables["authors"]) == [(1, "Amy"), (2, "Zoe")]
-    assert values(tables["publishers"], "publisher_name") == [("Art-Modern Publishing",), ("Cooking Publishing",)]
+    assert values(tables["authors"]) == [(-1, "Unknown"), (1, "Amy"), (2, "Zoe")]
+    assert values(tables["publishers"], "publisher_name") == [("Art-Modern Publishing",), ("Cooking Publishing",), ("Unknown",)]
     assert values(tables["books"], "isbn", "author_id", "publisher_id", "category_id") == [("1", 2, 1, 1), ("2", -1, 2, 2), ("4", 1, -1, -1)]
 
 
@@ -57,9 +57,13 @@ def test_star(catalog):
     tables = warehouse.star_schema(catalog)
     fact = tables["fact_book_sales"]
     assert values(fact, "isbn", "category_key", "format_key", "is_bestseller") == [("1", 1, 2, 1), ("2", 2, 1, 0), ("3", 1, -1, 1)]
-    assert fact.where(~F.col("time_key").between(1, 6)).isEmpty()
-    dims = {"category": (tables["dim_category"], "category_key", "category_key"), "format": (tables["dim_format"], "format_key", "format_key")}
-    assert values(warehouse.fk_integrity(fact, dims)) == [("category", 0), ("format", 1)]
+    keys = {"dim_category": "category_key", "dim_format": "format_key", "dim_publisher": "publisher_key", "dim_time": "time_key"}
+    dims = {name: (tables[name], key, key) for name, key in keys.items()}
+    assert values(warehouse.fk_integrity(fact, dims)) == [(name, 0) for name in sorted(keys)]
+    assert olap.star(fact, {key: (tables[name], key) for name, key in keys.items()}).count() == fact.count() == 3
+    known = {**dims, "dim_format": (tables["dim_format"].where("format_key > 0"), "format_key", "format_key")}
+    assert ("dim_format", 1) in values(warehouse.fk_integrity(fact, known))
+    assert values(tables["dim_time"], "time_key")[0] == (202401,) and tables["dim_time"].count() == 6
 
 
 def test_time_dimension(spark):
@@ -79,12 +83,15 @@ def test_cube_totals_equal_rollup_totals(spark):
     assert values(cube.where("grouping_id in (0, 1, 3)")) == values(roll)
     assert values(olap.cube_slice(cube, ["a", "b"], {"b": "2"}), "a", "b", "row_count") == [(None, "2", 60)]
     assert values(olap.cube_slice(cube, ["a", "b"], {}), "row_count") == [(300,)]
+    for wanted in ({"b": "2"}, {}, {"a": "1", "b": "3"}):
+        assert values(olap.cube_cells(df, ["a", "b"], wanted, "p", "r")) == values(olap.cube_slice(cube, ["a", "b"], wanted))
     assert olap.cube_topn(df, ["a"], ["b"], 2, 2, "p", "r").count() == 4
 
 
 def test_read_only_sql(spark):
     olap.register_views(spark, {"wh_t": spark.range(5)})
     assert olap.run_sql(spark, "-- note\nSELECT count(*) AS n FROM wh_t WHERE id > :low;", {"low": 2}).first()["n"] == 2
-    for bad in ("DROP TABLE wh_t", "INSERT INTO wh_t VALUES (1)", "WITH x AS (SELECT 1) INSERT INTO wh_t SELECT * FROM x"):
+    assert olap.run_sql(spark, "SELECT 'a--b /* c */' AS s -- note").first()["s"] == "a--b /* c */"
+    for bad in ("DROP TABLE wh_t", "CREATE TABLE t2 AS SELECT 1", "SET x=1", "INSERT INTO wh_t VALUES (1)", "WITH x AS (SELECT 1) INSERT INTO wh_t SELECT * FROM x"):
         with pytest.raises(ValueError):
             olap.run_sql(spark, bad)
