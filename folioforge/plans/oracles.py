@@ -571,6 +571,13 @@ ORACLES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "stream_dead_letters": """SELECT 'loaded' AS route, count(*) AS rows FROM events WHERE event_id % 13 <> 0
         UNION ALL SELECT 'dead_letter', count(*) FROM events WHERE event_id % 13 = 0""",
+    "run_metrics": f"""WITH runs AS (SELECT event_id % 7 <> 0 AS ok, event_id % 5000 AS ms, event_id % 97 AS loaded FROM events)
+        SELECT count(*) AS runs, {r('count(*) FILTER (ok) * 100.0 / count(*)', 2)} AS success_rate,
+          {r('count(*) FILTER (NOT ok) * 100.0 / count(*)', 2)} AS error_rate, {r('avg(ms)', 1)} AS avg_latency_ms,
+          {r('CAST(sum(loaded) AS DOUBLE) / (sum(ms) / 60000.0)', 1)} AS records_per_minute FROM runs""",
+    "latest_runs": """SELECT CAST(event_id AS VARCHAR) AS run_id, CASE WHEN event_id % 7 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+          event_id % 5000 AS total_ms FROM events ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC LIMIT 12""",
+    "run_freshness": """SELECT CAST(floor(epoch(TIMESTAMP '2024-01-31 00:00:00')) - floor(epoch(max(ts))) AS BIGINT) AS freshness_seconds FROM events""",
     "catalog_report": """SELECT 'Null Check' AS "check", CAST(18 AS BIGINT) AS columns UNION ALL SELECT 'Schema Validation', 9
         UNION ALL SELECT 'Outlier Detection', 9 UNION ALL SELECT 'Duplicate Check', 1 UNION ALL SELECT 'ISBN-13 Validation', 1""",
     "failed_run_log": f"""WITH {FEAT}, n AS (SELECT (SELECT count(*) FROM raw) AS e, (SELECT count(*) FROM feat) AS l)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from folioforge.functions import text
 from folioforge.functions.rounding import exact_sum, stable_round
 from folioforge.operators import aggregates, cdc, clean, dedup, features, olap, profile, quality, scaling, warehouse
-from folioforge.plans import catalog as catalog_plan, pipeline, records as record_plan, recovery
+from folioforge.plans import catalog as catalog_plan, pipeline, records as record_plan, recovery, runlog
 from folioforge.plans.runlog import read_runs
 from folioforge.schemas import ETL_EXECUTION_LOG, EVENT_MESSAGE
 from folioforge.session import broadcast_if_small, configure, cut_lineage, literal_frame, scratch_path
@@ -1068,6 +1068,36 @@ def stream_dead_letters(spark, sf):
     return good.unionByName(bad)
 
 
+# --- run log ---------------------------------------------------------------------------------------
+
+
+def event_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Events seen as runs: one in seven failed, duration and size follow from the number."""
+    number = F.col("event_id")
+    return table(spark, sf, "events").select(
+        number.cast("string").alias("run_id"),
+        F.col("ts").alias("run_timestamp"),
+        F.when(number % 7 == 0, "FAILED").otherwise("SUCCESS").alias("status"),
+        (number % 5000).alias("total_ms"),
+        (number % 97).alias("records_loaded"),
+    )
+
+
+@query
+def run_metrics(spark, sf):
+    return runlog.run_metrics(event_runs(spark, sf))
+
+
+@query
+def latest_runs(spark, sf):
+    return runlog.latest_runs(event_runs(spark, sf), 12).select("run_id", "status", "total_ms")
+
+
+@query
+def run_freshness(spark, sf):
+    return runlog.freshness(table(spark, sf, "events"), RUN_TS, "ts")
+
+
 # --- whole catalog run -----------------------------------------------------------------------------
 
 

@@ -19,9 +19,17 @@ SOURCE = "_source"
 def read_pages(spark: SparkSession, path: str, source: str, multi_line: bool = False) -> DataFrame:
     """Pages of one source, tagged: one page per line, which can be split.
 
-    ``multi_line=True`` is for files of exactly one pretty-printed page; it reads only the first page of a file.
+    ``multi_line=True`` is for pretty-printed pages: a page begins with a brace at the start of a line, and a file, which is
+    read as one text, may hold any number of them.
     """
-    pages = spark.read.schema(PAGE).option("multiLine", multi_line).option("columnNameOfCorruptRecord", CORRUPT)
+    if multi_line:
+        texts = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("_file"))
+        cut = texts.select("_file", F.posexplode(F.split("value", "\\n(?=\\{)")).alias("_page", "_text"))
+        parsed = F.from_json("_text", PAGE, {"columnNameOfCorruptRecord": CORRUPT})
+        return cut.where(F.trim("_text") != "").select(
+            parsed.alias("_parsed"), "_file", F.col("_page").cast("bigint").alias("_page")
+        ).select("_parsed.*", F.lit(source).alias(SOURCE), "_file", F.lit(0).cast("bigint").alias("_split"), "_page")
+    pages = spark.read.schema(PAGE).option("columnNameOfCorruptRecord", CORRUPT)
     return pages.json(path).select(
         "*",
         F.lit(source).alias(SOURCE),

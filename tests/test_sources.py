@@ -94,6 +94,11 @@ def test_failing_sources_do_not_stop_others(spark, landed, tmp_path):
 def test_pretty_printed_page(spark, tmp_path, payload):
     (tmp_path / "p.json").write_text(json.dumps(payload, indent=2))
     assert record_pages.explode_docs(record_pages.read_pages(spark, str(tmp_path / "p.json"), "s", multi_line=True)).count() == 4
+    page = json.dumps(payload, indent=2)
+    (tmp_path / "p.json").write_text(f"{page}\n{page}\n{{broken\n")
+    pages = record_pages.read_pages(spark, str(tmp_path / "p.json"), "s", multi_line=True)
+    assert record_pages.explode_docs(pages).count() == 8
+    assert pages.where("_corrupt_record IS NOT NULL").count() == 1
 
 
 @pytest.mark.parametrize("strategy", ["full", "incremental"])
