@@ -16,7 +16,7 @@ from folioforge.llm.mixing import mix
 from folioforge.llm.ngram_join import jaccard_join, node_id
 from folioforge.llm.quality_rules import quality_rules
 from folioforge.llm.queries import token_rows
-from folioforge.session import scratch_path
+from folioforge.session import broadcast_if_small, scratch_path
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,11 +33,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     docs = docs.select("__row", node_id(F.col("doc_id"), F.col("text")).alias("__node"), F.xxhash64("text").alias("__text"))
     nodes = docs.select(F.col("__node").alias("doc_id"), F.col("__row.text").alias("text"))
     rows, _ = jaccard_join(nodes, real_ids=False)
-    first = rows.filter("doc_id = component_id").select(F.col("doc_id").alias("__node")).distinct()
-    # Equal rows are one document; unlike texts under one id all stay.
-    same = Window.partitionBy("__node", "__text").orderBy("__node")
-    kept = docs.join(first, "__node", "left_semi").withColumn("__n", F.row_number().over(same))
-    return kept.filter("__n = 1").select("__row.*")
+    gone = rows.filter("doc_id <> component_id").select(F.col("doc_id").alias("__node")).distinct()
+    kept = docs.join(broadcast_if_small(gone), "__node", "left_anti")
+    # Equal rows are one document; unlike texts under one id all stay. Only rows that repeat are brought together.
+    repeated = kept.groupBy("__node", "__text").count().filter("count > 1").drop("count")
+    if not repeated.isEmpty():
+        same = Window.partitionBy("__node", "__text").orderBy("__node")
+        kept = kept.withColumn("__n", F.row_number().over(same)).filter("__n = 1")
+    return kept.select("__row.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
