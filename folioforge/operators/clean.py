@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from folioforge.functions import numeric, text
 from folioforge.operators.quantiles import mode_row, quantile_row
+from folioforge.session import cut_lineage
 
 # Column aliases, placeholders and defaults of the catalog.
 CATALOG_ALIASES = {"name": "title", "book_depository_stars": "rating", "img_paths": "img_path_raw"}
@@ -93,7 +94,9 @@ def impute_catalog(df: DataFrame) -> DataFrame:
     Old price from price (before price itself is filled), price by its median, rating by its mode,
     text by placeholder, key by the empty text. Median and mode are one-row frames joined by broadcast.
     """
-    fills = quantile_row(df, ["price"], [0.5]).crossJoin(mode_row(df, "rating", "_rating_mode"))
+    # Both pass over two columns several times: those are parsed once and kept apart.
+    numbers = cut_lineage(df.select("price", "rating"))
+    fills = quantile_row(numbers, ["price"], [0.5]).crossJoin(F.broadcast(mode_row(numbers, "rating", "_rating_mode")))
     filled = df.crossJoin(F.broadcast(fills)).withColumns(
         {
             "old_price": F.coalesce("old_price", "price"),
