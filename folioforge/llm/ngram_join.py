@@ -2,21 +2,24 @@
 
 1. Every text becomes its set of distinct word shingles. Texts with equal sets form one class (grouped by a 128-bit
    signature), so exact copies never meet pairwise.
-2. A counting pass adds up shingle occurrences over all documents in a fixed number of hash cells. A shingle's token is its
-   frequency class followed by its hash: sorted tokens run from rare to frequent, the same way in every document.
+2. A counting pass over all documents adds up words and shingles in a fixed number of hash cells. A shingle's token is its
+   frequency class followed by its hash: the expected frequency of its words, or, for shingles whose cell shows a large
+   excess, the counted one above all expected ones. Sorted tokens run from rare to frequent, alike in every document.
 3. Two sets with enough overlap share a token of their prefixes, so only prefixes are indexed: (token, document, size,
    position). Tokens whose cell shows a large excess are salted. Tokens held by one document are dropped.
 4. First round: each holder of a token meets the token's smallest document only, so a large group of near copies costs one
    pair per holder. Second round: the pairs of a token's holders that the first round did not bring into one component, all
-   of them. A pair passes the length filter and the positional filter at the join, the suffix filter (overlap bound from the
-   set sizes between fixed pivots of the hash order) next, and is then verified on the whole sets, once.
+   of them. A pair passes the length filter and the positional filter at the join: its first common token leaves enough
+   tokens on both sides. The suffix filter (overlap bound from the set sizes between fixed pivots of the hash order) is
+   next, and what is left is verified on the whole sets, once.
 5. Components of the verified links by star contraction.
 
 No cap on holders, partners or candidates. What a skipped pair would link is already in one component.
 
 Defined cases: null, empty and blank texts have no shingles and no links. Texts shorter than a shingle have one, the whole
-word sequence. Rows that share a doc_id are one document with several texts; a row keeps its own count. A null doc_id is a
-document after all others: it links like any, its component is the smallest id it reaches, null if there is none.
+word sequence. Rows that share a doc_id are one document with several texts; a row keeps its own count. Rows without doc_id
+are documents told apart by text, after all others: they link like any, and their component is the smallest id they reach,
+null if there is none. Inside the join they are numbered from RESERVED up, which real ids must stay below.
 """
 
 from __future__ import annotations
@@ -25,14 +28,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from folioforge.llm.common import in_arrow, staged
 from folioforge.llm.components import components
-from folioforge.llm.words import mixed, parts, shingle_sets
+from folioforge.llm.words import cells, hashes, mixed, parts, shingle_sets, split_words
 from folioforge.session import broadcast_if_small
 
-CELL_BITS = 18  # fixed: 262,144 counters, 1 MB on the driver and in each task
+CELL_BITS, WORD_BITS = 18, 16  # fixed numbers of counters for shingles and words, about 3 MB
+HEAVY = 64  # excess of a cell from which its count, not its words, decides the class
 PIVOTS = 256  # suffix filter: ranges of the hash order
 SALT_ROWS = 100_000  # estimated holders of a token per salt
 RESERVED = 1 << 62  # first number for rows without doc_id
@@ -58,37 +63,54 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Re
             )
 
 
+class _Rarity:
+    """Turns shingle hashes into tokens by the counted cells."""
+
+    def __init__(self, shingles: np.ndarray, words: np.ndarray, width: int):
+        self.width = width
+        self.excess = np.maximum(0, shingles - int(np.median(shingles)))
+        heavy = np.where(self.excess >= HEAVY, 32 + np.minimum(31, np.log2(1 + self.excess)), 0)
+        self.heavy = heavy.astype(np.uint64)
+        self.common = np.round(64 * np.log2(1 + words)).astype(np.int64)
+        self.most = int(self.common.max(initial=1)) or 1
+
+    def word(self, h: np.ndarray) -> np.ndarray:
+        return self.common[cells(h, WORD_BITS)]
+
+    def __call__(self, value: np.ndarray, words: np.ndarray) -> np.ndarray:
+        expected = np.minimum(31, 32 * words // (self.width * self.most)).astype(np.uint64)
+        heavy = self.heavy[cells(value, CELL_BITS)]
+        return (np.where(heavy > 0, heavy, expected) << np.uint64(57)) | (value >> np.uint64(7))
+
+    def salts(self, tokens: np.ndarray) -> np.ndarray:
+        return 1 + self.excess[cells(tokens << np.uint64(7), CELL_BITS)] // SALT_ROWS
+
+
 def _counts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << CELL_BITS, np.int64)
+    shingles, words = np.zeros(1 << CELL_BITS, np.int64), np.zeros(1 << WORD_BITS, np.int64)
     for batch in batches:
         for part in parts(batch):
             value, _, _ = shingle_sets(part["text"], width)
-            total += np.bincount((value >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(total))
-    cells = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], names=["cell", "holders"])
+            shingles += np.bincount(cells(value, CELL_BITS), minlength=len(shingles))
+            _, codes, vocab = split_words(pc.ascii_lower(part["text"].fill_null("")))
+            found = np.bincount(codes, minlength=len(vocab))
+            words += np.bincount(cells(hashes(vocab), WORD_BITS), weights=found, minlength=len(words)).astype(np.int64)
+    total = np.concatenate([shingles, words])
+    used = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["cell", "holders"])
 
 
-def _ordered(value: np.ndarray, starts: np.ndarray, ends: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Tokens: frequency class above the hash, sorted within each document."""
-    token = (classes[(value >> np.uint64(64 - CELL_BITS)).astype(np.int64)] << np.uint64(57)) | (value >> np.uint64(7))
-    for a, b in zip(starts.tolist(), ends.tolist()):
-        token[a:b].sort()
-    return token
-
-
-def _prefixes(batches: Iterator[pa.RecordBatch], width: int, percent: int, classes, excess) -> Iterator[pa.RecordBatch]:
+def _prefixes(batches: Iterator[pa.RecordBatch], width: int, percent: int, rarity: _Rarity) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in parts(batch):
-            value, starts, ends = shingle_sets(part["text"], width)
-            token = _ordered(value, starts, ends, classes)
+            token, starts, ends = shingle_sets(part["text"], width, rarity)
             size = ends - starts
             take = np.where(size > 0, size - -(-percent * size // 100) + 1, 0)
             rows = np.repeat(np.arange(len(size)), take)
             position = np.arange(len(rows)) - np.repeat(np.cumsum(take) - take, take)
             tokens = token[starts[rows] + position]
             ids = part["doc_id"].to_numpy(zero_copy_only=False)[rows]
-            over = excess[((tokens << np.uint64(7)) >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-            salts = 1 + over // SALT_ROWS
+            salts = rarity.salts(tokens)
             salt = np.where(salts > 1, 1 + mixed(ids.astype(np.uint64)).astype(np.int64) % salts, 0)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -121,12 +143,15 @@ def _near_sizes(a: Column, b: Column, percent: int) -> Column:
 
 
 def _passes(a: str, b: str, percent: int) -> str:
-    """SQL of the length and positional filters on two holders of a token. Ordered sets that share the token at these
-    positions overlap in as many shingles before it as the earlier position allows, and after it as the shorter rest."""
-    bound = f"(least({a}pos, {b}pos) + 1 + least({a}n - {a}pos - 1, {b}n - {b}pos - 1))"
+    """SQL of the length and positional filters on two holders of a token.
+
+    Sets that reach the similarity overlap in at least percent / (100 + percent) of their summed sizes, and all of that lies
+    from their first common token on. For that token both positions leave as much, so pairs without such a token go.
+    """
+    enough = f"{percent}L * ({a}n + {b}n)"
     return (
         f"({a}doc_id <> {b}doc_id AND 100L * least({a}n, {b}n) >= {percent}L * greatest({a}n, {b}n)"
-        f" AND {100 + percent}L * {bound} >= {percent}L * ({a}n + {b}n))"
+        f" AND {100 + percent}L * ({a}n - {a}pos) >= {enough} AND {100 + percent}L * ({b}n - {b}pos) >= {enough})"
     )
 
 
@@ -160,8 +185,9 @@ def node_id(doc_id: Column, text: Column) -> Column:
 def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 75, real_ids: bool = True) -> tuple[DataFrame, DataFrame]:
     """``docs`` (doc_id, text) → (rows, links).
 
-    rows: doc_id, n_shingles, component_id for every row. links: verified pairs (a, b) of documents with unlike texts that,
-    together with the classes of equal sets, span every component.
+    rows: doc_id, n_shingles, component_id for every row; ``real_ids=False`` shows the numbers of rows without doc_id.
+    links: verified pairs (a, b) of documents with unlike sets that, together with the classes of equal sets, span every
+    component.
     """
     docs = docs.select(node_id(F.col("doc_id"), F.col("text")).alias("doc_id"), "text")
     schema = "doc_id long, n long, sig1 long, sig2 long, pivots array<smallint>"
@@ -175,16 +201,13 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 75, real_ids: b
     copies = classes.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("rep")).alias("own")).filter("NOT own").select("doc_id")
     once = docs.join(broadcast_if_small(copies), "doc_id", "left_anti")
 
-    counted = in_arrow(once, lambda x: _counts(x, width), "cell long, holders long").groupBy("cell").agg(F.sum("holders").alias("n"))
-    holders = np.zeros(1 << CELL_BITS, np.int64)
-    for cell, n in counted.collect():  # 2 ** CELL_BITS rows at most
+    counted = in_arrow(once, lambda x: _counts(x, width), "cell int, holders long").groupBy("cell").agg(F.sum("holders").alias("n"))
+    holders = np.zeros((1 << CELL_BITS) + (1 << WORD_BITS), np.int64)
+    for cell, n in counted.collect():  # as many rows as cells at most
         holders[cell] = n
-    excess = np.maximum(0, holders - int(np.median(holders)))
-    rarity = np.minimum(63, (2 * np.log2(1 + excess)).astype(np.int64)).astype(np.uint64)
+    rarity = _Rarity(holders[: 1 << CELL_BITS], holders[1 << CELL_BITS :], width)
 
-    index = in_arrow(
-        once, lambda x: _prefixes(x, width, percent, rarity, excess), "token long, doc_id long, n int, pos int, salt int"
-    )
+    index = in_arrow(once, lambda x: _prefixes(x, width, percent, rarity), "token long, doc_id long, n int, pos int, salt int")
     together = Window.partitionBy("token", "salt")
     met = index.withColumn("c", F.count(F.lit(1)).over(together)).withColumn("hub", F.min(F.struct("doc_id", "n", "pos")).over(together))
     # Two holders are one pair, which passes here or never; the holders of other tokens may meet again later.
