@@ -19,6 +19,7 @@ from folioforge.session import scratch_path
 
 SPACES = " \t\n\x0b\f\r"
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
+BATCH_ROWS = 2000  # texts that a Python worker holds at once
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -80,6 +81,9 @@ def ship(spark: SparkSession) -> None:
 
 
 def in_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with this package at hand in the tasks."""
+    """mapInArrow with this package at hand in the tasks, and batches of at most BATCH_ROWS texts."""
     ship(df.sparkSession)
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(limit)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(limit, BATCH_ROWS)
     return df.mapInArrow(work, schema)

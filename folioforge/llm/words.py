@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 
 # A batch is worked on in parts of about this many bytes of text, so that long documents cannot fill a worker.
-PART_BYTES = 8 << 20
+PART_BYTES = 2 << 20
 
 
 def parts(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
