@@ -227,9 +227,10 @@ def labelled(spark):
     for i in range(240):
         toxic, good = i % 4 == 0, i % 3 != 0
         text = prose(2000 + i, 40 + i % 50)
+        text = text.replace("an", "ñe").replace("ta", "oß") if i % 2 else text
         text = text.replace(" ", " vile " if toxic else " calm ", 2)
         text = text if good else text.upper().replace(" ", "!! ")
-        rows.append((i, text.replace("an", "ñe") if i % 2 else text, "b" if i % 2 else "a", int(toxic), int(good)))
+        rows.append((i, text, "b" if i % 2 else "a", int(toxic), int(good)))
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int, quality int")
 
 
