@@ -73,8 +73,11 @@ def leaks(rows, items):
     out = set()
     for doc_id, text in rows:
         w = words((text or "").translate(LOWER))
+        held = {tuple(w[i : i + k]) for k in range(1, 6) for i in range(len(w) - k + 1)}
         for item_id, passage in items:
             bag, n = shingles(passage), len(words(passage))
+            if not held & set(bag):
+                continue  # no window can share anything
             for start in range(max(1, len(w) - n + 1) if n and w else 0):
                 own = shingles(" ".join(w[start : start + n]))
                 shared = sum((bag & own).values())
