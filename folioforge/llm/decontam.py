@@ -1,8 +1,8 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming search, exact weighted verification.
 
-1. A window can only reach the similarity with an item of its size if it shares a shingle with it. The benchmark's shingles
-   (measured, broadcast below a bound, else joined by shuffle) mark those places; the item-sized window around each place is
-   taken at the item's own offset. Windows without a shared shingle have similarity 0 and need no fingerprint.
+1. A window's shared weight is at most the number of its places whose shingle stands in an item of its size. The benchmark's
+   shingles (measured, broadcast below a bound, else joined by shuffle) mark those places, and every window with as many
+   marked places as the similarity needs is taken, at any offset. All other windows are below the similarity.
 2. Equal windows are fingerprinted once: 64-bit SimHash over the shingles, each weighted by its number of occurrences.
 3. Multi-index search: fingerprints are cut into blocks. With fewer than two differing bits in one block at least, every pair
    within the radius meets in a block that is equal or one bit off; item blocks are listed with those neighbours. No pair
@@ -80,6 +80,22 @@ def _with_words(rows: DataFrame) -> DataFrame:
     return rows.withColumn("w", words(ascii_lower(F.col("text")))).filter(F.size("w") > 0)
 
 
+def _starts() -> Column:
+    """Starts of the windows of ``n`` shingles that hold at least ``need`` of the sorted places ``at``.
+
+    Such a window is found by the first place it holds: it starts behind the place before and reaches ``need - 1`` places on.
+    """
+    last_start = F.greatest(F.lit(0), F.col("size") - F.col("len"))
+
+    def starts(j: Column) -> Column:
+        before = F.when(j > 0, F.get("at", j - 1) + 1).otherwise(0)
+        first = F.greatest(before, F.get("at", j + F.col("need") - 1) - F.col("n") + 1)
+        last = F.least(F.get("at", j), last_start)
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size("at") - F.col("need")), starts))
+
+
 def leaks(docs: DataFrame, items: DataFrame, width: int = WIDTH, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
     """``docs`` (doc_id, text), ``items`` (item_id, text) → doc_id, row (hash of the text), item_id, start, shared, united.
 
@@ -92,19 +108,30 @@ def leaks(docs: DataFrame, items: DataFrame, width: int = WIDTH, percent: int =
 
     source = _with_words(docs.select("doc_id", "text")).select("doc_id", F.xxhash64("text").alias("row"), "w")
 
-    def anchors(k: int) -> DataFrame:
+    def places(k: int) -> DataFrame:
         own = items.filter(F.least("len", F.lit(width)) == k)
-        own = own.select("len", F.posexplode(F.transform("parts", lambda x: F.xxhash64(F.split(x, " ")))).alias("at", "h"))
-        own = broadcast_if_small(own.select("len", "at", "h").distinct())
+        own = own.select("len", F.explode(F.transform("parts", lambda x: F.xxhash64(F.split(x, " ")))).alias("h"))
+        own = broadcast_if_small(own.distinct())
         spots = source.filter(F.size("w") >= k).select("doc_id", "row", "w", F.explode(F.sequence(F.lit(0), F.size("w") - k)).alias("i"))
         spots = spots.withColumn("h", F.xxhash64(F.array(*[F.get("w", F.col("i") + j) for j in range(k)])))
-        start = F.greatest(F.lit(0), F.least(F.col("i") - F.col("at"), F.size("w") - F.col("len")))
-        found = spots.join(own, "h").withColumn("start", start)
-        return found.select("doc_id", "row", "len", "start", F.slice("w", F.col("start") + 1, F.col("len")).alias("w"))
-
-    schema = "doc_id long, row long, len int, start int, w array<string>"
-    found = [anchors(k) for k in widths] or [docs.sparkSession.createDataFrame([], schema)]
-    windows = staged(reduce(DataFrame.union, found).distinct(), "windows")
+        return spots.join(own, "h").select("doc_id", "row", "len", F.size("w").alias("size"), F.lit(k).alias("k"), "i")
+
+    schema = "doc_id long, row long, len int, size int, k int, i int"
+    found = [places(k) for k in widths] or [docs.sparkSession.createDataFrame([], schema)]
+    marked = reduce(DataFrame.union, found).groupBy("doc_id", "row", "len", "size", "k")
+    marked = marked.agg(F.sort_array(F.collect_set("i")).alias("at"))
+    marked = marked.withColumn("n", F.least("size", "len") - F.col("k") + 1)
+    weights = F.col("n") + F.col("len") - F.col("k") + 1
+    need = F.greatest(F.lit(1), F.ceil(weights * percent / (100 + percent) - 1e-9).cast("int"))
+    marked = marked.withColumn("need", need).filter(F.size("at") >= F.col("need"))
+    marked = marked.select("doc_id", "row", "len", _starts().alias("starts")).filter(F.size("starts") > 0)
+    marked = broadcast_if_small(marked.withColumnsRenamed({"doc_id": "__id", "row": "__row"}))
+
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("row"))
+    rows = rows.join(marked, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row")))
+    rows = _with_words(rows).select("doc_id", "row", "len", "w", F.explode("starts").alias("start"))
+    windows = rows.select("doc_id", "row", "len", "start", F.slice("w", F.col("start") + 1, F.col("len")).alias("w"))
+    windows = staged(windows.distinct(), "windows")
 
     unlike = windows.select("len", "w").distinct().withColumn("parts", shingles(F.col("w"), width))
     unlike = staged(unlike.withColumn("print", simhash(F.col("parts"))), "fingerprints")

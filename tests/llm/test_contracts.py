@@ -137,6 +137,25 @@ def test_changed_passages(spark, items):
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == brute.leaks(rows, items)
 
 
+def test_passages_in_another_order(spark):
+    """The best window stands at another offset than the parts do in the item."""
+    from conftest import prose
+
+    passages = [(n, prose(2000 + n, n).split()) for n in (40, 60, 100, 200)]
+    rows = []
+    for n, w in passages:
+        for cut in (n // 2, n // 3):
+            swapped = " ".join(w[cut:] + w[:cut])
+            rows += [(len(rows) + j, t) for j, t in enumerate((f"{prose(n, 150)} {swapped} {prose(n + 1, 150)}", f"{swapped} {prose(n, 9)}", swapped))]
+    rows += [(None, rows[0][1]), (None, rows[0][1]), (0, rows[4][1])]
+    passages = [(n, " ".join(w)) for n, w in passages]
+    got = leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(passages, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == brute.leaks(rows, passages)
+    assert len(brute.leaks(rows, passages)) == 25
+    # The window over the whole swapped passage lacks the width - 1 shingles that cross the cut.
+    assert all(r["shared"] == r["item_id"] - 8 and r["united"] == r["item_id"] for r in got)
+
+
 def test_blocks_cover_the_radius():
     for radius in (0, 3, 24):
         bounds = block_bounds(radius)
