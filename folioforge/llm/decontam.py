@@ -3,7 +3,8 @@
 1. A window's shared weight is at most the number of its places whose shingle stands in an item of its size. The benchmark's
    shingles (measured, broadcast below a bound, else joined by shuffle) mark those places, and every window with as many
    marked places as the similarity needs is taken, at any offset. All other windows are below the similarity.
-2. Equal windows are fingerprinted once: 64-bit SimHash over the shingles, each weighted by its number of occurrences.
+2. Equal windows are fingerprinted once: 64-bit SimHash over the shingles, numbered by occurrence, so that a repeated shingle
+   does not outvote the others and the distance follows the weighted similarity that is verified.
 3. Multi-index search: fingerprints are cut into blocks. With fewer than two differing bits in one block at least, every pair
    within the radius meets in a block that is equal or one bit off; item blocks are listed with those neighbours. No pair
    within the radius is missed. The Hamming distance is checked next.
@@ -44,7 +45,7 @@ def weighted(parts: Column) -> Column:
 
 
 def simhash(parts: Column) -> Column:
-    """Bit b is set if the shingles with bit b outweigh those without."""
+    """Bit b is set if the shingles with bit b outweigh those without; each occurrence votes with a hash of its own."""
 
     def fold(hashed: Column) -> Column:
         vote = lambda b: F.aggregate(hashed, F.lit(0), lambda s, h: s + F.getbit(h, b).cast("int") * 2 - 1)
@@ -56,7 +57,8 @@ def simhash(parts: Column) -> Column:
             lambda s, x: s.bitwiseOR(x),
         )
 
-    return let(F.transform(parts, lambda x: F.xxhash64(x)), fold)
+    number = lambda hashed: F.transform(hashed, lambda x, i: F.xxhash64(x, i - F.array_position(hashed, x)))
+    return let(F.sort_array(F.transform(parts, lambda x: F.xxhash64(x))), lambda hashed: let(number(hashed), fold))
 
 
 def block_bounds(radius: int, bits: int = BITS) -> list[tuple[int, int]]:

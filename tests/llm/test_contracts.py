@@ -156,6 +156,16 @@ def test_passages_in_another_order(spark):
     assert all(r["shared"] == r["item_id"] - 8 and r["united"] == r["item_id"] for r in got)
 
 
+def test_repeated_filler_does_not_outvote(spark):
+    """The last tenth of a long passage gave way to one repeated word; weighted similarity 0.82."""
+    from conftest import prose
+
+    passages = [(i, prose(3000 + i, 304)) for i in range(12)]
+    rows = [(i, " ".join([*t.split()[:274], *["_"] * 60])) for i, t in passages]
+    got = leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(passages, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == brute.leaks(rows, passages) == {(i, i) for i in range(12)}
+
+
 def test_blocks_cover_the_radius():
     for radius in (0, 3, 24):
         bounds = block_bounds(radius)
