@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from helpers import book
 from pyspark.sql import SparkSession, types as T
 
 from folioforge.schemas import RECORD_DOC
@@ -25,26 +26,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-DOC_DEFAULTS = {name: None for name in RECORD_DOC.names}
-
-
-def book(n: int, *gaps: str, **other) -> dict:
-    """Document number ``n``; every value follows from the number. ``gaps`` are left out, ``other`` values are set."""
-    doc = {
-        "key": f"w{n:03d}",
-        "title": f"Volume {n}",
-        "author_name": [f"Writer {n}", f"Helper {n % 3}"],
-        "first_publish_year": 1900 + 3 * n,
-        "publisher": [f"Press {n % 4}"] * (1 + n % 2),
-        "isbn": [str(9780000000000 + 7 * n), f"alt-{n}"],
-        "number_of_pages_median": 37 * n,
-        "ratings_average": 2.5 + n % 5 / 2,
-        "ratings_count": 10 * n + 1,
-        "subject": [f"Field {n % 2}"],
-    }
-    return {**DOC_DEFAULTS, **{k: v for k, v in doc.items() if k not in gaps}, **other}
-
-
 LISTS = ("author_name", "publisher", "isbn", "subject")
 NUMBERS = ("first_publish_year", "number_of_pages_median", "ratings_average", "ratings_count")
 
@@ -87,9 +68,3 @@ def landed(tmp_path, payload):
         (folder / "page.json").write_text(json.dumps({**payload, "docs": docs}) + "\n")
         sources[name] = str(folder)
     return sources
-
-
-def values(df, *columns):
-    """Rows as tuples, sorted."""
-    rows = [tuple(r[c] for c in (columns or df.columns)) for r in df.collect()]
-    return sorted(rows, key=repr)

@@ -1,5 +1,5 @@
 import pytest
-from conftest import values
+from helpers import values
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from folioforge.operators import cdc

@@ -1,7 +1,7 @@
 import statistics
 
 import pytest
-from conftest import DOC_DEFAULTS, book, values
+from helpers import DOC_DEFAULTS, book, values
 from pyspark.sql import functions as F
 
 from folioforge.plans.records import clean_records, empty_records, flatten, transform_records

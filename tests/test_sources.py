@@ -5,7 +5,7 @@ from datetime import datetime, timezone
 
 import numpy as np
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from folioforge.plans import recovery, runlog
