@@ -1,19 +1,7 @@
 import random
 
 import pytest
-
-SYLLABLES = "an re mo li ta ve sho kin der pa lo nu".split()
-
-
-def prose(seed: int, n: int) -> str:
-    rng = random.Random(seed)
-    text = ["".join(rng.choice(SYLLABLES) for _ in range(rng.randint(1, 4))) for _ in range(n)]
-    return " ".join(w + ("\n" if rng.random() < 0.08 else "") for w in text).replace("\n ", "\n")
-
-
-def edited(text: str, seed: int, share: float) -> str:
-    rng = random.Random(seed)
-    return " ".join("changed" + str(rng.random()) if rng.random() < share else w for w in text.split(" "))
+from made_texts import edited, prose
 
 
 @pytest.fixture(scope="session")

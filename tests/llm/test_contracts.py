@@ -6,6 +6,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from made_texts import edited, prose
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -84,8 +85,6 @@ def test_components(docs, corpus):
 
 
 def test_hot_groups_link_whole(spark):
-    from conftest import edited, prose
-
     base = prose(9, 120)
     rows = [(i, base) for i in range(60)] + [(100 + i, edited(base, i, 0.012)) for i in range(60)]
     rows += [(300 + i, prose(700 + i, 100)) for i in range(20)]
@@ -125,8 +124,6 @@ def test_leaks(docs, corpus, benchmark, items):
 
 
 def test_changed_passages(spark, items):
-    from conftest import edited, prose
-
     rows = []
     for seed in range(60):
         item = items[seed % 5][1]
@@ -139,7 +136,6 @@ def test_changed_passages(spark, items):
 
 def test_passages_in_another_order(spark):
     """The best window stands at another offset than the parts do in the item."""
-    from conftest import prose
 
     passages = [(n, prose(2000 + n, n).split()) for n in (40, 60, 100, 200)]
     rows = []
@@ -158,7 +154,6 @@ def test_passages_in_another_order(spark):
 
 def test_repeated_filler_does_not_outvote(spark):
     """The last tenth of a long passage gave way to one repeated word; weighted similarity 0.82."""
-    from conftest import prose
 
     passages = [(i, prose(3000 + i, 304)) for i in range(12)]
     rows = [(i, " ".join([*t.split()[:274], *["_"] * 60])) for i, t in passages]
@@ -250,7 +245,6 @@ def test_proven_tokens_and_odd_strings():
 
 
 def labelled(spark):
-    from conftest import prose
 
     rows = []
     for i in range(240):
