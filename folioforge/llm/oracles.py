@@ -101,3 +101,51 @@ WITH RECURSIVE {COMPONENTS.format(docs="documents")}
 SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(root) AS component_id
 FROM documents d JOIN reach USING (doc_id) LEFT JOIN size USING (doc_id) GROUP BY d.doc_id
 """
+
+ORACLES["op11_filter_audit"] = """
+WITH split AS (
+  SELECT coalesce(source, '') AS part, doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), judged AS (
+  SELECT part, doc_id, [
+      len(w) < 50,
+      100 * len(list_distinct(w)) < 65 * len(w),
+      100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text),
+      regexp_matches(text, '[#$%&*|]'),
+      coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), min(doc_id) OVER (PARTITION BY text) IS NOT NULL)
+    ] AS fails
+  FROM split
+), marked AS (
+  SELECT j.*, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good,
+    doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) AS toxic
+  FROM judged j
+), class AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM marked GROUP BY part, fails
+), letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), step AS (
+  SELECT filter_order, s::INT AS step, ascii(filter_order[s]) - 64 AS f,
+    [ascii(x) - 64 FOR x IN string_split(filter_order[1:s - 1], '') IF x <> ''] AS before
+  FROM orders, range(1, 6) r(s)
+), counted AS (
+  SELECT part, filter_order, step, f, class.n, good, toxic, fails[f] AS own,
+    list_bool_or([fails[b] FOR b IN before]) IS TRUE AS gone,
+    list_bool_or([fails[b] FOR b IN [1, 2, 3, 4, 5] IF b <> f]) AS other
+  FROM class, step
+), out AS (
+  SELECT part, filter_order, step, f,
+    coalesce(sum(n) FILTER (WHERE NOT gone AND NOT own), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (WHERE NOT gone AND own), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (WHERE gone AND own), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (WHERE own AND NOT other), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE NOT gone AND own), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (WHERE NOT gone AND own), 0)::BIGINT AS toxic_lost
+  FROM counted GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM out
+"""

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from folioforge.llm import language, rule_quality, toxicity
 from folioforge.llm.common import remainder, staged
 from folioforge.llm.decontam import leaks
+from folioforge.llm.filter_audit import audit_documents
 from folioforge.llm.line_dedup import dedup_lines
 from folioforge.llm.mixing import copies, mix_plan, sized
 from folioforge.llm.ngram_join import jaccard_join
@@ -112,3 +113,8 @@ def op9_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))
     return rows
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_documents(table(spark, sf_dir, "documents", "doc_id", "text", "source"), table(spark, sf_dir, "labels"))
