@@ -149,3 +149,40 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
   (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
 FROM out
 """
+
+
+def _nearest(number: int) -> str:
+    """Keys (distance and entry in one number) of all parts by book ``number``."""
+    return f"""near{number} AS (
+  SELECT r, part, any_value(x) AS x, min(64 * list_sum([(x[i] - y[i]) * (x[i] - y[i]) FOR i IN range(1, len(x) + 1)]) + e) AS k
+  FROM piece JOIN book{number} USING (part) GROUP BY r, part
+)"""
+
+
+def _moved(number: int) -> str:
+    """Book ``number + 1`` from the parts' nearest entries in book ``number``."""
+    return f"""mean{number} AS (
+  SELECT part, k % 64 AS e, i, sum(x[i])::BIGINT AS s, count(*) AS n
+  FROM near{number}, range(1, 1025) g(i) WHERE i <= len(x) GROUP BY part, k % 64, i
+), book{number + 1} AS (
+  SELECT b.part, b.e, coalesce(m.y, b.y) AS y FROM book{number} b
+  LEFT JOIN (SELECT part, e, list((s - (s % n + n) % n) // n ORDER BY i) AS y FROM mean{number} GROUP BY part, e) m USING (part, e)
+)"""
+
+
+ORACLES["op12_vector_codes"] = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), piece AS (
+  SELECT r, part, v[part * len(v) // 16 + 1 : (part + 1) * len(v) // 16] AS x FROM kept, range(16) p(part)
+), book0 AS (SELECT part, r - 1 AS e, x AS y FROM piece WHERE r <= 64),
+{_nearest(0)}, {_moved(0)}, {_nearest(1)}, {_moved(1)}, {_nearest(2)}, coded AS (
+  SELECT r, string_agg(printf('%02x', k % 64), '' ORDER BY part) AS code, sum(k // 64)::BIGINT AS error FROM near2 GROUP BY r
+), books AS (
+  SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY part, e)) AS sha FROM book2
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, sha AS codebooks_sha256
+FROM kept JOIN coded USING (r) CROSS JOIN books
+"""

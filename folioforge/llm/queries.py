@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioforge.llm import language, rule_quality, toxicity
+from folioforge.llm import byte_bpe, language, rule_quality, toxicity
 from folioforge.llm.common import remainder, staged
 from folioforge.llm.decontam import leaks
 from folioforge.llm.filter_audit import audit_documents
@@ -17,6 +17,7 @@ from folioforge.llm.ngram_join import jaccard_join
 from folioforge.llm.quality_rules import quality_rules
 from folioforge.llm.token_counts import token_counts
 from folioforge.llm.token_files import read_tokens, token_folder, write_tokens
+from folioforge.llm.vector_codes import vector_codes
 
 from folioforge.session import broadcast_if_small
 
@@ -118,3 +119,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_documents(table(spark, sf_dir, "documents", "doc_id", "text", "source"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+@query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    coded = staged(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN), "ids")
+    listed = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    digests = coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"))
+    decoded = byte_bpe.decode(digests, ranks)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
