@@ -6,6 +6,7 @@ from pyspark.sql import Column, functions as F
 
 # Decimals that exact sums keep, and that rounding looks at: far below the digits of any result, above binary noise.
 EXACT, READ = "decimal(38,12)", "decimal(38,11)"
+LOSS = 1e-10  # share of a value that its decimal may lose
 
 
 def stable_round(col: Column, digits: int) -> Column:
@@ -17,9 +18,15 @@ def stable_round(col: Column, digits: int) -> Column:
     return F.coalesce(F.round(col.try_cast(READ), digits).cast("double"), F.round(col, digits))
 
 
+def _exact(col: Column) -> Column:
+    """The value as a decimal; null where it does not fit or would lose more than LOSS of itself."""
+    exact, plain = col.try_cast(EXACT), col.cast("double")
+    return F.when(F.abs(exact.cast("double") - plain) <= F.abs(plain) * LOSS, exact)
+
+
 def sum_parts(col: Column, name: str) -> list[Column]:
     """Partial sums of a column that :func:`sum_of_parts` puts together over any coarser grouping."""
-    exact = col.try_cast(EXACT)
+    exact = _exact(col)
     return [
         F.when(F.count(exact) == F.count(col), F.try_sum(exact)).alias(f"{name}_exact"),
         F.sum(col.cast("double")).alias(f"{name}_plain"),
@@ -33,8 +40,11 @@ def sum_of_parts(name: str) -> Column:
 
 
 def exact_sum(col: Column) -> Column:
-    """Sum of a double, the same in any order. Values or sums too large for the exact form are summed as doubles."""
-    exact = col.try_cast(EXACT)
+    """Sum of a double, the same in any order, where decimals of twelve places hold the values.
+
+    Where one of them does not fit, or is so small that the decimal would lose digits of it, doubles are summed.
+    """
+    exact = _exact(col)
     whole = F.when(F.count(exact) == F.count(col), F.try_sum(exact).cast("double"))
     return F.coalesce(whole, F.sum(col.cast("double")))
 

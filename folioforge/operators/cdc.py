@@ -39,8 +39,17 @@ def as_text(df: DataFrame, column: str) -> Column:
 
 def without_keys(rows: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
     """The rows whose key is not in ``other``; a missing key equals a missing key."""
+    return _by_key(rows, other, key, "left_anti")
+
+
+def with_keys(rows: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows whose key is in ``other``; a missing key equals a missing key."""
+    return _by_key(rows, other, key, "left_semi")
+
+
+def _by_key(rows: DataFrame, other: DataFrame, key: Sequence[str], how: str) -> DataFrame:
     marks = other.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)])
-    return rows.join(marks, _met([(c, f"_k{i}") for i, c in enumerate(key)]), "left_anti")
+    return rows.join(marks, _met([(c, f"_k{i}") for i, c in enumerate(key)]), how)
 
 
 def _met(pairs: Sequence[tuple[str, str]]) -> Column:

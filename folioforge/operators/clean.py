@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from folioforge.functions import numeric, text
-from folioforge.operators.quantiles import mode_row, quantile_row
+from folioforge.operators.quantiles import mode_row
+from folioforge.operators.wide_profile import wide_profile
 from folioforge.session import cut_lineage
 
 # Column aliases, placeholders and defaults of the catalog.
@@ -92,31 +93,29 @@ def impute_catalog(df: DataFrame) -> DataFrame:
     """Fill the gaps of a standardised catalog.
 
     Old price from price (before price itself is filled), price by its median, rating by its mode,
-    text by placeholder, key by the empty text. Median and mode are one-row frames joined by broadcast.
+    text by placeholder, key by the empty text. Median and mode are two numbers that are known before the plan is made.
     """
     # Both pass over two columns several times: those are parsed once and kept apart.
     numbers = cut_lineage(df.select("price", "rating"))
-    fills = quantile_row(numbers, ["price"], [0.5]).crossJoin(F.broadcast(mode_row(numbers, "rating", "_rating_mode")))
-    filled = df.crossJoin(F.broadcast(fills)).withColumns(
+    median = wide_profile(numbers, ["price"], [0.5])["price"].quantiles[0]
+    mode = mode_row(numbers, "rating", "mode").first()["mode"]
+    filled = df.withColumns(
         {
             "old_price": F.coalesce("old_price", "price"),
-            "price": F.coalesce("price", F.get("price_q", F.lit(0))),
-            "rating": F.coalesce("rating", "_rating_mode", F.lit(DEFAULT_RATING)),
+            "price": F.coalesce("price", F.lit(median).cast("double")),
+            "rating": F.coalesce("rating", F.lit(mode).cast("double"), F.lit(DEFAULT_RATING)),
         }
     )
     if "isbn" in filled.columns:
         filled = filled.withColumn("isbn", F.coalesce("isbn", F.lit("")))
-    filled = filled.drop("price_q", "_rating_mode")
     return fill_placeholders(filled, dict.fromkeys(CATALOG_TEXT_COLUMNS, PLACEHOLDER))
 
 
 def fill_medians(df: DataFrame, columns: Sequence[str], when_empty: float = 0.0) -> DataFrame:
     """Numeric gaps take the column median, or ``when_empty`` when the column has no value."""
-    medians = quantile_row(df, columns, [0.5])
-    joined = df.crossJoin(F.broadcast(medians))
-    filled = joined.withColumns(
-        {c: F.coalesce(F.col(c), F.get(f"{c}_q", F.lit(0)), F.lit(when_empty)) for c in columns}
+    medians = wide_profile(df, columns, [0.5])
+    return df.withColumns(
+        {c: F.coalesce(F.col(c), F.lit(medians[c].quantiles[0]).cast("double"), F.lit(when_empty)) for c in columns}
     )
-    return filled.drop(*[f"{c}_q" for c in columns])
 
 

@@ -7,10 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from folioforge.functions.rounding import stable_round
-from folioforge.operators.quantiles import exact_quantiles, quantile_row, to_long
+from folioforge.operators.wide_profile import approx_profile, wide_profile
+from folioforge.session import literal_frame
 
 # Profile quantiles and the interquartile fence.
 PROFILE_PROBS = (0.25, 0.5, 0.75, 0.9)
+QUARTILES = (0.25, 0.75)
 IQR_FACTOR = 1.5
 
 
@@ -69,40 +71,39 @@ def null_totals(df: DataFrame) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str], digits: int = 3, approx: bool = False) -> DataFrame:
-    """Count, mean, deviation, bias-corrected shape, extremes and exact quantiles per column.
+    """Count, mean, deviation, bias-corrected shape, extremes and exact quantiles per column that has values.
 
-    Moments of all columns come from one aggregate; shape is 0 for two values or fewer.
+    Two scans give all columns; shape is 0 for two values or fewer. ``approx`` takes the sketch's quantiles after one scan.
     """
-    moments = to_long(df, columns).groupBy("column_name").agg(
-        F.count("value").alias("cnt"),
-        F.mean("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.skewness("value").alias("g1"),
-        F.kurtosis("value").alias("g2"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quantiles = exact_quantiles(df, columns, PROFILE_PROBS, approx=approx).select("column_name", "q")
-    q25, q50, q75, q90 = [F.get("q", F.lit(i)) for i in range(4)]
-    n = F.col("cnt").cast("double")
+    if approx:
+        profiles = approx_profile(df, columns, PROFILE_PROBS)
+    else:
+        profiles = wide_profile(df, columns, PROFILE_PROBS, moments=True)
+    names = ("n", "mean", "std", "g1", "g2", "min", "max", "q25", "median", "q75", "q90")
+    rows = [
+        (c, p.n, *[p.moments[k] for k in ("mean", "std", "g1", "g2", "min", "max")], *p.quantiles)
+        for c, p in profiles.items()
+        if p.n
+    ]
+    schema = "column_name string, n bigint, " + ", ".join(f"{name} double" for name in names[1:])
+    found = literal_frame(df.sparkSession, rows, schema) if rows else df.sparkSession.createDataFrame([], schema)
+    n = F.col("n").cast("double")
     skew = F.try_divide(F.sqrt(n * (n - 1)), n - 2) * F.col("g1")
     kurt = F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6)
     measures = {
         "mean": F.col("mean"),
-        "median": q50,
+        "median": F.col("median"),
         "std": F.col("std"),
         "skew": F.when(n <= 2, F.lit(0.0)).otherwise(skew),
         "kurt": F.when(n <= 2, F.lit(0.0)).otherwise(kurt),
         "min": F.col("min"),
         "max": F.col("max"),
-        "q25": q25,
-        "q75": q75,
-        "q90": q90,
-        "iqr": q75 - q25,
+        "q25": F.col("q25"),
+        "q75": F.col("q75"),
+        "q90": F.col("q90"),
+        "iqr": F.col("q75") - F.col("q25"),
     }
-    return moments.join(F.broadcast(quantiles), "column_name").select(  # one row per profiled column
-        "column_name", F.col("cnt").alias("n"), *[stable_round(c, digits).alias(k) for k, c in measures.items()]
-    )
+    return found.select("column_name", "n", *[stable_round(c, digits).alias(k) for k, c in measures.items()])
 
 
 def summary_points(profile: DataFrame) -> DataFrame:
@@ -167,14 +168,13 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataF
 
 
 def iqr_bounds(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
-    """One row with ``<column>_lo`` and ``<column>_hi`` fences."""
-    row = quantile_row(df, columns, [0.25, 0.75], approx=approx)
+    """One row with ``<column>_lo`` and ``<column>_hi`` fences, null for a column without values."""
+    find = approx_profile if approx else wide_profile
     fences = []
-    for c in columns:
-        q1, q3 = F.get(f"{c}_q", F.lit(0)), F.get(f"{c}_q", F.lit(1))
-        reach = (q3 - q1) * IQR_FACTOR
-        fences += [(q1 - reach).alias(f"{c}_lo"), (q3 + reach).alias(f"{c}_hi")]
-    return row.select(*fences)
+    for c, p in find(df, columns, QUARTILES, fence_factor=IQR_FACTOR).items():
+        for side, value in zip(("lo", "hi"), p.fences or (None, None)):
+            fences.append(F.lit(value).cast("double").alias(f"{c}_{side}"))
+    return df.sparkSession.range(1).select(*fences)
 
 
 def outside(column: str) -> Column:
@@ -182,12 +182,17 @@ def outside(column: str) -> Column:
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
-    """(column_name, outliers, pct, severity) with every column counted in one pass."""
-    fenced = df.select(*columns).crossJoin(F.broadcast(iqr_bounds(df, columns, approx)))
-    row = fenced.agg(
-        *[F.count_if(outside(c)).alias(f"_o{i}") for i, c in enumerate(columns)],
-        *[F.count(c).alias(f"_n{i}") for i, c in enumerate(columns)],
-    )
+    """(column_name, outliers, pct, severity) of all columns from two scans."""
+    if approx:
+        fenced = df.select(*columns).crossJoin(F.broadcast(iqr_bounds(df, columns, approx)))
+        row = fenced.agg(
+            *[F.count_if(outside(c)).alias(f"_o{i}") for i, c in enumerate(columns)],
+            *[F.count(c).alias(f"_n{i}") for i, c in enumerate(columns)],
+        )
+    else:
+        found = wide_profile(df, columns, QUARTILES, fence_factor=IQR_FACTOR)
+        counts = [(f"_o{i}", found[c].outliers) for i, c in enumerate(columns)] + [(f"_n{i}", found[c].n) for i, c in enumerate(columns)]
+        row = df.sparkSession.range(1).select(*[F.lit(v).cast("bigint").alias(name) for name, v in counts])
     parts = {}
     for i, c in enumerate(columns):
         pct = stable_round(F.col(f"_o{i}") * 100.0 / F.greatest(F.col(f"_n{i}"), F.lit(1)), 2)
@@ -210,24 +215,17 @@ def iqr_cap(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def iqr_cap_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, lower, upper, capped, capped_sum) of :func:`iqr_cap`."""
-    kept = df.select(*columns, *[F.col(c).alias(f"{c}_raw") for c in columns])
-    capped = iqr_cap(kept, columns)
-    row = capped.agg(
-        *[F.first(f"{c}_{side}").alias(f"{c}_{side}") for c in columns for side in ("lo", "hi")],
-        *[F.count_if(F.col(c) != F.col(f"{c}_raw")).alias(f"{c}_n") for c in columns],
-        *[F.sum(F.col(c).cast("decimal(28,6)")).cast("double").alias(f"{c}_sum") for c in columns],
+    """(column_name, lower, upper, capped, capped_sum) of :func:`iqr_cap`, without writing or passing over the capped rows."""
+    found = wide_profile(df, columns, QUARTILES, fence_factor=IQR_FACTOR, sums=True)
+    rows = [(c, *(p.fences or (None, None)), p.outliers, p.capped_sum) for c, p in found.items()]
+    row = literal_frame(df.sparkSession, rows, "column_name string, lower double, upper double, capped bigint, capped_sum double")
+    return row.select(
+        "column_name",
+        stable_round(F.col("lower"), 4).alias("lower"),
+        stable_round(F.col("upper"), 4).alias("upper"),
+        "capped",
+        F.round("capped_sum", 2).alias("capped_sum"),
     )
-    parts = {
-        c: {
-            "lower": stable_round(F.col(f"{c}_lo"), 4),
-            "upper": stable_round(F.col(f"{c}_hi"), 4),
-            "capped": F.col(f"{c}_n"),
-            "capped_sum": F.round(F.col(f"{c}_sum"), 2),
-        }
-        for c in columns
-    }
-    return stack(row, "column_name", parts)
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
@@ -259,61 +257,95 @@ def value_counts(df: DataFrame, columns: Sequence[str], top: int = 15) -> DataFr
     return best.join(F.broadcast(distinct), "column_name")  # one row per profiled column
 
 
-def before_after(raw: DataFrame, processed: DataFrame, key: str, watched: Mapping[str, str]) -> DataFrame:
+def missing_cells(columns: Sequence[str]) -> Column:
+    """Number of null cells of a row."""
+    return sum((F.col(c).isNull().cast("bigint") for c in columns), F.lit(0).cast("bigint"))
+
+
+def stage_metrics(
+    rows: DataFrame,
+    keys: Mapping[str, Column],
+    order: Column,
+    all_rows: Mapping[str, Column],
+    kept: Mapping[str, Column],
+) -> DataFrame:
+    """Metrics of all stages of a run from one pass over rows that carry what each stage made of them.
+
+    ``keys`` go from the finest to the coarsest, and each follows from the one before: the first row in ``order`` per
+    coarsest key is the one that deduplication keeps. One row comes back: ``rows``, the number of values of each key under
+    its name, the sums of ``all_rows`` over all rows and of ``kept`` over the kept ones. Rows are combined per key before
+    the shuffle, so a key that many rows share is one row per task, and repeated tasks do not count twice, as the
+    counters of ``observe`` may.
+    """
+    names = list(keys)
+    marked = rows.select(
+        *[c.alias(f"_k{i}") for i, c in enumerate(keys.values())],
+        F.lit(1).cast("bigint").alias("rows"),
+        *[c.cast("bigint").alias(name) for name, c in all_rows.items()],
+        order.alias("_order"),
+        F.struct(F.lit(1).alias("_"), *[c.cast("bigint").alias(name) for name, c in kept.items()]).alias("_kept"),
+    )
+    summed = ["rows", *all_rows]
+    for i in range(len(names)):
+        counted = summed + names[: max(0, i)]
+        marked = marked.groupBy(*[f"_k{j}" for j in range(i, len(names))]).agg(
+            *[F.sum(c).alias(c) for c in counted],
+            F.min_by("_kept", "_order").alias("_kept"),
+            F.min("_order").alias("_order"),
+        ).withColumn(names[i], F.lit(1).cast("bigint"))
+    totals = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*summed, *names)]
+    return marked.agg(*totals, *[F.coalesce(F.sum(f"_kept.{c}"), F.lit(0)).alias(c) for c in kept])
+
+
+def before_after(metrics: DataFrame, raw_columns: int, columns: int, watched: Sequence[str]) -> DataFrame:
     """(attribute, before, after): rows, columns, null cells, null share, duplicate keys, watched nulls.
 
-    ``watched`` maps a processed column name to its raw name.
+    ``metrics`` is a row of :func:`stage_metrics` with keys raw_keys and kept_rows, raw_nulls and raw_<column> of all rows, and
+    nulls and <column> of the kept ones.
     """
 
-    def side(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-        missing = sum((F.col(c).isNull().cast("bigint") for c in df.columns), F.lit(0).cast("bigint"))
-        per_key = df.groupBy(F.col(key).alias("_key")).agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(missing).alias("nulls"),
-            *[F.count_if(F.col(c).isNull()).alias(f"_w_{k}") for k, c in names.items()],
-        )
-        row = per_key.agg(
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum("nulls"), F.lit(0)).alias("nulls"),
-            F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("dups"),
-            *[F.coalesce(F.sum(f"_w_{k}"), F.lit(0)).alias(f"_w_{k}") for k in names],
-        )
-        cells = F.greatest(F.col("rows") * len(df.columns), F.lit(1))
-        measures = {
-            "rows": F.col("rows"),
-            "columns": F.lit(len(df.columns)),
-            "null_cells": F.col("nulls"),
-            "null_pct": stable_round(F.col("nulls") * 100.0 / cells, 2),
-            "duplicate_keys": F.col("dups"),
-            **{f"nulls_{k}": F.col(f"_w_{k}") for k in names},
+    def side(total: Column, cols: int, nulls: str, duplicates: Column, prefix: str) -> dict[str, Column]:
+        cells = F.greatest(total * cols, F.lit(1))
+        return {
+            "rows": total,
+            "columns": F.lit(cols),
+            "null_cells": F.col(nulls),
+            "null_pct": stable_round(F.col(nulls) * 100.0 / cells, 2),
+            "duplicate_keys": duplicates,
+            **{f"nulls_{c}": F.col(f"{prefix}{c}") for c in watched},
         }
-        return stack(row, "attribute", {k: {"value": c.cast("double")} for k, c in measures.items()})
-
-    before = side(raw, watched).withColumnRenamed("value", "before")
-    after = side(processed, {k: k for k in watched}).withColumnRenamed("value", "after")
-    return before.join(F.broadcast(after), "attribute")  # a handful of attributes
-
-
-def transform_summary(standardised: DataFrame, filled: DataFrame, output: DataFrame, flag: str) -> DataFrame:
-    """One row: rows in and out, duplicates removed, null cells filled, flagged rows."""
-    before = null_totals(standardised).select(F.col("total_rows").alias("input_rows"), F.col("total_missing").alias("_before"))
-    after = null_totals(filled).select(F.col("total_missing").alias("_after"))
-    result = output.agg(F.count(F.lit(1)).alias("output_rows"), F.count_if(flag).alias("flagged"))
-    return before.crossJoin(F.broadcast(after)).crossJoin(F.broadcast(result)).select(  # one row each
-        "input_rows",
-        "output_rows",
-        (F.col("input_rows") - F.col("output_rows")).alias("dupes_removed"),
-        (F.col("_before") - F.col("_after")).alias("nulls_filled"),
+
+    before = side(F.col("rows"), raw_columns, "raw_nulls", F.col("rows") - F.col("raw_keys"), "raw_")
+    after = side(F.col("kept_rows"), columns, "nulls", F.lit(0), "")
+    parts = {k: {"before": before[k].cast("double"), "after": after[k].cast("double")} for k in before}
+    return stack(metrics, "attribute", parts)
+
+
+def transform_summary(metrics: DataFrame) -> DataFrame:
+    """One row: rows in and out, duplicates removed, null cells filled, flagged rows; from :func:`stage_metrics`."""
+    return metrics.select(
+        F.col("rows").alias("input_rows"),
+        F.col("kept_rows").alias("output_rows"),
+        (F.col("rows") - F.col("kept_rows")).alias("dupes_removed"),
+        (F.col("gaps") - F.col("gaps_left")).alias("nulls_filled"),
         "flagged",
     )
 
 
-def stage_funnel(stages: Mapping[str, DataFrame]) -> DataFrame:
-    """(stage, rows, cols) for the named stages."""
-    out = None
-    for name, df in stages.items():
-        part = df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("stage"), "rows", F.lit(len(df.columns)).alias("cols")
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+def stage_funnel(metrics: DataFrame, stages: Mapping[str, tuple[str, int]]) -> DataFrame:
+    """(stage, rows, cols); each stage names its count in :func:`stage_metrics` and its number of columns."""
+    return stack(metrics, "stage", {s: {"rows": F.col(c), "cols": F.lit(n)} for s, (c, n) in stages.items()})
+
+
+def extract_summary(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """(measure, value): rows, columns, null cells, nulls of the listed columns and duplicate keys, from one pass."""
+    gaps = {f"nulls_{c}": F.col(c).isNull() for c in columns}
+    metrics = stage_metrics(df, {"_keys": F.col(key)}, F.lit(0), {"null_cells": missing_cells(df.columns), **gaps}, {})
+    values = {
+        "rows": F.col("rows"),
+        "columns": F.lit(len(df.columns)).cast("bigint"),
+        "null_cells": F.col("null_cells"),
+        "duplicate_keys": F.col("rows") - F.col("_keys"),
+        **{name: F.col(name) for name in gaps},
+    }
+    return stack(metrics, "measure", {k: {"value": v} for k, v in values.items()})

@@ -141,6 +141,13 @@ DIFF = f"""{SNAPSHOTS}, diff AS (
   FROM old o FULL OUTER JOIN new n ON o.o_orderkey = n.o_orderkey)"""
 REPORT_NULLS = ["isbn", "title", "author", "format", "price", "old_price"]
 REPORT_NUMERIC = ["price", "old_price", "rating", "discount_pct"]
+CATALOG_NUMBERS = [
+    "price", "old_price", "rating", "discount_amount", "discount_pct", "price_gbp", "value_score", "title_length", "word_count",
+]
+CATALOG_COLUMNS = [
+    "title", "author", "format", "category", "isbn", *CATALOG_NUMBERS, "is_bestseller", "isbn13_valid", "price_tier", "discount_tier",
+]
+PCA_FEATURES = ["price", "rating", "old_price", "discount_pct", "value_score"]
 LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -152,14 +159,14 @@ def grade(pct: str, warn: float, fail: float) -> str:
     return f"CASE WHEN {pct} < {warn} THEN 'PASS' WHEN {pct} < {fail} THEN 'WARN' ELSE 'FAIL' END"
 
 
-def _report() -> str:
+def _report(nulls=REPORT_NULLS, numeric=REPORT_NUMERIC) -> str:
     parts = []
-    for c in REPORT_NULLS:
+    for c in nulls:
         pct = f"(SELECT {r(f'count(*) FILTER ({c} IS NULL) * 100.0 / greatest(count(*), 1)', 2)} FROM feat)"
         parts.append(f"SELECT 'Null Check' AS \"check\", '{c}' AS column_name, {grade(pct, 5, 20)} AS status, {pct} AS value")
-    for c in REPORT_NUMERIC:
+    for c in numeric:
         parts.append(f"SELECT 'Schema Validation', '{c}', 'PASS', CAST(0 AS DOUBLE)")
-    for c in REPORT_NUMERIC:
+    for c in numeric:
         pct = (
             f"(SELECT {r(f'count(*) FILTER ({c} < {c}_lo OR {c} > {c}_hi) * 100.0 / greatest(count({c}), 1)', 2)} "
             f"FROM feat, (SELECT {fence(c, 'feat')}))"
@@ -261,6 +268,31 @@ RULES = {
 }
 ANY_RULE = " OR ".join(f"({c})" for c in RULES.values())
 
+STAR = f"""WITH {FEAT} SELECT category AS category_name, format AS format_name, category || ' House' AS publisher_name, 'UK' AS region,
+        count(*) AS row_count, {r(xmean('price'), 2)} AS avg_price, {r(xmean('rating'), 2)} AS avg_rating,
+        CAST(sum(CAST(is_bestseller AS INTEGER)) AS BIGINT) AS bestsellers FROM feat GROUP BY ALL"""
+
+
+def _two_components(table: str, columns: list[str]) -> str:
+    """Share of the two largest eigenvalues of the correlation matrix: the projector on the first is a high power of it."""
+    n = range(1, len(columns) + 1)
+    corr = ", ".join("[" + ", ".join("1.0" if a == b else f"corr({a}, {b})" for b in columns) + "]" for a in columns)
+    product = "[" + ", ".join("[" + ", ".join(" + ".join(f"m[{i}][{k}] * m[{k}][{j}]" for k in n) for j in n) + "]" for i in n) + "]"
+    trace = " + ".join(f"m[{i}][{i}]" for i in n)
+    scaled = "[[x / t FOR x IN row] FOR row IN m]"
+    along = " + ".join(f"c[{i}][{j}] * m[{j}][{i}]" for i in n for j in n)
+    rest = "[" + ", ".join("[" + ", ".join(f"c[{i}][{j}] - l * m[{i}][{j}]" for j in n) + "]" for i in n) + "]"
+
+    def power(name: str, start: str) -> str:
+        return f"""{name} AS (
+          SELECT 0 AS step, m FROM ({start}) UNION ALL
+          SELECT step + 1, {scaled} FROM (SELECT step, m, {trace} AS t FROM (SELECT step, {product} AS m FROM {name} WHERE step < 60)))"""
+
+    return f"""c AS (SELECT [{corr}] AS c FROM {table} WHERE {' AND '.join(f'{x} IS NOT NULL' for x in columns)}), {power('p1', 'SELECT c AS m FROM c')},
+        first AS (SELECT c, m, {along} AS l FROM c, p1 WHERE step = 60), {power('p2', f'SELECT {rest} AS m FROM first')},
+        second AS (SELECT l, {along} AS l2 FROM (SELECT c, l FROM first), (SELECT m FROM p2 WHERE step = 60))"""
+
+
 ORACLES: dict[str, str] = {
     "clean_standardise": f"WITH {STD} SELECT * EXCLUDE (img_paths) FROM std",
     "clean_text": f"""WITH {RAW} SELECT ingest_seq, left(nullif(trim(name), ''), 8) AS title_8,
@@ -356,7 +388,8 @@ ORACLES: dict[str, str] = {
         z AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, r, (l_quantity - mq) / sq AS a, (l_extendedprice - mp) / sp AS b FROM lineitem, c)
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
           {r('(a + CASE WHEN r >= 0 THEN b ELSE -b END) / sqrt(2)', 3)} AS pc1, {r('(a - CASE WHEN r >= 0 THEN b ELSE -b END) / sqrt(2)', 3)} AS pc2 FROM z""",
-    "pca_total": "SELECT CAST(100 AS DOUBLE) AS total_variance_pct",
+    "pca_total": f"""WITH RECURSIVE {FEAT}, {_two_components('feat', PCA_FEATURES)}
+        SELECT {r(f"{r(f'l * 100 / {len(PCA_FEATURES)}', 1)} + {r(f'l2 * 100 / {len(PCA_FEATURES)}', 1)}", 1)} AS total_variance_pct FROM second""",
     "pca_two_feature": f"""WITH c AS (SELECT abs(corr(l_quantity, l_extendedprice)) AS a FROM lineitem)
         SELECT CAST(1 AS INTEGER) AS component, {r('(1 + a) / 2 * 100', 1)} AS variance_pct FROM c
         UNION ALL SELECT 2, {r('(1 - a) / 2 * 100', 1)} FROM c""",
@@ -413,10 +446,10 @@ ORACLES: dict[str, str] = {
     "record_pages_ingest": f"""WITH {REC_FLAT} SELECT api_source AS source, count(*) AS records, 'SUCCESS' AS status FROM flat GROUP BY 1
         UNION ALL SELECT 'history', 0, 'FAILED'""",
     "record_pages_docs": f"WITH {REC_FLAT} SELECT ol_key, api_source, author, isbn, pages, avg_rating FROM flat",
-    "record_pipeline": f"""WITH {REC_DEDUP} SELECT s AS load_strategy, CAST(3 AS INTEGER) AS sources_attempted,
-        (SELECT count(*) FROM flat) AS records_extracted, (SELECT count(*) FROM recdedup) AS records_after_transform,
-        (SELECT count(*) FROM recdedup) AS records_loaded, 'SUCCESS' AS status
-        FROM (SELECT 'full' AS s UNION ALL SELECT 'incremental')""",
+    # Pages are read source by source.
+    "record_pipeline": f"""WITH {REC_FACT.replace("ORDER BY ingest_seq", "ORDER BY api_source, ingest_seq")}, n AS (SELECT (SELECT count(*) FROM flat) AS x, (SELECT count(*) FROM recdedup) AS t)
+        SELECT 'run' AS part, s AS name, 'SUCCESS' AS detail, x::DOUBLE AS a, t::DOUBLE AS b, t::DOUBLE AS c FROM n, (SELECT 'full' AS s UNION ALL SELECT 'incremental')
+        UNION ALL SELECT 'fact', ol_key, page_tier, publish_year, avg_rating, popularity_score FROM fact""",
     "gate_checks": f"""WITH {STD}, n AS (SELECT count(*) AS rows,
           count(*) FILTER (isbn IS NULL) + count(*) FILTER (title IS NULL) + count(*) FILTER (price IS NULL) + count(*) FILTER (rating IS NULL) AS nulls,
           count(*) FILTER (rating < 0 OR rating > 5) AS rr, count(*) FILTER (price < 1 OR price > 45) AS pr,
@@ -444,8 +477,8 @@ ORACLES: dict[str, str] = {
     "quarantine_routes": f"""WITH {STD} SELECT 'warehouse' AS table_name, count(*) AS rows FROM std WHERE NOT ({ANY_RULE})
         UNION ALL SELECT 'audit', count(*) FROM std WHERE NOT ({ANY_RULE}) AND (rating IS NULL OR title IS NULL)
         UNION ALL SELECT 'quarantine', count(*) FROM std WHERE {ANY_RULE}""",
-    "quarantine_reprocess": f"""WITH {STD}, bad AS (SELECT isbn, coalesce(price, 9.99) AS price FROM std WHERE {ANY_RULE})
-        SELECT CASE WHEN {ANY_RULE} THEN 'quarantine' ELSE 'fixed' END AS route, count(*) AS rows FROM bad GROUP BY 1""",
+    "quarantine_reprocess": f"""WITH {STD}, bad AS (SELECT ingest_seq, isbn, coalesce(price, 9.99) AS price FROM std WHERE {ANY_RULE})
+        SELECT CASE WHEN {ANY_RULE} THEN 'quarantine' ELSE 'fixed' END AS route, ingest_seq, isbn, price FROM bad""",
     "load_verify": f"""WITH {UPSERTED} SELECT 'row_count' AS "check", 'PASS' AS status,
           concat((SELECT count(*) FROM merged), '/', (SELECT count(*) FROM new)) AS detail
         UNION ALL SELECT 'required_columns', 'FAIL', 'o_comment'""",
@@ -472,10 +505,10 @@ ORACLES: dict[str, str] = {
     "upsert_metrics": f"""WITH {DIFF} SELECT count(*) FILTER (op IN ('UPDATE', 'UNCHANGED')) AS matched, count(*) FILTER (op = 'INSERT') AS inserted,
         count(*) FILTER (op = 'UPDATE') AS modified, count(*) FILTER (op = 'UNCHANGED') AS unchanged, count(*) AS total_after FROM diff""",
     "incremental_load": f"WITH {UPSERTED} SELECT o_orderkey, o_totalprice FROM merged",
-    "bucket_evolution": f"""WITH {SNAPSHOTS}, b AS (SELECT * FROM new WHERE o_orderkey % 2 = 0), c AS (SELECT * FROM new WHERE o_orderkey % 3 = 0)
-        SELECT o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS o_orderstatus FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b) AND o_orderkey NOT IN (SELECT o_orderkey FROM c)
-        UNION ALL SELECT o_orderkey, o_totalprice, o_orderstatus FROM b WHERE o_orderkey NOT IN (SELECT o_orderkey FROM c)
-        UNION ALL SELECT o_orderkey, o_totalprice, NULL FROM c""",
+    "bucket_evolution": f"""WITH {SNAPSHOTS} SELECT o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS o_orderstatus FROM old
+        UNION ALL SELECT o_orderkey, o_totalprice, o_orderstatus FROM new WHERE o_orderkey NOT IN (SELECT o_orderkey FROM old)""",
+    "bucket_atomic": f"""WITH {UPSERTED} SELECT 'failed' AS state, count(*) AS rows, {xsum('o_totalprice')} AS total FROM old
+        UNION ALL SELECT 'repeated', count(*), {xsum('o_totalprice')} FROM merged""",
     "bucket_upsert": f"WITH {UPSERTED} SELECT o_orderkey, o_totalprice FROM merged",
     "change_audit": f"WITH {DIFF} "
     + union(
@@ -522,9 +555,8 @@ ORACLES: dict[str, str] = {
         ca AS (SELECT n, row_number() OVER (ORDER BY n) AS id, row_number() OVER (ORDER BY n || ' Publishing') AS pid FROM (SELECT DISTINCT category AS n FROM feat))
         SELECT isbn, left(title, 200) AS title, coalesce(au.id, -1) AS author_id, ca.pid AS publisher_id, ca.id AS category_id,
           {r('price', 4)} AS price, rating FROM feat LEFT JOIN au ON author = au.n JOIN ca ON category = ca.n WHERE title IS NOT NULL""",
-    "star_catalog": f"""WITH {FEAT} SELECT category AS category_name, format AS format_name, category || ' House' AS publisher_name, 'UK' AS region,
-        count(*) AS row_count, {r(xmean('price'), 2)} AS avg_price, {r(xmean('rating'), 2)} AS avg_rating,
-        CAST(sum(CAST(is_bestseller AS INTEGER)) AS BIGINT) AS bestsellers FROM feat GROUP BY ALL""",
+    "star_catalog": STAR,
+    "warehouse_publish": STAR,
     "star_complete": f"""WITH {FEAT}, f AS (SELECT count(*) AS n FROM feat WHERE isbn IS NOT NULL AND category IS NOT NULL AND price IS NOT NULL)
         SELECT 'fact' AS table_name, n AS rows FROM f UNION ALL SELECT 'joined', n FROM f UNION ALL SELECT 'orphans', CAST(0 AS BIGINT)""",
     "gate_two_ratings": f"""WITH {STD} SELECT 'rating range [0 - 5]' AS "check", CASE WHEN count(*) FILTER (ingest_seq % 50 = 0) = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
@@ -569,8 +601,8 @@ ORACLES: dict[str, str] = {
     "stream_operations": f"SELECT event_type, count(*) AS rows, {xsum('value')} AS total FROM events WHERE event_type IN ('signup', 'purchase') GROUP BY 1",
     "stream_last_value": """SELECT user_id, event_id, event_type, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
-    "stream_dead_letters": """SELECT 'loaded' AS route, count(*) AS rows FROM events WHERE event_id % 13 <> 0
-        UNION ALL SELECT 'dead_letter', count(*) FROM events WHERE event_id % 13 = 0""",
+    "stream_dead_letters": """SELECT 'loaded' AS route, event_id, user_id, value FROM events WHERE event_id % 13 <> 0
+        UNION ALL SELECT 'dead_letter', NULL, NULL, NULL FROM events WHERE event_id % 13 = 0""",
     "run_metrics": f"""WITH runs AS (SELECT event_id % 7 <> 0 AS ok, event_id % 5000 AS ms, event_id % 97 AS loaded FROM events)
         SELECT count(*) AS runs, {r('count(*) FILTER (ok) * 100.0 / count(*)', 2)} AS success_rate,
           {r('count(*) FILTER (NOT ok) * 100.0 / count(*)', 2)} AS error_rate, {r('avg(ms)', 1)} AS avg_latency_ms,
@@ -578,28 +610,13 @@ ORACLES: dict[str, str] = {
     "latest_runs": """SELECT CAST(event_id AS VARCHAR) AS run_id, CASE WHEN event_id % 7 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
           event_id % 5000 AS total_ms FROM events ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC LIMIT 12""",
     "run_freshness": """SELECT CAST(floor(epoch(TIMESTAMP '2024-01-31 00:00:00')) - floor(epoch(max(ts))) AS BIGINT) AS freshness_seconds FROM events""",
-    "catalog_report": """SELECT 'Null Check' AS "check", CAST(18 AS BIGINT) AS columns UNION ALL SELECT 'Schema Validation', 9
-        UNION ALL SELECT 'Outlier Detection', 9 UNION ALL SELECT 'Duplicate Check', 1 UNION ALL SELECT 'ISBN-13 Validation', 1""",
+    "catalog_report": f"WITH {_report(CATALOG_COLUMNS, CATALOG_NUMBERS)} SELECT * FROM report",
     "failed_run_log": f"""WITH {FEAT}, n AS (SELECT (SELECT count(*) FROM raw) AS e, (SELECT count(*) FROM feat) AS l)
         SELECT 'FAILED' AS status, 'FULL' AS load_strategy, e AS extracted_records, NULL AS loaded_records FROM n
         UNION ALL SELECT 'SUCCESS', 'FULL', e, l FROM n""",
-    "catalog_pipeline": f"""WITH {FEAT} """
-    + union(
-        [
-            f"SELECT '{name}' AS table_name, {expr} AS rows FROM feat"
-            for name, expr in {
-                "etl_log": "CAST(least(count(*), 1) AS BIGINT)",
-                "etl_fact": "count(*)",
-                "authors": "count(DISTINCT author) FILTER (author <> 'Unknown') + 1",
-                "publishers": "count(DISTINCT category) + 1",
-                "categories": "count(DISTINCT category) + 1",
-                "books": "count(title)",
-                "dim_category": "count(DISTINCT category) + 1",
-                "dim_format": "count(DISTINCT format) + 1",
-                "dim_publisher": "count(DISTINCT category) + 1",
-                "dim_time": "CAST(6 + 0 * count(*) AS BIGINT)",
-                "fact_book_sales": "count(*)",
-            }.items()
-        ]
-    ),
+    "catalog_pipeline": f"""WITH {FEAT}
+        SELECT 'etl_fact' AS table_name, price_tier AS member, count(*) AS rows, {xsum('price')} AS total FROM feat GROUP BY ALL
+        UNION ALL SELECT 'books', category, count(*), {xsum('price')} FROM feat WHERE title IS NOT NULL GROUP BY ALL
+        UNION ALL SELECT 'star', category || '/' || format, count(*), {r(xmean('price'), 2)} FROM feat GROUP BY ALL
+        UNION ALL SELECT 'etl_log', 'SUCCESS', 1, count(*)::DOUBLE FROM feat""",
 }

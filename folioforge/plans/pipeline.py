@@ -36,8 +36,10 @@ from folioforge.sources.sinks import (
     POINTER,
     full_load,
     incremental_load,
+    publish_tables,
     read_buckets,
     read_published,
+    read_tables,
     upsert_buckets,
     write_change_audit,
     write_csv,
@@ -177,7 +179,8 @@ def run_catalog_pipeline(
 ) -> dict[str, DataFrame]:
     """The four catalog phases: features and statistics, fact load, warehouse, quality audit.
 
-    The featured catalog is staged once as Parquet and all phases read it. The fact load is logged, also when it fails.
+    The featured catalog is staged once as Parquet and all phases read it. All warehouse tables become visible in one step.
+    The run is logged once, after its last phase, as SUCCESS only if all phases came through.
     """
     started = time.monotonic()
     entry: dict[str, object] = {
@@ -203,22 +206,20 @@ def run_catalog_pipeline(
         else:
             incremental_load(spark, fact, f"{root}/etl_fact", ["isbn"])
         entry["loaded_records"] = entry["transformed_records"]
+
+        publish_tables(spark, {**books_3nf(catalog), **star_schema(catalog)}, f"{root}/warehouse")
+
+        report = cut_lineage(validate_report(catalog))
+        write_report(report, f"{root}/audit", run_ts)
         entry["status"] = "SUCCESS"
     finally:
         entry["execution_time_ms"] = int((time.monotonic() - started) * 1000)
         append_run(spark, f"{root}/etl_log", entry, ETL_EXECUTION_LOG)
-
-    tables = {**books_3nf(catalog), **star_schema(catalog)}
-    for name, df in tables.items():
-        full_load(spark, df, f"{root}/warehouse/{name}")
-
-    report = cut_lineage(validate_report(catalog))
-    write_report(report, f"{root}/audit", run_ts)
     return {
         "catalog": catalog,
         "report": report,
         "totals": report_totals(report),
-        **{name: read_published(spark, f"{root}/warehouse/{name}") for name in tables},
+        **read_tables(spark, f"{root}/warehouse"),
         "etl_fact": read_published(spark, f"{root}/etl_fact"),
         "etl_log": read_runs(spark, f"{root}/etl_log", ETL_EXECUTION_LOG),
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -333,10 +334,16 @@ def pca_points(spark, sf):
     return points
 
 
+# The catalog features that the component view takes.
+PCA_FEATURES = ["price", "rating", "old_price", "discount_pct", "value_score"]
+
+
 @query
 def pca_total(spark, sf):
-    variance, _ = scaling.pca(table(spark, sf, "lineitem").select(*LINE_MEASURES), LINE_MEASURES, k=len(LINE_MEASURES))
-    return scaling.total_variance(variance).select(F.round("total_variance_pct", 0).alias("total_variance_pct"))
+    """Variance that the first two components of the catalog's features explain together."""
+    catalog = catalog_plan.staged_catalog(catalog_raw(spark, sf)).select(*PCA_FEATURES)
+    variance, _ = scaling.pca(catalog, PCA_FEATURES)
+    return scaling.total_variance(variance)
 
 
 @query
@@ -347,52 +354,26 @@ def pca_embeddings(spark, sf):
 
 @query
 def before_after(spark, sf):
-    raw = catalog_raw(spark, sf)
-    processed = catalog_plan.staged_catalog(raw)
-    raw = raw.withColumnRenamed("book_depository_stars", "rating")
-    return profile.before_after(raw, processed, "isbn", {"price": "price", "rating": "rating"})
+    metrics, columns = catalog_plan.stage_metrics(catalog_raw(spark, sf), {"price": "price", "rating": "book_depository_stars"})
+    return profile.before_after(metrics, columns["raw"], columns["featured"], ["price", "rating"])
 
 
 @query
 def stage_funnel(spark, sf):
-    raw = catalog_raw(spark, sf)
-    deduplicated = cut_lineage(catalog_plan.deduplicated(raw))
-    return profile.stage_funnel(
-        {
-            "raw": raw,
-            "standardised": clean.standardise_catalog(raw),
-            "deduplicated": deduplicated,
-            "featured": features.catalog_features(deduplicated),
-        }
-    )
+    metrics, columns = catalog_plan.stage_metrics(catalog_raw(spark, sf))
+    counts = {"raw": "rows", "standardised": "rows", "deduplicated": "kept_rows", "featured": "kept_rows"}
+    return profile.stage_funnel(metrics, {stage: (count, columns[stage]) for stage, count in counts.items()})
 
 
 @query
 def transform_summary(spark, sf):
-    standardised = clean.standardise_catalog(catalog_raw(spark, sf))
-    filled = clean.impute_catalog(standardised)
-    return profile.transform_summary(standardised, filled, catalog_plan.staged_catalog(catalog_raw(spark, sf)), "is_bestseller")
+    metrics, _ = catalog_plan.stage_metrics(catalog_raw(spark, sf))
+    return profile.transform_summary(metrics)
 
 
 @query
 def extract_summary(spark, sf):
-    raw = catalog_raw(spark, sf)
-    nulls = profile.null_profile(raw, ["price", "book_depository_stars", "old_price", "author", "isbn"]).select(
-        F.concat(F.lit("nulls_"), F.col("column_name")).alias("measure"), F.col("missing").alias("value")
-    )
-    totals = profile.stack(
-        profile.null_totals(raw),
-        "measure",
-        {
-            "rows": {"value": F.col("total_rows")},
-            "columns": {"value": F.col("total_cols").cast("bigint")},
-            "null_cells": {"value": F.col("total_missing")},
-        },
-    )
-    dups = dedup.duplicate_counts(raw, {"duplicate_keys": ["isbn"]})
-    return nulls.unionByName(totals).unionByName(
-        dups.select(F.col("scope").alias("measure"), F.col("duplicate_rows").alias("value"))
-    )
+    return profile.extract_summary(catalog_raw(spark, sf), "isbn", ["price", "book_depository_stars", "old_price", "author", "isbn"])
 
 
 # --- nested-source records -------------------------------------------------------------------------
@@ -433,8 +414,9 @@ def land_pages(spark: SparkSession, sf: str, root: str, page_size: int = 50) ->
         F.count(F.lit(1)).alias("numFound"),
         F.sort_array(F.collect_list(F.struct("ingest_seq", *[c for c in docs.columns if c not in ("ingest_seq", "_source")]))).alias("docs"),
     )
-    # A page never holds more than ``page_size`` documents.
-    pages.select("_source", "numFound", "docs").write.partitionBy("_source").json(root)
+    # A page never holds more than ``page_size`` documents. Files follow the page number, as a download would write them.
+    ordered = pages.repartitionByRange("_source", "page").sortWithinPartitions("_source", "page")
+    ordered.select("_source", "numFound", "docs").write.partitionBy("_source").json(root)
     return {s: f"{root}/_source={s}" for s in RECORD_SOURCES}
 
 
@@ -463,9 +445,19 @@ def record_pipeline(spark, sf):
     sources = land_pages(spark, sf, f"{root}/landing")
     pipeline.run_record_pipeline(spark, sources, f"{root}/out", "full")
     pipeline.run_record_pipeline(spark, sources, f"{root}/out", "incremental")
-    return read_runs(spark, f"{root}/out/run_log").select(
-        "load_strategy", "sources_attempted", "records_extracted", "records_after_transform", "records_loaded", "status"
+    runs = read_runs(spark, f"{root}/out/run_log").select(
+        F.lit("run").alias("part"),
+        F.col("load_strategy").alias("name"),
+        F.col("status").alias("detail"),
+        F.col("records_extracted").cast("double").alias("a"),
+        F.col("records_after_transform").cast("double").alias("b"),
+        F.col("records_loaded").cast("double").alias("c"),
     )
+    fact = sinks.read_published(spark, f"{root}/out/fact").select(
+        F.lit("fact").alias("part"), F.col("ol_key").alias("name"), F.col("page_tier").alias("detail"),
+        F.col("publish_year").cast("double").alias("a"), F.col("avg_rating").cast("double").alias("b"), F.col("popularity_score").alias("c"),
+    )
+    return runs.unionByName(fact)
 
 
 # --- quality ---------------------------------------------------------------------------------------
@@ -539,12 +531,9 @@ def quarantine_reprocess(spark, sf):
     fixed, still = quality.reprocess(
         spark.read.parquet(path), rows.schema, lambda d: d.withColumn("price", F.coalesce("price", F.lit(9.99))), row_rules()
     )
-    return (
-        fixed.select(F.lit("fixed").alias("route"))
-        .unionByName(still.select(F.lit("quarantine").alias("route")))
-        .groupBy("route")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    routes = {"fixed": fixed, "quarantine": still}
+    named = [df.select(F.lit(route).alias("route"), "ingest_seq", "isbn", "price") for route, df in routes.items()]
+    return reduce(DataFrame.unionByName, named)
 
 
 @query
@@ -628,11 +617,49 @@ def bucket_evolution(spark, sf):
     path = scratch_path(spark, "evolving")
     columns = ["o_orderkey", "o_totalprice"]
     sinks.upsert_buckets(spark, old.select(*columns), path, ORDER_KEY, buckets=8)
-    sinks.upsert_buckets(spark, new.where("o_orderkey % 2 = 0").select(*columns, "o_orderstatus"), path, ORDER_KEY, buckets=16)
-    sinks.upsert_buckets(spark, new.where("o_orderkey % 3 = 0").select(*columns), path, ORDER_KEY, buckets=4)
+    sinks.upsert_buckets(spark, new.select(*columns, "o_orderstatus"), path, ORDER_KEY, buckets=16)
+    sinks.upsert_buckets(spark, old.select(*columns), path, ORDER_KEY, buckets=4)
     return sinks.read_buckets(spark, path).select("o_orderkey", "o_totalprice", "o_orderstatus")
 
 
+@query
+def bucket_atomic(spark, sf):
+    """(state, rows, total): after a batch that failed between two buckets, and after the batch was repeated."""
+    old, new = order_snapshots(spark, sf)
+    path = scratch_path(spark, "atomic")
+    sinks.upsert_buckets(spark, old, path, ORDER_KEY, buckets=8)
+    last = F.pmod(F.xxhash64(*ORDER_KEY), F.lit(8)) == 7
+    torn = new.withColumn("o_comment", F.when(last, F.raise_error(F.lit("no space left"))).cast("string"))
+    states = []
+    for state, batch in (("failed", torn), ("repeated", new)):
+        try:
+            sinks.upsert_buckets(spark, batch, path, ORDER_KEY)
+        except Exception as error:
+            if "no space left" not in str(error):
+                raise
+        rows = sinks.read_buckets(spark, path)
+        rows = rows.agg(F.count(F.lit(1)).alias("rows"), exact_sum(F.col("o_totalprice")).alias("total"))
+        states.append(cut_lineage(rows.select(F.lit(state).alias("state"), "rows", "total")))
+    return states[0].unionByName(states[1])
+
+
+@query
+def warehouse_publish(spark, sf):
+    """The star that readers see after a second run, with other prices, failed at its last table."""
+    root = scratch_path(spark, "warehouse")
+    catalog = catalog_plan.staged_catalog(catalog_raw(spark, sf))
+    sinks.publish_tables(spark, warehouse.star_schema(catalog), root)
+    other = warehouse.star_schema(catalog.withColumns({"price": F.col("price") + 1, "category": F.concat("category", F.lit("*"))}))
+    last = list(other)[-1]
+    other[last] = other[last].withColumn("title", F.raise_error(F.lit("no space left")).cast("string"))
+    try:
+        sinks.publish_tables(spark, other, root)
+    except Exception as error:
+        if "no space left" not in str(error):
+            raise
+    return star_measures(sinks.read_tables(spark, root))
+
+
 @query
 def change_audit(spark, sf):
     old, new = [d.select("o_orderkey", "o_custkey", "o_totalprice") for d in order_snapshots(spark, sf)]
@@ -794,9 +821,7 @@ def nf3_books(spark, sf):
     )
 
 
-@query
-def star_catalog(spark, sf):
-    tables = warehouse.star_schema(catalog_plan.staged_catalog(catalog_raw(spark, sf)))
+def star_measures(tables) -> DataFrame:
     dims = {
         "category_key": (tables["dim_category"], "category_key"),
         "format_key": (tables["dim_format"], "format_key"),
@@ -808,6 +833,11 @@ def star_catalog(spark, sf):
     )
 
 
+@query
+def star_catalog(spark, sf):
+    return star_measures(warehouse.star_schema(catalog_plan.staged_catalog(catalog_raw(spark, sf))))
+
+
 @query
 def star_complete(spark, sf):
     """(check, rows): the fact, what is left of it after joining all dimensions, and its orphans."""
@@ -1063,8 +1093,8 @@ def stream_dead_letters(spark, sf):
         good=F.col("ok"), dead_letters=f"{root}/dead", buckets=8, newest_wins=False,
     )
     jobs.drain(writer)
-    good = sinks.read_buckets(spark, f"{root}/out").agg(F.lit("loaded").alias("route"), F.count(F.lit(1)).alias("rows"))
-    bad = spark.read.parquet(f"{root}/dead").agg(F.lit("dead_letter").alias("route"), F.count(F.lit(1)).alias("rows"))
+    good = sinks.read_buckets(spark, f"{root}/out").select(F.lit("loaded").alias("route"), "event_id", "user_id", "value")
+    bad = spark.read.parquet(f"{root}/dead").select(F.lit("dead_letter").alias("route"), *good.columns[1:])
     return good.unionByName(bad)
 
 
@@ -1103,17 +1133,27 @@ def run_freshness(spark, sf):
 
 @query
 def catalog_pipeline(spark, sf):
-    root = scratch_path(spark, "catalog")
-    out = pipeline.run_catalog_pipeline(spark, catalog_raw(spark, sf), root, RUN_TS)
-    names = ["etl_log", "etl_fact", "authors", "publishers", "categories", "books", "dim_category", "dim_format", "dim_publisher", "dim_time", "fact_book_sales"]
-    return aggregates.table_status({name: out[name] for name in names})
+    """(table_name, member, rows, total): what the run left in the fact, the normal form, the star and the log."""
+    out = pipeline.run_catalog_pipeline(spark, catalog_raw(spark, sf), scratch_path(spark, "catalog"), RUN_TS)
+    count, price = F.count(F.lit(1)).alias("rows"), exact_sum(F.col("price")).alias("total")
+    books = out["books"].join(out["categories"], "category_id").groupBy(F.col("category_name").alias("member")).agg(count, price)
+    sales = star_measures(out).select(
+        F.concat_ws("/", "category_name", "format_name").alias("member"), F.col("row_count").alias("rows"), F.col("avg_price").alias("total")
+    )
+    parts = {
+        "etl_fact": out["etl_fact"].groupBy(F.col("price_tier").alias("member")).agg(count, price),
+        "books": books,
+        "star": sales,
+        "etl_log": out["etl_log"].groupBy(F.col("status").alias("member")).agg(count, F.sum("loaded_records").cast("double").alias("total")),
+    }
+    named = [df.select(F.lit(name).alias("table_name"), "member", "rows", "total") for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, named)
 
 
 @query
 def catalog_report(spark, sf):
     """The report that the catalog run writes: all columns, duplicates told apart without the helper column."""
-    out = pipeline.run_catalog_pipeline(spark, catalog_raw(spark, sf), scratch_path(spark, "catalog-report"), RUN_TS)
-    return out["report"].groupBy("check").agg(F.count(F.lit(1)).alias("columns"))
+    return pipeline.run_catalog_pipeline(spark, catalog_raw(spark, sf), scratch_path(spark, "catalog-report"), RUN_TS)["report"]
 
 
 @query

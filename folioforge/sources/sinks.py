@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 import json
-import uuid
-from collections.abc import Callable, Sequence
-from datetime import datetime
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from folioforge.operators.cdc import cdc_column_audit, one_per_key, upsert
+from folioforge.operators.cdc import cdc_column_audit, upsert, with_keys
 from folioforge.sources import files
+from folioforge.sources.buckets import BUCKET, new_version, read_buckets, upsert_buckets
+
+__all__ = ["BUCKET", "read_buckets", "upsert_buckets"]  # part of the sinks, in a module of their own
 
 POINTER = "CURRENT"
-BUCKET = "bucket"
-LAYOUT = "_layout"  # names with an underscore are no data to Spark
 KEEP_VERSIONS = 2
 
 
@@ -62,7 +61,7 @@ def publish(
     Any failure before the switch leaves the target as it was. After it the ``keep`` newest versions stay, at least the
     current one and the one before it, which readers may still be on.
     """
-    version = f"{datetime.now():%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    version = new_version()
     path = f"{root}/versions/{version}"
     df.write.mode("errorifexists").parquet(path)
     if validate is not None and not validate(spark.read.parquet(path)):
@@ -84,6 +83,50 @@ def read_published(spark: SparkSession, root: str, schema: T.StructType | None =
     return spark.read.parquet(f"{root}/versions/{files.read_text(spark, pointer).strip()}")
 
 
+def publish_tables(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    root: str,
+    validate: Callable[[Mapping[str, DataFrame]], bool] | None = None,
+    keep: int = KEEP_VERSIONS,
+) -> str:
+    """Publish several tables as one: readers see all of a run's tables or all of the run before.
+
+    The pointer names one version of each table, so tables that are not part of this call keep theirs. ``validate`` sees
+    the written tables before the switch. Versions that neither the new nor one of the ``keep - 1`` states before names go.
+    """
+    version = new_version()
+    for name, df in tables.items():
+        df.write.mode("errorifexists").parquet(f"{root}/tables/{name}/{version}")
+    written = {name: spark.read.parquet(f"{root}/tables/{name}/{version}") for name in tables}
+    if validate is not None and not validate(written):
+        raise RejectedPublish(f"version {version} of {root} did not pass validation")
+    states = _states(spark, root)
+    current = {**(states[0] if states else {}), **dict.fromkeys(tables, version)}
+    states = [current, *states][: max(2, keep)]
+    files.replace_text(spark, f"{root}/{POINTER}", json.dumps(states))
+    for name in tables:
+        live = {state.get(name) for state in states}
+        for old in files.list_names(spark, f"{root}/tables/{name}"):
+            if old not in live and old < version:
+                files.remove(spark, f"{root}/tables/{name}/{old}")
+    return version
+
+
+def _states(spark: SparkSession, root: str) -> list[dict[str, str]]:
+    """Version of each table, newest state first."""
+    pointer = f"{root}/{POINTER}"
+    return json.loads(files.read_text(spark, pointer)) if files.exists(spark, pointer) else []
+
+
+def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """All tables of one state; the pointer is read once, so they belong together."""
+    states = _states(spark, root)
+    if not states:
+        raise FileNotFoundError(root)
+    return {name: spark.read.parquet(f"{root}/tables/{name}/{version}") for name, version in states[0].items()}
+
+
 def full_load(spark: SparkSession, df: DataFrame, root: str, validate: Callable[[DataFrame], bool] | None = None) -> str:
     """Replace the whole target."""
     return publish(spark, df, root, validate)
@@ -111,71 +154,6 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
-def _layout(spark: SparkSession, path: str) -> tuple[int, T.StructType] | None:
-    """Bucket count and columns that a bucketed target was written with."""
-    note = f"{path}/{LAYOUT}"
-    if not files.exists(spark, note):
-        return None
-    stored = json.loads(files.read_text(spark, note))
-    return stored["buckets"], T.StructType.fromJson(stored["schema"])
-
-
-def read_buckets(spark: SparkSession, path: str) -> DataFrame:
-    """A bucketed target with every column it ever got; files without one give null."""
-    layout = _layout(spark, path)
-    if layout is None:
-        raise FileNotFoundError(f"{path} has no {LAYOUT}")
-    return spark.read.schema(layout[1]).parquet(path)
-
-
-def upsert_buckets(
-    spark: SparkSession,
-    source: DataFrame,
-    path: str,
-    key: Sequence[str],
-    buckets: int = 64,
-    order: Sequence[str | Column] = (),
-    newest_wins: bool = False,
-    slices: int = 4,
-) -> None:
-    """Upsert into a target laid out by key hash, rewriting only the buckets the batch touches.
-
-    With ``newest_wins`` the row highest in ``order`` stays, so late rows do not undo newer ones;
-    otherwise the batch wins. Repeating a batch gives the same target. The batch is reduced to one row
-    per key first. ``buckets`` counts for a new target only: it is stored beside the data, with the columns, and later
-    calls use the stored count, so a key never lies in two buckets. Columns that a batch adds are added to the target;
-    columns that it lacks are null in its rows and stay in all others. A bucket is worked on by ``slices`` tasks.
-    """
-    layout = _layout(spark, path)
-    if layout is None and files.exists(spark, path):
-        raise ValueError(f"{path} holds data without {LAYOUT}; load it into a new target")
-    buckets = layout[0] if layout else buckets
-    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
-    batch = one_per_key(source, key, order).withColumns({BUCKET: bucket, "_side": F.lit(1)})
-    merged, fields = batch, T.StructType([f for f in batch.schema.fields if f.name != "_side"])
-    if layout is not None:
-        stored = {f.name: f for f in layout[1].fields}
-        fields = T.StructType([*layout[1].fields, *[f for f in fields.fields if f.name not in stored]])
-        target = spark.read.schema(layout[1]).parquet(path)
-        touched = batch.select(BUCKET).distinct()
-        # At most ``buckets`` rows: a bounded broadcast that prunes the target's partitions.
-        old = target.join(F.broadcast(touched), BUCKET, "left_semi").withColumn("_side", F.lit(0))
-        merged = old.unionByName(batch, allowMissingColumns=True)
-    side = F.desc("_side")
-    ranked = [F.desc(c) if isinstance(c, str) else c for c in order]
-    rank = [*ranked, side] if newest_wins else [side, *ranked]
-    part = F.pmod(F.xxhash64(F.lit("slice"), *key), F.lit(slices)).cast("int")
-    # Clusters the window below as well: one shuffle, ``slices`` files per bucket.
-    placed = merged.withColumn("_slice", part).repartition(BUCKET, "_slice")
-    latest = one_per_key(placed, [BUCKET, "_slice", *key], rank).drop("_side", "_slice")
-    if layout is None or fields != layout[1]:
-        nullable = [T.StructField(f.name, f.dataType, True) for f in fields.fields]
-        note = {"buckets": buckets, "schema": T.StructType(nullable).jsonValue()}
-        # Before the data: a reader that knows a column too early sees nulls.
-        files.replace_text(spark, f"{path}/{LAYOUT}", json.dumps(note))
-    overwrite_partitions(latest, path, [BUCKET])
-
-
 def write_change_audit(
     spark: SparkSession, current: DataFrame, batch: DataFrame, key: str, path: str, run_id: str, run_ts: str,
     ignore: Sequence[str] = (),
@@ -184,7 +162,7 @@ def write_change_audit(
 
     A run has a partition of its own, so a repeated run replaces its records.
     """
-    old = current.join(batch.select(key), key, "left_semi").drop(*ignore)
+    old = with_keys(current, batch, [key]).drop(*ignore)
     audit = cdc_column_audit(old, batch.drop(*ignore), [key]).select(
         F.col(key).cast("string").alias("key_id"),
         "action",

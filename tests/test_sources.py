@@ -14,7 +14,7 @@ from folioforge.plans.pipeline import run_catalog_pipeline, run_record_pipeline
 from folioforge.plans.records import transform_records
 from folioforge.schemas import ETL_EXECUTION_LOG, RAW_CATALOG
 from folioforge.session import broadcast_if_small, cut_lineage, scratch_path, shared_dir
-from folioforge.sources import catalog_csv, files, images, lookups, record_pages, sinks
+from folioforge.sources import buckets, catalog_csv, files, images, lookups, record_pages, sinks
 
 pytestmark = pytest.mark.mock
 HEADER = ",".join(RAW_CATALOG.names)
@@ -211,19 +211,80 @@ def test_bucket_upsert_touches_only_its_buckets(spark, tmp_path):
     path = str(tmp_path / "b")
     rows = spark.range(400).select("id", F.lit(0).alias("v"), F.lit(5).alias("seq"))
     sinks.upsert_buckets(spark, rows, path, ["id"], buckets=16)
-    stamp = {p.name: [f.stat().st_mtime_ns for f in p.glob("*.parquet")] for p in (tmp_path / "b").glob("bucket=*")}
-    assert len(stamp) == 16 and all(len(f) == 1 for f in stamp.values())
+    placed = lambda: buckets.read_note(spark, path)[0]["placed"]
+    before = placed()
+    assert len(before) == 16 and len(set(before.values())) == 1
     batch = spark.createDataFrame([(7, 1, 9), (7, 2, 8)], "id long, v int, seq int")
     for _ in range(2):
         sinks.upsert_buckets(spark, batch, path, ["id"], buckets=16, order=["seq"])
     late = spark.createDataFrame([(7, 3, 1)], "id long, v int, seq int")
     sinks.upsert_buckets(spark, late, path, ["id"], buckets=16, order=["seq"], newest_wins=True)
-    out = spark.read.parquet(path)
+    out = sinks.read_buckets(spark, path)
     assert out.count() == 400 and values(out.where("id = 7"), "v") == [(1,)]
-    after = {p.name: [f.stat().st_mtime_ns for f in p.glob("*.parquet")] for p in (tmp_path / "b").glob("bucket=*")}
-    assert sum(after[b] != stamp[b] for b in stamp) == 1
+    assert sum(placed()[b] != before[b] for b in before) == 1
     sinks.upsert_buckets(spark, late, path, ["id"], buckets=16, order=["seq"])
-    assert values(spark.read.parquet(path).where("id = 7"), "v") == [(3,)]
+    assert values(sinks.read_buckets(spark, path).where("id = 7"), "v") == [(3,)]
+    stored = [p for p in (tmp_path / "b" / "data").glob("version=*/bucket=*")]
+    assert len(stored) == 17  # the state before the last batch stays readable
+
+
+def test_failed_batch_leaves_no_bucket_behind(spark, tmp_path):
+    path = str(tmp_path / "b")
+    rows = spark.range(200).select("id", F.lit(0).alias("v"))
+    sinks.upsert_buckets(spark, rows, path, ["id"], buckets=8)
+    new = spark.range(300).select("id", F.lit(1).alias("v"))
+    last = F.pmod(F.xxhash64("id"), F.lit(8)) == 7
+    torn = new.withColumn("v", F.when(last, F.raise_error("disk full").cast("int")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="disk full"):
+        sinks.upsert_buckets(spark, torn, path, ["id"])
+    assert values(sinks.read_buckets(spark, path).groupBy("v").count()) == [(0, 200)]
+    sinks.upsert_buckets(spark, new, path, ["id"])
+    assert values(sinks.read_buckets(spark, path).groupBy("v").count()) == [(1, 300)]
+    assert len(list((tmp_path / "b" / "data").iterdir())) == 2  # what the failed batch wrote is gone
+
+
+def test_second_writer_is_refused(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "b")
+    rows = spark.range(50).select("id", F.lit(0).alias("v"))
+    sinks.upsert_buckets(spark, rows, path, ["id"], buckets=4)
+    plain, calls = buckets.new_version, []
+
+    def racing():
+        if not calls:
+            calls.append(1)
+            sinks.upsert_buckets(spark, rows.withColumn("v", F.lit(1)), path, ["id"])
+        return plain()
+
+    monkeypatch.setattr(buckets, "new_version", racing)
+    with pytest.raises(buckets.ConcurrentUpdate):
+        sinks.upsert_buckets(spark, rows.withColumn("v", F.lit(2)), path, ["id"])
+    assert values(sinks.read_buckets(spark, path).groupBy("v").count()) == [(1, 50)]
+
+
+def test_tables_are_published_together(spark, tmp_path):
+    root = str(tmp_path / "w")
+    tables = lambda n: {"dim": spark.range(n), "fact": spark.range(10 * n)}
+    sinks.publish_tables(spark, tables(1), root)
+    broken = {**tables(2), "fact": spark.range(20).select(F.raise_error("disk full").alias("id"))}
+    with pytest.raises(Exception, match="disk full"):
+        sinks.publish_tables(spark, broken, root)
+    with pytest.raises(sinks.RejectedPublish):
+        sinks.publish_tables(spark, tables(3), root, lambda t: t["fact"].count() < 30)
+    assert {n: df.count() for n, df in sinks.read_tables(spark, root).items()} == {"dim": 1, "fact": 10}
+    for n in (4, 5, 6):
+        sinks.publish_tables(spark, tables(n), root)
+    sinks.publish_tables(spark, {"dim": spark.range(7)}, root)
+    assert {n: df.count() for n, df in sinks.read_tables(spark, root).items()} == {"dim": 7, "fact": 60}
+    assert len(list((tmp_path / "w" / "tables" / "dim").iterdir())) == 2
+
+
+def test_change_audit_meets_missing_keys(spark, tmp_path):
+    rows = spark.createDataFrame([(None, "a"), ("k", "b")], "key string, v string")
+    sinks.write_change_audit(spark, rows, rows, "key", str(tmp_path / "same"), "r", "2024-01-01")
+    assert spark.read.parquet(str(tmp_path / "same")).isEmpty()
+    new = spark.createDataFrame([(None, "c")], "key string, v string")
+    sinks.write_change_audit(spark, rows, new, "key", str(tmp_path / "one"), "r", "2024-01-01")
+    assert values(spark.read.parquet(str(tmp_path / "one")), "key_id", "action", "old_value", "new_value") == [(None, "UPDATE", "a", "c")]
 
 
 def test_partition_overwrite_and_zones(spark, tmp_path):
