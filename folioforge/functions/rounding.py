@@ -33,6 +33,15 @@ def sum_parts(col: Column, name: str) -> list[Column]:
     ]
 
 
+def merged_parts(name: str) -> list[Column]:
+    """Partial sums of partial sums, under the same names, for states that are merged again later."""
+    exact, plain = F.col(f"{name}_exact"), F.col(f"{name}_plain")
+    return [
+        F.when(F.count(exact) == F.count(plain), F.try_sum(exact)).cast("decimal(38,12)").alias(f"{name}_exact"),
+        F.sum(plain).alias(f"{name}_plain"),
+    ]
+
+
 def sum_of_parts(name: str) -> Column:
     exact, plain = F.col(f"{name}_exact"), F.col(f"{name}_plain")
     whole = F.when(F.count(exact) == F.count(plain), F.try_sum(exact).cast("double"))

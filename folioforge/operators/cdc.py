@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -59,11 +60,14 @@ def _met(pairs: Sequence[tuple[str, str]]) -> Column:
     return met
 
 
-def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
+def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str], missing_keys: bool = True) -> DataFrame:
     """(key, op, old, new): every key of both snapshots, with both rows as structs.
 
     ``op`` is INSERT, UPDATE, DELETE or UNCHANGED. Columns in both snapshots are compared, and null equals null; a
     missing key is a key like any other. Columns, or keys, of unlike types are compared by their audit text.
+
+    Without ``missing_keys`` the caller promises that every row has its key: the join then is a plain equality, which tables
+    bucketed by the key meet without a shuffle.
     """
     key = list(key)
     columns = compared_columns(old, new, key)
@@ -77,7 +81,8 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFra
         marks = [F.col(c).alias(f"_{name}{i}") for i, c in enumerate(key)]
         return one_per_key(df, key).select(*marks, F.struct(*fields, F.lit(1).alias("_in")).alias(name))
 
-    met = _met([(f"_old{i}", f"_new{i}") for i in range(len(key))])
+    pairs = [(f"_old{i}", f"_new{i}") for i in range(len(key))]
+    met = _met(pairs) if missing_keys else reduce(Column.__and__, [F.col(a) == F.col(b) for a, b in pairs])
     both = side(old, "old").join(side(new, "new"), met, "full_outer")
     same = F.lit(True)
     for c in [f"_text_{c}" if c in unlike else c for c in columns]:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from folioforge.functions.rounding import exact_mean, exact_sum, stable_round, sum_of_parts, sum_parts
+from folioforge.functions.rounding import exact_mean, exact_sum, merged_parts, stable_round, sum_of_parts, sum_parts
 from folioforge.session import cut_lineage
 
 
@@ -76,7 +76,7 @@ def drilldown(df: DataFrame, fixed: Mapping[str, object], columns: Sequence[str]
     return df.orderBy(*order).select(*columns).limit(top)
 
 
-def _cells(df: DataFrame, dims: Sequence[str], price: str, rating: str) -> DataFrame:
+def _cells(df: DataFrame, dims: Sequence[str], price: str, rating: str, *extra: Column) -> DataFrame:
     """Finest cells. Rollup and cube repeat these few rows per grouping set, not the fact rows."""
     return df.groupBy(*dims).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -84,6 +84,7 @@ def _cells(df: DataFrame, dims: Sequence[str], price: str, rating: str) -> DataF
         *sum_parts(F.col(price), "_sp"),
         F.count(rating).alias("_nr"),
         *sum_parts(F.col(rating), "_sr"),
+        *extra,
     )
 
 
@@ -91,13 +92,14 @@ def _mean(total: str, n: str) -> Column:
     return stable_round(F.try_divide(sum_of_parts(total), F.sum(n)), 2)
 
 
-def _merge(grouped, price: str, rating: str) -> DataFrame:
+def _merge(grouped, price: str, rating: str, *extra: Column) -> DataFrame:
     return grouped.agg(
         F.grouping_id().cast("bigint").alias("grouping_id"),
         F.sum("_n").alias("row_count"),
         sum_of_parts("_sp").alias(f"sum_{price}"),
         _mean("_sp", "_np").alias(f"avg_{price}"),
         _mean("_sr", "_nr").alias(f"avg_{rating}"),
+        *extra,
     )
 
 
@@ -111,6 +113,25 @@ def cube_full(df: DataFrame, dims: Sequence[str], price: str, rating: str) -> Da
     return _merge(_cells(df, dims, price, rating).cube(*dims), price, rating)
 
 
+def cube_state(df: DataFrame, dims: Sequence[str], price: str, rating: str, distinct: str | None = None) -> DataFrame:
+    """The finest cells of a batch in a form that can be merged: counts, exact partial sums and a sketch of ``distinct``."""
+    cells = _cells(df, dims, price, rating, *([F.hll_sketch_agg(distinct).alias("_d")] if distinct else []))
+    return cells.withColumns({f"{s}_exact": F.col(f"{s}_exact").cast("decimal(38,12)") for s in ("_sp", "_sr")})
+
+
+def merge_states(states: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Cells of several states as one state. A null member meets a null member."""
+    sketch = [F.hll_union_agg("_d").alias("_d")] if "_d" in states.columns else []
+    sums = [F.sum(c).alias(c) for c in ("_n", "_np", "_nr")]
+    return states.groupBy(*dims).agg(*sums, *merged_parts("_sp"), *merged_parts("_sr"), *sketch)
+
+
+def cube_of_state(state: DataFrame, dims: Sequence[str], price: str, rating: str) -> DataFrame:
+    """What :func:`cube_full` gives over all facts of the state, with ``distinct_estimate`` if the state has sketches."""
+    extra = [F.hll_sketch_estimate(F.hll_union_agg("_d")).alias("distinct_estimate")] if "_d" in state.columns else []
+    return _merge(state.cube(*dims), price, rating, *extra)
+
+
 def cube_slice(cube: DataFrame, dims: Sequence[str], wanted: Mapping[str, object]) -> DataFrame:
     """Cells of a stored cube where listed dimensions have a value and all others are rolled up (ALL)."""
     cells = cube.where(F.col("grouping_id") == _level(dims, wanted))

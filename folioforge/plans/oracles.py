@@ -525,11 +525,19 @@ ORACLES: dict[str, str] = {
     "zone_evolution": f"""WITH {SNAPSHOTS} SELECT 'r1' AS run_id, 'old' AS source, count(*) AS rows, CAST(0 AS BIGINT) AS with_status FROM old
         UNION ALL SELECT 'r2', 'new', count(*), count(o_orderstatus) FROM new""",
     "checksum_dedup": f"WITH {DIFF} SELECT n.o_orderkey, n.o_totalprice FROM new n JOIN diff USING (o_orderkey) WHERE op IN ('INSERT', 'UPDATE')",
+    "checksum_index": f"""WITH {SNAPSHOTS}, o AS (SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM old),
+        n AS (SELECT * FROM o UNION SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM new)
+        SELECT 'first' AS state, count(*) AS rows, {xsum('o_totalprice')} AS total FROM o
+        UNION ALL SELECT s, count(*), {xsum('o_totalprice')} FROM n, (SELECT unnest(['batch', 'again']) AS s) GROUP BY s""",
     "dataset_checksum": """SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(sha256(concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_orderpriority)), 1, 12) AS BIGINT)) AS VARCHAR) AS checksum FROM orders""",
     "table_status": union([f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in ("orders", "lineitem", "part")]),
     "missing_partitions": """SELECT CAST(d AS DATE) AS missing_date FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS d)
         WHERE CAST(d AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE dayofweek(ts) NOT IN (0, 6))""",
     "backfill_days": "SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY 1",
+    "backfill_pruned": f"SELECT CAST(ts AS DATE) AS day, count(*) AS rows, {xsum('value')} AS total FROM events GROUP BY 1",
+    "bucketed_fact": f"""SELECT l_orderkey, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS time_key, count(*) AS lines,
+        {xsum('l_extendedprice')} AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""",
+    "bucketed_diff": f"WITH {DIFF} SELECT o_orderkey, op FROM diff",
     "source_status": """SELECT s AS source, count(event_id) AS records, CASE WHEN count(event_id) > 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status
         FROM (SELECT unnest(['view', 'click', 'signup', 'purchase', 'error', 'refund']) AS s) LEFT JOIN events ON event_type = s GROUP BY s""",
     "events_json_props": f"""SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS rows, {r('avg(value)', 4)} AS avg_value FROM events GROUP BY 1""",
@@ -576,6 +584,8 @@ ORACLES: dict[str, str] = {
         FROM sales WHERE p_type = 'PROMO' ORDER BY l_extendedprice DESC, l_quantity, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 12""",
     "cube_full": f"""WITH {SALES} SELECT p_type, l_returnflag, r_name, CAST(grouping_id(p_type, l_returnflag, r_name) AS BIGINT) AS grouping_id, {CUBE_MEASURES}
         FROM sales GROUP BY CUBE (p_type, l_returnflag, r_name)""",
+    "cube_merge": f"""WITH {SALES} SELECT p_type, l_returnflag, r_name, CAST(grouping_id(p_type, l_returnflag, r_name) AS BIGINT) AS grouping_id, {CUBE_MEASURES}
+        FROM sales GROUP BY CUBE (p_type, l_returnflag, r_name)""",
     "cube_slice_all": f"""WITH {SALES} SELECT CAST(NULL AS VARCHAR) AS p_type, l_returnflag, CAST(NULL AS VARCHAR) AS r_name, CAST(5 AS BIGINT) AS grouping_id, {CUBE_MEASURES}
         FROM sales WHERE l_returnflag = 'R' GROUP BY l_returnflag""",
     "cube_topn": f"""WITH {SALES}, b AS (SELECT p_brand FROM sales GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 6),
@@ -601,6 +611,9 @@ ORACLES: dict[str, str] = {
     "stream_operations": f"SELECT event_type, count(*) AS rows, {xsum('value')} AS total FROM events WHERE event_type IN ('signup', 'purchase') GROUP BY 1",
     "stream_last_value": """SELECT user_id, event_id, event_type, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "stream_state_last": """SELECT user_id, event_id, event_type, value FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "stream_resume": "SELECT event_id, value, ts < TIMESTAMP '2024-01-16' AS early FROM events",
     "stream_dead_letters": """SELECT 'loaded' AS route, event_id, user_id, value FROM events WHERE event_id % 13 <> 0
         UNION ALL SELECT 'dead_letter', NULL, NULL, NULL FROM events WHERE event_id % 13 = 0""",
     "run_metrics": f"""WITH runs AS (SELECT event_id % 7 <> 0 AS ok, event_id % 5000 AS ms, event_id % 97 AS loaded FROM events)

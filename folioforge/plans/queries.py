@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,7 +16,7 @@ from folioforge.plans import catalog as catalog_plan, pipeline, records as recor
 from folioforge.plans.runlog import read_runs
 from folioforge.schemas import ETL_EXECUTION_LOG, EVENT_MESSAGE
 from folioforge.session import broadcast_if_small, configure, cut_lineage, literal_frame, scratch_path
-from folioforge.sources import catalog_csv, images, lookups, record_pages, sinks
+from folioforge.sources import bucketed, catalog_csv, cube_store, images, lookups, membership, record_pages, sinks
 from folioforge.sources.tables import (
     RECORD_SOURCES,
     catalog_raw,
@@ -24,7 +25,7 @@ from folioforge.sources.tables import (
     sales,
     table,
 )
-from folioforge.streaming import jobs
+from folioforge.streaming import jobs, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -718,6 +719,20 @@ def checksum_dedup(spark, sf):
     )
 
 
+@query
+def checksum_index(spark, sf):
+    """(state, rows, total) of a target with indexed checksums: first load, a batch, the same batch again."""
+    old, new = order_snapshots(spark, sf)
+    path, columns = scratch_path(spark, "indexed"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+    states = []
+    for state, batch in (("first", old), ("batch", new), ("again", new)):
+        membership.append_new(spark, batch.select(*columns), path, columns, n_files=16)
+        rows = membership.read_indexed(spark, path)
+        rows = rows.agg(F.count(F.lit(1)).alias("rows"), exact_sum(F.col("o_totalprice")).alias("total"))
+        states.append(cut_lineage(rows.select(F.lit(state).alias("state"), "rows", "total")))
+    return reduce(DataFrame.unionByName, states)
+
+
 @query
 def dataset_checksum(spark, sf):
     return recovery.dataset_checksum(
@@ -747,6 +762,43 @@ def backfill_days(spark, sf):
     return spark.read.parquet(path).groupBy(F.col("day").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def backfill_pruned(spark, sf):
+    """Days of a curated zone that lacked weekends, after two backfills from a raw zone with a partition per day."""
+    raw, curated = scratch_path(spark, "raw-days"), scratch_path(spark, "curated-days")
+    events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    sinks.overwrite_partitions(events, raw, ["day"])
+    sinks.overwrite_partitions(events.where(~F.dayofweek("day").isin(1, 7)), curated, ["day"])
+    for _ in range(2):
+        recovery.backfill_partitions(spark, spark.read.parquet(raw), curated, "day", lambda d: d, "2024-01-01", "2024-01-31")
+    return spark.read.parquet(curated).groupBy(F.col("day").cast("date").alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"), exact_sum(F.col("value")).alias("total")
+    )
+
+
+@query
+def bucketed_fact(spark, sf):
+    """(l_orderkey, time_key, lines, revenue): lines and orders in the same buckets, joined and summed without a shuffle."""
+    root, names = scratch_path(spark, "bucketed"), [f"folio_{label}_{uuid.uuid4().hex}" for label in ("orders", "lines")]
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), warehouse.time_key(F.col("o_orderdate")).alias("time_key"))
+    orders = bucketed.write_bucketed(orders, names[0], f"{root}/orders", ["l_orderkey"], 8)
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice")
+    lines = bucketed.write_bucketed(lines, names[1], f"{root}/lines", ["l_orderkey"], 8)
+    return lines.join(orders.hint("merge"), "l_orderkey").groupBy("l_orderkey", "time_key").agg(
+        F.count(F.lit(1)).alias("lines"), exact_sum(F.col("l_extendedprice")).alias("revenue")
+    )
+
+
+@query
+def bucketed_diff(spark, sf):
+    """(o_orderkey, op): the snapshot comparison over two bucketed tables, without a shuffle."""
+    root, sides = scratch_path(spark, "bucketed"), []
+    for label, df in zip(("old", "new"), order_snapshots(spark, sf)):
+        name = f"folio_{label}_{uuid.uuid4().hex}"
+        sides.append(bucketed.write_bucketed(df, name, f"{root}/{label}", ORDER_KEY, 8))
+    return cdc.snapshot_diff(*sides, ORDER_KEY, missing_keys=False).select("o_orderkey", "op")
+
+
 @query
 def source_status(spark, sf):
     configured = ["view", "click", "signup", "purchase", "error", "refund"]
@@ -975,6 +1027,15 @@ def cube_parquet(spark, sf):
     return spark.read.parquet(path).where("grouping_id = 5").select("l_returnflag", "row_count", "sum_l_extendedprice")
 
 
+@query
+def cube_merge(spark, sf):
+    """The cube of two batches of facts, merged cell by cell; the second batch comes twice and counts once."""
+    facts, root = sales(spark, sf), scratch_path(spark, "cube-store")
+    for batch, part in (("a", facts.where("l_shipdate < DATE '1997-01-01'")), *[("b", facts.where("l_shipdate >= DATE '1997-01-01'"))] * 2):
+        cube_store.add_to_cube(spark, part, root, batch, CUBE_DIMS, PRICE, RATING)
+    return cube_store.read_cube(spark, root, CUBE_DIMS, PRICE, RATING)
+
+
 @query
 def olap_custom_sql(spark, sf):
     olap.register_views(spark, {"wh_sales": sales(spark, sf)})
@@ -1098,6 +1159,45 @@ def stream_dead_letters(spark, sf):
     return good.unionByName(bad)
 
 
+def land_events(spark: SparkSession, sf: str, path: str, where: str = "true", n_files: int = 4) -> None:
+    """Events as files whose rows and order have nothing to do with time."""
+    dealt = table(spark, sf, "events").where(where).repartition(n_files, F.xxhash64("event_id"))
+    dealt.sortWithinPartitions(F.xxhash64("event_id")).write.mode("append").parquet(path)
+
+
+@query
+def stream_state_last(spark, sf):
+    """The last event of every user from state inside the stream, over micro-batches that are out of order."""
+    root, order = scratch_path(spark, "state"), ["ts", "event_id"]
+    land_events(spark, sf, f"{root}/in")
+    events = jobs.event_time(jobs.read_messages(spark, f"{root}/in", EVENT_MESSAGE, files_per_batch=1))
+    changes = state.last_rows(events, ["user_id"], order, ["event_type", "value"], delay="60 days")
+    jobs.drain(state.write_changes(changes, f"{root}/out", f"{root}/checkpoint"))
+    return state.read_last(spark, f"{root}/out", ["user_id"], order).select("user_id", "event_id", "event_type", "value")
+
+
+@query
+def stream_resume(spark, sf):
+    """(event_id, value, arrival): a stream that fails in its second batch and goes on after more files came in."""
+    root = scratch_path(spark, "resume")
+    paths = f"{root}/in", f"{root}/out", f"{root}/checkpoint"
+
+    def fail(batch_id: int) -> None:
+        if batch_id == 1:
+            raise RuntimeError("stopped in batch 1")
+
+    first, rest = "ts < TIMESTAMP_NTZ '2024-01-16'", "ts >= TIMESTAMP_NTZ '2024-01-16'"
+    for where, after in ((first, fail), (rest, None)):
+        land_events(spark, sf, paths[0], where)
+        events = jobs.read_messages(spark, paths[0], EVENT_MESSAGE, files_per_batch=1).select("event_id", "value", F.expr(first).alias("early"))
+        try:
+            jobs.drain(jobs.write_batches(events, *paths[1:], after=after))
+        except Exception as error:
+            if "stopped in batch 1" not in str(error):
+                raise
+    return spark.read.parquet(paths[1]).drop("batch_id")
+
+
 # --- run log ---------------------------------------------------------------------------------------
 
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from datetime import date, timedelta
 from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from folioforge.functions.checksum import row_sha256
+from folioforge.sources import files
 from folioforge.sources.sinks import overwrite_partitions
 
 R = TypeVar("R")
@@ -57,9 +59,9 @@ def dataset_checksum(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def missing_partitions(df: DataFrame, date: Column, start: str | None = None, end: str | None = None) -> DataFrame:
+def missing_partitions(df: DataFrame, day: Column, start: str | None = None, end: str | None = None) -> DataFrame:
     """(missing_date): the days of a range without rows; the range defaults to the data's own."""
-    days = df.select(date.cast("date").alias("d")).where(F.col("d").isNotNull()).groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+    days = df.select(day.cast("date").alias("d")).where(F.col("d").isNotNull()).groupBy("d").agg(F.count(F.lit(1)).alias("n"))
     span = days.agg(
         F.coalesce(F.lit(start).cast("date"), F.min("d")).alias("lo"),
         F.coalesce(F.lit(end).cast("date"), F.max("d")).alias("hi"),
@@ -80,3 +82,28 @@ def backfill(
     # One row per day of the asked range: bounded, and it prunes the source's partitions.
     todo = source.join(F.broadcast(gaps), F.col(day).cast("date") == F.col("missing_date"), "left_semi")
     overwrite_partitions(process(todo), path, [day])
+
+
+def present_days(spark: SparkSession, path: str, day: str) -> set[str]:
+    """Days that a target partitioned by ``day`` has, from the names of its folders; no file is opened."""
+    if not files.exists(spark, path):
+        return set()
+    return {n.partition("=")[2] for n in files.list_names(spark, path) if n.startswith(f"{day}=")}
+
+
+def backfill_partitions(
+    spark: SparkSession, source: DataFrame, path: str, day: str, process: Callable[[DataFrame], DataFrame], start: str, end: str
+) -> list[str]:
+    """Add the days of a range that the target lacks; returns them.
+
+    The days are known before the plan is made and stand in it as constants, so of a source that is partitioned by ``day``
+    only their folders are listed and read. The target is not read. Days without source rows stay missing.
+    """
+    first, last = date.fromisoformat(start), date.fromisoformat(end)
+    wanted = [(first + timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
+    present = present_days(spark, path, day)
+    missing = [d for d in wanted if d not in present]
+    if missing:
+        todo = source.where(F.col(day).isin([date.fromisoformat(d) for d in missing]))
+        overwrite_partitions(process(todo), path, [day])
+    return missing

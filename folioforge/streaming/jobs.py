@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -55,6 +55,22 @@ def write_append(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     )
 
 
+def write_batches(
+    df: DataFrame, path: str, checkpoint: str, mode: str = "append", after: Callable[[int], None] | None = None
+) -> DataStreamWriter:
+    """Write every micro-batch to a partition of its own. A batch that failed is run again under its old number and
+    replaces what it left, so each row is there once. ``after`` is called when a batch is written; if it fails, so does the batch.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        overwrite_partitions(batch.withColumn("batch_id", F.lit(batch_id)), path, ["batch_id"])
+        if after is not None:
+            after(batch_id)
+
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    return writer.foreachBatch(write).trigger(availableNow=True)
+
+
 def drain(writer: DataStreamWriter) -> None:
     """Run a stream over all available input and wait for it."""
     query = writer.start()

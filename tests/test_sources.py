@@ -159,7 +159,7 @@ def test_routes_change_audit_and_buckets(spark, landed, tmp_path):
     page["docs"][2]["title"] = "Volume 3, revised"
     (tmp_path / "landing/science/page.json").write_text(json.dumps(page) + "\n")
     second = run_record_pipeline(spark, landed, root, **options)
-    assert second["status"] == "SUCCESS" and spark.read.parquet(f"{root}/fact_buckets").count() == 7
+    assert second["status"] == "SUCCESS" and sinks.read_buckets(spark, f"{root}/fact_buckets").count() == 7
     changes = values(spark.read.parquet(f"{root}/cdc_audit"), "key_id", "action", "column_changed", "old_value", "new_value")
     assert changes == [
         ("w003-science", "UPDATE", "title", "Volume 3", "Volume 3, revised"),
