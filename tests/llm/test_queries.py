@@ -1,5 +1,6 @@
 """Registered corpus queries: against their SQL, and the pipeline against a brute-force version."""
 
+import hashlib
 import os
 import zlib
 
@@ -7,10 +8,12 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+import tiktoken
 from oracle_check import connect, differences
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from folioforge.llm.byte_bpe import read_ranks
 from folioforge.llm.oracles import ORACLES
 from folioforge.llm.quality_rules import quality_rules
 from folioforge.llm.queries import QUERIES
@@ -30,7 +33,7 @@ def rows(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_leaks_of_the_tables(spark):
@@ -76,3 +79,13 @@ def test_pipeline(spark):
             want.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
             start += len(ids)
     assert out == want
+
+
+def test_byte_bpe_of_the_table(spark):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(path), special_tokens={})
+    want = {}
+    for r in rows(spark, "documents").collect():
+        ids, text = library.encode_ordinary(r["text"] or ""), (r["text"] or "").encode()
+        want[r["doc_id"]] = (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text).hexdigest())
+    assert {r[0]: tuple(r[1:]) for r in QUERIES["op13_byte_bpe"](spark, SF_DIR).collect()} == want
