@@ -95,3 +95,6 @@ def test_read_only_sql(spark):
     for bad in ("DROP TABLE wh_t", "CREATE TABLE t2 AS SELECT 1", "SET x=1", "INSERT INTO wh_t VALUES (1)", "WITH x AS (SELECT 1) INSERT INTO wh_t SELECT * FROM x"):
         with pytest.raises(ValueError):
             olap.run_sql(spark, bad)
+    assert olap.run_sql(spark, "(SELECT `insert`, r'\\' AS b FROM VALUES (1) AS t(`insert`)) -- delete").first()["insert"] == 1
+    for bad in ("", "/* SELECT */ DROP TABLE t", "WITH x AS (SELECT r'\\') INSERT INTO t SELECT '", "FROM t INSERT INTO u SELECT 1", "with x as (select 1) delete from t"):
+        assert not olap.reads_only(bad)
