@@ -57,6 +57,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in taken])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A name like ``name`` that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write to a fresh Parquet folder below the shared folder and read it back: lineage ends, columns prune."""
     path = scratch_path(df.sparkSession, label)

@@ -157,7 +157,9 @@ def leaks(docs: DataFrame, items: DataFrame, width: int = WIDTH, percent: int =
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that hold no item."""
-    gone = leaks(docs, items, **options).select(F.col("doc_id").alias("__id"), F.col("row").alias("__row")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__row"))
-    return docs.join(broadcast_if_small(gone), same, "left_anti")
+    """The rows of ``docs`` that hold no item; their columns may have any names."""
+    gone = leaks(docs, items, **options).select("doc_id", "row").distinct()
+    gone = broadcast_if_small(gone.select(F.struct("doc_id", "row").alias("leak")))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("kept"))
+    own = F.struct(F.col("kept.doc_id").alias("doc_id"), F.xxhash64("kept.text").alias("row"))
+    return rows.join(gone, own.eqNullSafe(F.col("leak")), "left_anti").select("kept.*")

@@ -33,9 +33,18 @@ CACHE = 200_000  # scored words kept per worker
 
 
 def sample_ids(labelled: DataFrame, label: str, per_class: int) -> DataFrame:
-    """doc_id of up to ``per_class`` rows of each class, by smallest hash; spark keeps that many per task before a shuffle."""
-    order = Window.partitionBy(label).orderBy(F.xxhash64(F.lit("sample"), F.col("doc_id")), "doc_id")
-    return labelled.select("doc_id", label).withColumn("__n", F.row_number().over(order)).filter(f"__n <= {per_class}").drop("__n")
+    """doc_id of up to ``per_class`` rows of each class, those of smallest hash.
+
+    The classes are counted first, and rows whose hash lies beyond what twice that many rows of their class would take are
+    left out before anything is shuffled, so the most frequent class brings no more rows to its task than the others.
+    """
+    rows = labelled.select("doc_id", F.col(label).alias("__label"), F.xxhash64(F.lit("sample"), F.col("doc_id")).alias("__hash"))
+    sizes = broadcast_if_small(rows.groupBy(F.col("__label").alias("__of")).agg(F.count(F.lit(1)).alias("__size")))
+    place = F.col("__hash").cast("double") / 2.0**64 + 0.5  # evenly spread over 0 to 1, in the order of the hash
+    near = rows.join(sizes, F.col("__label") == F.col("__of")).filter(place * F.col("__size") <= 2 * per_class + 64)
+    order = Window.partitionBy("__label").orderBy("__hash", "doc_id")
+    first = near.withColumn("__n", F.row_number().over(order)).filter(f"__n <= {per_class}")
+    return first.select("doc_id", F.col("__label").alias(label))
 
 
 def grams(word: str, order: int):
@@ -45,27 +54,40 @@ def grams(word: str, order: int):
 
 
 class Backoff:
-    """Log frequencies: words and n-grams by order, each an array over the languages."""
+    """Log frequencies of words and of n-grams by order: for each item the languages that have it, and their values.
+
+    ``words`` and ``levels`` map an item to (numbers of languages, log frequencies); a language that lacks a known item
+    has the value in ``rare`` of that table, and the floor is that of the single characters.
+    """
 
-    def __init__(self, languages: list[str], words: dict, levels: list[dict], floor: np.ndarray):
-        self.languages, self.words, self.levels, self.floor = languages, words, levels, floor
+    def __init__(self, languages: list[str], words: dict, levels: list[dict], rare: list[np.ndarray]):
+        self.languages, self.tables, self.rare = languages, [words, *levels], rare
+        self.floor = rare[1] if languages else np.zeros(0)
+        self.room = CACHE * 4 // max(4, len(languages))
         self.seen: dict[str, np.ndarray] = {}
 
-    def word(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
+    def known(self, table: int, item: str) -> np.ndarray | None:
+        found = self.tables[table].get(item)
         if found is None:
-            found = self.seen.get(word)
+            return None
+        out = self.rare[table].copy()
+        out[found[0]] = found[1]
+        return out
+
+    def word(self, word: str) -> np.ndarray:
+        found = self.seen.get(word)
         if found is None:
-            found = self.unseen(word)
-            if len(self.seen) < CACHE:
+            found = self.known(0, word)
+            found = self.unseen(word) if found is None else found
+            if len(self.seen) < self.room:
                 self.seen[word] = found
         return found
 
     def unseen(self, word: str) -> np.ndarray:
         shown, total, places, at = f"<{word}>", self.floor * 0, 0, 0
         while at < len(shown):
-            for order in range(len(self.levels), 0, -1):
-                known = self.levels[order - 1].get(shown[at : at + order]) if at + order <= len(shown) else None
+            for order in range(len(self.tables) - 1, 0, -1):
+                known = self.known(order, shown[at : at + order]) if at + order <= len(shown) else None
                 if known is not None:
                     break
             total = total + (self.floor if known is None else known)
@@ -81,11 +103,12 @@ class Backoff:
             return ["und"] * n_rows, np.zeros(n_rows)
         table = np.array([self.word(w) for w in vocab])
         starts, ends = spans(row, n_rows)
-        running = np.concatenate([np.zeros((1, table.shape[1])), np.cumsum(table[codes], axis=0)])
-        sums = running[ends] - running[starts]
+        has = ends > starts
+        sums = np.zeros((n_rows, table.shape[1]))
+        # A sum of its own for each text, so that its neighbours in the batch do not touch its last digits.
+        sums[has] = np.add.reduceat(table[codes], starts[has], axis=0)
         best = sums.argmax(axis=1)
         share = 1 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
-        has = ends > starts
         return [self.languages[b] if h else "und" for b, h in zip(best.tolist(), has.tolist())], np.where(has, share, 0.0)
 
 
@@ -135,10 +158,12 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> Backoff:
     place = {lang: i for i, lang in enumerate(languages)}
     tables: list[dict] = [{} for _ in range(ORDER + 1)]
     rare = [np.array([math.log(0.5 / (totals.get((lang, level), 0) + 1)) for lang in languages]) for level in range(ORDER + 1)]
-    for r in kept.select("lang", "level", "item", "n").collect():  # bounded by WORDS and GRAMS
-        row = tables[r["level"]].setdefault(r["item"], rare[r["level"]].copy())
-        row[place[r["lang"]]] = math.log(r["n"] / totals[r["lang"], r["level"]])
-    return Backoff(languages, tables[0], tables[1:], rare[1] if languages else np.zeros(0))
+    found = kept.select("lang", "level", "item", "n").orderBy("lang", "level", "item").toArrow()
+    for batch in found.to_batches(10_000):  # WORDS and GRAMS entries for each language at most
+        for lang, level, item, n in zip(*[c.to_pylist() for c in batch.columns]):
+            tables[level].setdefault(item, []).append((place[lang], math.log(n / totals[lang, level])))
+    packed = [{item: (np.array([i for i, _ in e], np.int32), np.array([v for _, v in e])) for item, e in t.items()} for t in tables]
+    return Backoff(languages, packed[0], packed[1:], rare)
 
 
 def predict(docs: DataFrame, model: Backoff) -> DataFrame:

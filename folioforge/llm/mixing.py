@@ -7,13 +7,14 @@ inclusion probability p: documents are ranked by random odds u/(1-u) over inclus
 documents in that order up to its remaining words: a sample of fixed size in words. It misses the target by half of one
 document at most.
 
-The random number is a hash of the seed and doc_id, so reruns agree. Nothing sorts a whole source in one task: ranks are
+The random number is a hash of the seed and doc_id (or text, see below), so reruns agree. Nothing sorts a whole source in one task: ranks are
 binned, bins are summed, and only the bin in which the target falls is sorted.
 
 Preferences are positive integers with few distinct values; the default is the number of binary digits of the size.
 
 Defined cases: size is the number of words, 0 for null and empty texts, which are never needed to reach a target. A null
-source is a source of its own, the last one. Rows that share a doc_id are drawn alike; rows without one share one draw.
+source is a source of its own, the last one. Rows that share a doc_id are drawn alike; rows without one are drawn by their text, so
+that only equal texts without id come in or stay out together.
 Other columns pass through.
 """
 
@@ -68,23 +69,28 @@ def _copies(preference: Column) -> Column:
     return F.when(preference > F.col("free"), F.col("cap")).otherwise(F.least(F.col("cap"), F.col("scale") * preference))
 
 
-def _odds(doc_id: Column, p: Column, seed: str) -> Column:
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 13)
+def draw_key(doc_id: Column, text: Column) -> Column:
+    """What a row's random number is drawn from: its id, or its text where it has none."""
+    return F.coalesce(doc_id.cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce(text, F.lit("")))))
+
+
+def _odds(key: Column, p: Column, seed: str) -> Column:
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key)), 1, 13)
     u = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
     return (u / (1 - u)) / (p / (1 - p))
 
 
 def _drawn(rows: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
-    """Rows (doc_id, source, size, preference) with ``whole`` copies, ``rest`` probability and ``odds`` ratio."""
+    """Rows (doc_id, draw, source, size, preference) with ``whole`` copies, ``rest`` probability and ``odds`` ratio."""
     plan = plan.withColumnRenamed("source", "__source")
     rows = rows.join(broadcast_if_small(plan), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     rows = rows.withColumn("expected", _copies(F.col("preference")))
     rows = rows.withColumn("whole", F.floor("expected").cast("int")).withColumn("rest", F.col("expected") - F.col("whole"))
-    return rows.withColumn("odds", F.when(F.col("rest") > 0, _odds(F.col("doc_id"), F.col("rest"), seed)))
+    return rows.withColumn("odds", F.when(F.col("rest") > 0, _odds(F.col("draw"), F.col("rest"), seed)))
 
 
 def mix_plan(sized: DataFrame, weights=WEIGHTS, percent: int = PERCENT, cap: int = CAP, seed: str = SEED) -> DataFrame:
-    """``sized`` (doc_id, source, size, preference) → one row per source with its target and its cut in the ranking."""
+    """``sized`` (doc_id, draw, source, size, preference) → one row per source with its target and its cut in the ranking."""
     levels = staged(
         sized.groupBy("source", "preference").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs")), "levels"
     )
@@ -131,7 +137,7 @@ def mix_plan(sized: DataFrame, weights=WEIGHTS, percent: int = PERCENT, cap: int
 
 
 def copies(sized: DataFrame, plan: DataFrame, seed: str = SEED) -> DataFrame:
-    """Add ``source_size``, ``target`` and ``copies`` to rows with doc_id, source, size and preference."""
+    """Add ``source_size``, ``target`` and ``copies`` to rows with doc_id, draw, source, size and preference."""
     drawn = _drawn(sized, plan, seed)
     here = F.floor(F.col("odds") / (1 + F.col("odds")) * BINS).cast("int")
     upto = F.struct("odds", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id")) <= F.col("last")
@@ -141,7 +147,7 @@ def copies(sized: DataFrame, plan: DataFrame, seed: str = SEED) -> DataFrame:
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    size = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"))
+    size = docs.select("doc_id", draw_key(F.col("doc_id"), F.col("text")).alias("draw"), "source", size_of(F.col("text")).alias("size"))
     return size.withColumn("preference", binary_digits(F.col("size")))
 
 
@@ -149,8 +155,9 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
     plan = mix_plan(staged(sized(docs), "sizes"), **options)
     row = F.struct(*docs.columns)
-    rows = docs.select(row.alias("__row"), "doc_id", "source", size_of(F.col("text")).alias("size"))
-    rows = rows.select("__row", "doc_id", "source", "size", binary_digits(F.col("size")).alias("preference"))
+    draw = draw_key(F.col("doc_id"), F.col("text")).alias("draw")
+    rows = docs.select(row.alias("__row"), "doc_id", draw, "source", size_of(F.col("text")).alias("size"))
+    rows = rows.select("__row", "doc_id", "draw", "source", "size", binary_digits(F.col("size")).alias("preference"))
     taken = copies(rows, plan, options.get("seed", SEED))
     # One range per row instead of an array of copies, so that long texts are not held several times.
     taken = taken.filter("copies > 0").select("__row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy"))

@@ -17,7 +17,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from folioforge.llm.common import SPACE_RUN, constant_doubles, let, without, words
+from folioforge.llm.common import SPACE_RUN, constant_doubles, fresh, let, without, words
 from folioforge.session import broadcast_if_small
 
 CELLS = 1 << 14  # per n-gram order
@@ -55,15 +55,16 @@ def with_base_rules(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(F.btrim(x, F.lit(" \t\n\x0b\f\r"))) > 0)
     counts = let(words(F.col("text")), lambda w: F.struct(F.size(w).alias("n"), repeated_words(w).alias("r")))
+    held = fresh(docs, "__counts")
     return (
-        docs.withColumn("__counts", counts)
-        .withColumn("n_words", F.col("__counts.n").cast("long"))
+        docs.withColumn(held, counts)
+        .withColumn("n_words", F.col(held)["n"].cast("long"))
         .withColumn("word_chars", F.char_length(F.regexp_replace(text, SPACE_RUN, "")).cast("long"))
         .withColumn("n_symbols", F.char_length(F.regexp_replace(text, "[^#*$%&|<>]+", "")).cast("long"))
         .withColumn("n_dup_lines", let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"))
-        .withColumn("n_repeat_words", F.col("__counts.r").cast("long"))
+        .withColumn("n_repeat_words", F.col(held)["r"].cast("long"))
         .withColumn("base_failed", F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words"))
-        .drop("__counts")
+        .drop(held)
     )
 
 
