@@ -3,8 +3,9 @@
 A folder holds ``dictionary.zdict`` and shards. A shard is a header (magic, id width, SHA-256 of the dictionary), one
 zstandard frame per document over its serialized id array, and an index (doc_id, has_id, n_tokens, frame offset) with a
 footer, so that one document is read by one seek and one small frame. Documents lie in ascending doc_id order over the
-shards. The dictionary is trained on the id arrays of a bounded sample: the SAMPLE_DOCS documents of smallest id hash, without
-any text above SAMPLE_CHARS; every document is encoded and written whole.
+shards. The dictionary is trained on the id arrays of a bounded sample: the SAMPLE_DOCS documents of smallest id hash, of
+whatever length; an id array above PIECE_IDS gives SAMPLE_PIECES pieces of that size, evenly spaced, so that a long document does
+not outweigh the others. Every document is encoded and written whole.
 
 One shuffle of the texts (by range of doc_id), one pass that encodes, compresses and writes. Shard names carry the task
 attempt and only the shards named by finished tasks are listed, so a lost executor or a repeated task leaves no trace in
@@ -35,7 +36,7 @@ from folioforge.llm.words import parts
 from folioforge.session import scratch_path
 
 MAGIC = b"FOLIOTK1"
-SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 2000, 200_000, 64 << 10
+SAMPLE_DOCS, PIECE_IDS, SAMPLE_PIECES, DICTIONARY_BYTES = 2000, 4096, 4, 64 << 10
 SHARD_BYTES, LEVEL = 32 << 20, 3
 INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("n_tokens", "<u4"), ("offset", "<u8")])
 FOOTER = struct.Struct("<QQ8s")
@@ -49,21 +50,33 @@ def qualified(spark: SparkSession, path: str) -> str:
     return whole.removeprefix("file://").removeprefix("file:")
 
 
+def spaced(ids: np.ndarray) -> list[np.ndarray]:
+    """The array, or SAMPLE_PIECES pieces of PIECE_IDS of a longer one."""
+    if len(ids) <= PIECE_IDS:
+        return [ids]
+    starts = np.linspace(0, len(ids) - PIECE_IDS, SAMPLE_PIECES).astype(int)
+    return [ids[a : a + PIECE_IDS] for a in sorted(set(starts.tolist()))]
+
+
 def train_dictionary(docs: DataFrame, tokenizer: str, end: int) -> bytes:
     """Dictionary bytes; empty if the sample is too small to train on."""
-    short = docs.filter(F.coalesce(F.char_length("text"), F.lit(0)) <= SAMPLE_CHARS)
-    ids = short.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct()
-    sample = short.join(F.broadcast(ids), "doc_id", "left_semi").limit(2 * SAMPLE_DOCS)
+    # Rows that share an id are told apart by their text, so reruns take the same ones.
+    rows = docs.select("doc_id", F.xxhash64("text").alias("print"))
+    ids = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "print").limit(SAMPLE_DOCS).distinct()
+    same = docs["doc_id"].eqNullSafe(ids["doc_id"]) & (F.xxhash64(docs["text"]) == ids["print"])
+    sample = docs.join(F.broadcast(ids), same, "left_semi").dropDuplicates(["doc_id", "text"])
 
     def serialized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
         for batch in batches:
             for part in parts(batch):
                 flat, sizes = coder.encode(part["text"], end)
-                cuts = np.cumsum(sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array([a.tobytes() for a in np.split(flat, cuts[:-1])], pa.binary())], names=["doc_id", "ids"]
-                )
+                numbers, pieces = [], []
+                for doc_id, ids in zip(part["doc_id"].to_pylist(), np.split(flat, np.cumsum(sizes)[:-1])):
+                    for piece in spaced(ids):
+                        numbers.append(doc_id)
+                        pieces.append(piece.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(pieces, pa.binary())], names=["doc_id", "ids"])
 
     rows = in_arrow(sample.select("doc_id", "text"), serialized, "doc_id long, ids binary").orderBy("doc_id", "ids").collect()
     try:
