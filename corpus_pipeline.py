@@ -35,12 +35,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows, _ = jaccard_join(nodes, real_ids=False)
     gone = rows.filter("doc_id <> component_id").select(F.col("doc_id").alias("__node")).distinct()
     kept = docs.join(broadcast_if_small(gone), "__node", "left_anti")
-    # Equal rows are one document; unlike texts under one id all stay. Only rows that repeat are brought together.
-    repeated = kept.groupBy("__node", "__text").count().filter("count > 1").drop("count")
-    if not repeated.isEmpty():
-        same = Window.partitionBy("__node", "__text").orderBy("__node")
-        kept = kept.withColumn("__n", F.row_number().over(same)).filter("__n = 1")
-    return kept.select("__row.*")
+    # Equal texts under one id are one document; unlike texts under one id all stay. Only the rows whose key repeats are
+    # brought together, and of those each task hands on one row per key; which one stays follows from its content.
+    repeated = kept.groupBy("__node", "__text").count().filter("count > 1").select("__node", "__text")
+    repeated = broadcast_if_small(repeated)
+    same = Window.partitionBy("__node", "__text").orderBy(F.to_json("__row"))
+    several = kept.join(repeated, ["__node", "__text"], "left_semi")
+    one = several.withColumn("__n", F.row_number().over(same)).filter("__n = 1").drop("__n")
+    return kept.join(repeated, ["__node", "__text"], "left_anti").unionByName(one).select("__row.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
