@@ -11,8 +11,8 @@
    pair per holder. Second round: the pairs of a token's holders that the first round did not bring into one component, all
    of them. A pair passes the length filter and the positional filter at the join: its first common token leaves enough
    tokens on both sides. The suffix filter (overlap bound from the set sizes between fixed pivots of the hash order) is
-   next, and what is left is verified on the whole sets, once.
-5. Components of the verified links by star contraction.
+   next, and what is left is verified on the whole sets, once: pairs that the first round compared do not come again.
+5. Components of the verified links by star contraction; the second round's links join contracted components only.
 
 No cap on holders, partners or candidates. What a skipped pair would link is already in one component.
 
@@ -40,6 +40,7 @@ CELL_BITS, WORD_BITS = 18, 16  # fixed numbers of counters for shingles and word
 HEAVY = 64  # excess of a cell from which its count, not its words, decides the class
 PIVOTS = 256  # suffix filter: ranges of the hash order
 SALT_ROWS = 100_000  # estimated holders of a token per salt
+PAIR_ROWS = 2_000  # holders of a token per salt where they meet pairwise
 RESERVED = 1 << 62  # first number for rows without doc_id
 
 
@@ -155,8 +156,8 @@ def _passes(a: str, b: str, percent: int) -> str:
     )
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, info: DataFrame, width: int, percent: int) -> DataFrame:
-    """Distinct candidate pairs (a, b) → those that link, as (a, b)."""
+def _verified(pairs: DataFrame, docs: DataFrame, info: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct candidate pairs (a, b) → (those that were compared on their whole sets, those that link)."""
     side = {s: info.select(F.col("doc_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("pivots").alias(f"p_{s}")) for s in "ab"}
     between = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: F.least(x, y).cast("int")), F.lit(0), lambda s, x: s + x)
     # A count that reached the largest short says nothing; such pairs go on to the verification.
@@ -173,7 +174,25 @@ def _verified(pairs: DataFrame, docs: DataFrame, info: DataFrame, width: int, pe
         .withColumn("n_a", F.size("s_a"))
         .withColumn("n_b", F.size("s_b"))
     )
-    return staged(both.filter(_enough(F.size(F.array_intersect("s_a", "s_b")).cast("long"), percent)).select("a", "b"), "links")
+    alike = _enough(F.size(F.array_intersect("s_a", "s_b")).cast("long"), percent)
+    return pairs, staged(both.filter(alike).select("a", "b"), "links")
+
+
+def _across(marked: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a > b) of a token's holders from unlike components that pass the filters.
+
+    A token with many such holders is dealt over salts on one side and copied to them on the other.
+    """
+    apart = marked.groupBy("token").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("held")
+    )
+    salts = F.ceil(F.col("held") / PAIR_ROWS).cast("int")
+    open_ = marked.join(apart.filter("lo < hi").select("token", salts.alias("salts")), "token")
+    x = open_.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int")).alias("x")
+    y = open_.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("y")
+    met = F.expr(f"x.token = y.token AND x.salt = y.salt AND x.component < y.component AND {_passes('x.', 'y.', percent)}")
+    both = F.col("x.doc_id"), F.col("y.doc_id")
+    return x.join(y, met).select(F.greatest(*both).alias("a"), F.least(*both).alias("b")).distinct()
 
 
 def node_id(doc_id: Column, text: Column) -> Column:
@@ -203,8 +222,8 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 75, real_ids: b
 
     counted = in_arrow(once, lambda x: _counts(x, width), "cell int, holders long").groupBy("cell").agg(F.sum("holders").alias("n"))
     holders = np.zeros((1 << CELL_BITS) + (1 << WORD_BITS), np.int64)
-    for cell, n in counted.collect():  # as many rows as cells at most
-        holders[cell] = n
+    found = counted.toArrow()  # as many rows as cells at most, as two columns of numbers
+    holders[found["cell"].to_numpy()] = found["n"].to_numpy()
     rarity = _Rarity(holders[: 1 << CELL_BITS], holders[1 << CELL_BITS :], width)
 
     index = in_arrow(once, lambda x: _prefixes(x, width, percent, rarity), "token long, doc_id long, n int, pos int, salt int")
@@ -219,25 +238,27 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 75, real_ids: b
     local = met.filter(_passes("", "hub.", percent)).select("doc_id", "hub")
     across = met.filter("salted").drop("hub").join(tops, "token").filter(_passes("", "hub.", percent)).select("doc_id", "hub")
     first = local.union(across).select(F.col("doc_id").alias("a"), F.col("hub.doc_id").alias("b")).distinct()
-    links = _verified(first, docs, info, width, percent)
+    compared, links = _verified(first, docs, info, width, percent)
     equal = classes.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    label = components(equal.union(links))
+    label = staged(components(equal.union(links)), "labels")
 
     marked = shared.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     marked = staged(marked.withColumn("component", F.coalesce("component", "doc_id")), "marked-tokens")
-    apart = marked.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    open_ = marked.join(apart.select("token"), "token", "left_semi")
-    x, y = open_.alias("x"), open_.alias("y")
-    second = (
-        x.join(y, F.expr(f"x.token = y.token AND x.component < y.component AND {_passes('x.', 'y.', percent)}"))
-        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-        .distinct()
-    )
-    links = links.union(_verified(second, docs, info, width, percent))
-    label = components(equal.union(links))
+    # The first round's pairs are (holder, smaller hub); those that were compared there did not link.
+    second = _across(marked, percent).join(compared, ["a", "b"], "left_anti")
+    _, more = _verified(second, docs, info, width, percent)
+    links = links.union(more)
+
+    # Only components that the new links join change: they are contracted to nodes of their own.
+    of = lambda side: label.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
+    joined = more.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    joined = components(joined.select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")))
+    joined = broadcast_if_small(joined.select(F.col("node").alias("component"), F.col("component").alias("whole")))
     rows = info.select("doc_id", F.col("n").alias("n_shingles")).join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "doc_id")).join(joined, "component", "left")
+    rows = rows.withColumn("component", F.coalesce("whole", "component"))
     real = lambda c: F.when(F.col(c) < RESERVED, F.col(c)) if real_ids else F.col(c)
     rows = rows.select(
-        real("doc_id").alias("doc_id"), "n_shingles", F.coalesce(real("component"), real("doc_id")).alias("component_id")
+        real("doc_id").alias("doc_id"), "n_shingles", real("component").alias("component_id")
     )
     return rows, links
