@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import os
+from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,33 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
+class Pool(dict):
+    """Word → number of its ids in one flat array. A word that is missed is encoded and kept while there is room.
+
+    Words beyond the room are added for the batch at hand and leave with :meth:`trim`.
+    """
+
+    def __init__(self, encode, kind: str, room: int):
+        super().__init__()
+        self.encode, self.room = encode, room
+        self.ids, self.starts = array(kind), array("q", [0])
+
+    def add(self, ids) -> int:
+        self.ids.extend(ids)
+        self.starts.append(len(self.ids))
+        return len(self.starts) - 2
+
+    def __missing__(self, word: str) -> int:
+        number = self.add(self.encode(word))
+        if len(self) < self.room:
+            self[word] = number
+        return number
+
+    def trim(self, kept: int) -> None:
+        del self.starts[kept + 1 :]
+        del self.ids[self.starts[-1] :]
+
+
 class Encoder:
     """Ids of a batch of texts, without added special tokens, truncation or padding."""
 
@@ -33,8 +62,9 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             self.rules = json.load(f)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words = Pool(self._word, self.dtype.char, CACHE)
+        self.pieces: dict[str, list[int]] = {}
+        self.ends: dict[int, int] = {}
         self.pattern = self.word_pattern()
 
     def word_pattern(self):
@@ -47,49 +77,47 @@ class Encoder:
         plain = split["behavior"] == "Removed" and split["invert"] and not (level["add_prefix_space"] or level["use_regex"])
         return regex.compile(split["pattern"]["Regex"]) if plain else None
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: str) -> list[int]:
         found = self.pieces.get(piece)
         if found is None:
             shown = piece if piece.isascii() else self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)[0][0]
-            found = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], self.dtype).tobytes()
+            found = [t.id for t in self.tokenizer.model.tokenize(shown)]
             if len(self.pieces) < CACHE:
                 self.pieces[piece] = found
         return found
 
-    def _word(self, word: str) -> bytes:
-        found = self.words.get(word)
-        if found is None:
-            if SIMPLE.fullmatch(word) and "<|" not in word:
-                found = b"".join(map(self._piece, self.pattern.findall(word.lower())))
-            else:
-                found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
-            if len(self.words) < CACHE:
-                self.words[word] = found
-        return found
+    def _word(self, word: str) -> list[int]:
+        if SIMPLE.fullmatch(word) and "<|" not in word:
+            if word.isalpha():
+                return self._piece(word.lower())
+            return list(chain.from_iterable(map(self._piece, self.pattern.findall(word.lower()))))
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each); ``end`` is appended to every text."""
-        n_rows = len(texts)
+        n_rows, words = len(texts), self.words
+        if end is not None and end not in self.ends:
+            self.ends[end] = words.add([end])  # before any word that leaves again
+        kept = len(words) + len(self.ends)
         if self.pattern is None:
             each = self.tokenizer.encode_batch(texts.fill_null("").to_pylist(), add_special_tokens=False)
-            ids = [np.array(e.ids, self.dtype) for e in each]
-            row = np.arange(n_rows)
-            pool, codes = ids, row
+            number, row = np.array([words.add(e.ids) for e in each], np.int64), np.arange(n_rows)
         else:
             row, codes, vocab = split_words(texts)
-            pool = [np.frombuffer(self._word(w), self.dtype) for w in vocab]
+            number = np.fromiter(map(words.__getitem__, vocab), np.int64, len(vocab))[codes]
+            kept = len(words) + len(self.ends)
         if end is not None:
-            pool = [*pool, np.array([end], self.dtype)]
             row = np.concatenate([row, np.arange(n_rows)])
-            codes = np.concatenate([codes, np.full(n_rows, len(pool) - 1)])
+            number = np.concatenate([number, np.full(n_rows, self.ends[end])])
             order = np.argsort(row, kind="stable")
-            row, codes = row[order], codes[order]
-        length = np.fromiter(map(len, pool), np.int64, len(pool))
-        offset = np.cumsum(length) - length
-        flat = np.concatenate(pool) if pool else np.zeros(0, self.dtype)
-        size = length[codes]
-        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(offset[codes], size)
-        return flat[place], np.bincount(row, weights=size, minlength=n_rows).astype(np.int64)
+            row, number = row[order], number[order]
+        flat, starts = np.frombuffer(words.ids, self.dtype), np.frombuffer(words.starts, np.int64)
+        size = starts[number + 1] - starts[number]
+        place = np.arange(size.sum()) + np.repeat(starts[number] - (np.cumsum(size) - size), size)
+        out, sizes = flat[place], np.bincount(row, weights=size, minlength=n_rows).astype(np.int64)
+        del flat, starts
+        words.trim(kept)
+        return out, sizes
 
 
 _encoders: dict[str, Encoder] = {}
