@@ -10,6 +10,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
+from tokenizers import pre_tokenizers
 
 from folioforge.llm.words import split_words
 
@@ -66,6 +67,11 @@ class Encoder:
         self.pieces: dict[str, list[int]] = {}
         self.ends: dict[int, int] = {}
         self.pattern = self.word_pattern()
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # The character that stands for each byte beyond ASCII: its own, seen as the second byte of a character or the first.
+        self.shown = {}
+        for c in map(chr, range(0x80, 0x800)):
+            self.shown.update(zip(c.encode(), level.pre_tokenize_str(c)[0][0]))
 
     def word_pattern(self):
         """The split pattern, if words can be encoded one by one: white space separates and is dropped, case is dropped."""
@@ -80,16 +86,16 @@ class Encoder:
     def _piece(self, piece: str) -> list[int]:
         found = self.pieces.get(piece)
         if found is None:
-            shown = piece if piece.isascii() else self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)[0][0]
+            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.shown)
             found = [t.id for t in self.tokenizer.model.tokenize(shown)]
             if len(self.pieces) < CACHE:
                 self.pieces[piece] = found
         return found
 
     def _word(self, word: str) -> list[int]:
+        if word.isalpha() and (word.isascii() or SIMPLE.fullmatch(word)):
+            return self._piece(word.lower())
         if SIMPLE.fullmatch(word) and "<|" not in word:
-            if word.isalpha():
-                return self._piece(word.lower())
             return list(chain.from_iterable(map(self._piece, self.pattern.findall(word.lower()))))
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 

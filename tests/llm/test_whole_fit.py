@@ -1,15 +1,18 @@
-"""Learning from all labelled rows: counts, thresholds, long texts, parts that are averaged."""
+"""Learning from all labelled rows: counts, thresholds, long texts, parts that are averaged; words in their byte form."""
 
 import math
 import random
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 from made_texts import prose
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from folioforge.llm import language, toxicity
+from folioforge.llm.encoders import Encoder
 from folioforge.llm.words import hashes
 
 
@@ -72,3 +75,12 @@ def test_parts_are_averaged_alike_in_any_order(spark, monkeypatch):
     assert all((a == b).all() for a, b in zip([*one.products, *one.bias, one.out], [*two.products, *two.bias, two.out]))
     assert one.cuts == two.cuts
     assert all(r["toxic"] == r["predicted"] for r in toxicity.score(df, one).collect())
+
+
+def test_words_are_cut_as_the_library_does():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coder, library = Encoder(path), Tokenizer.from_file(path)
+    marks = [chr(c) for c in range(33, 0x180) if not chr(c).isspace()]
+    rng = random.Random(8)
+    for word in [*marks, *("".join(rng.choice(marks) for _ in range(rng.randint(2, 9))) for _ in range(3000)), "été", "ÉTÉ", "don't", "İx", "x" * 400]:
+        assert list(coder._word(word)) == library.encode(word, add_special_tokens=False).ids, word
