@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from made_texts import prose
 from pyspark.sql import functions as F
@@ -84,3 +85,18 @@ def test_words_are_cut_as_the_library_does():
     rng = random.Random(8)
     for word in [*marks, *("".join(rng.choice(marks) for _ in range(rng.randint(2, 9))) for _ in range(3000)), "été", "ÉTÉ", "don't", "İx", "x" * 400]:
         assert list(coder._word(word)) == library.encode(word, add_special_tokens=False).ids, word
+
+
+def test_kept_words_and_pieces_are_bounded_together():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coder, library, rng = Encoder(path), Tokenizer.from_file(path), random.Random(9)
+    coder.words.room = 400
+    for _ in range(12):
+        made = ["".join(rng.choice("aeiounrst") for _ in range(rng.randint(1, 5))) for _ in range(150)]
+        text = " ".join(rng.choice([w, w.title(), w.upper() + ",", f"'{w}'s", f"{w}-12.", f"<|{w}", f"é{w}", "中" + w]) for w in made * 2)
+        flat, sizes = coder.encode(pa.array([text, None, "", text[:99]]), 2)
+        want = [[*library.encode(t, add_special_tokens=False).ids, 2] for t in (text, "", "", text[:99])]
+        assert sizes.tolist() == [len(ids) for ids in want] and flat.tolist() == sum(want, [])
+        kept = [x for x in vars(coder).values() if isinstance(x, dict) and x is not coder.shown]
+        assert sum(map(len, kept)) <= 400 and len(coder.words.starts) <= 401
+    assert len(coder.words) == 400 and "rules" not in vars(coder)
